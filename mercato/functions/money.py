@@ -44,17 +44,17 @@ def money_sum(col: str | Column) -> Column:
 
 
 def half_even_div(num: str | Column, den: str | Column) -> Column:
-    """round_half_even(num / den) for BIGINT num and den > 0, exactly.
-
-    The quotient is estimated with a double division and corrected by one in
-    either direction with integer arithmetic (exact for quotients below 2**52).
-    """
-    n, d = _c(num), _c(den)
-    est = F.floor(F.try_divide(n, d)).cast("bigint")
-    q = F.when(n - est * d < 0, est - 1).when(n - est * d >= d, est + 1).otherwise(est)
-    twice_r = (n - q * d) * 2
+    """round_half_even(num / den) for BIGINT num and den > 0, exactly, with
+    integral division (``div``) and a remainder test; symmetric for num < 0.
+    A non-positive den is treated as 1 (callers guard that case)."""
+    n = _c(num)
+    d = F.greatest(_c(den), F.lit(1)).cast("bigint")
+    a = F.abs(n)
+    q = F.call_function("div", a, d)
+    twice_r = (a - q * d) * 2
     up = (twice_r > d) | ((twice_r == d) & (F.pmod(q, F.lit(2)) == 1))
-    return F.when(up, q + 1).otherwise(q)
+    rounded = q + up.cast("bigint")
+    return F.when(n < 0, -rounded).otherwise(rounded)
 
 
 def mean_money(units_sum: str | Column, count: str | Column, decimals: int = 2) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import pct_difference, verdict
 from ..functions.money import mean_money, money_units, units_to_money
 from ..functions.text import money_text, signed_pct_text
-from ..operators.ranking import top_k
+from ..operators.ranking import over_all, top_k
 from ..schema import DEFAULT_COUNTRY
 from .sales import year_month
 
@@ -113,27 +113,38 @@ def slicer_metrics(sales_df: DataFrame, country: str | None = None, period_from:
 
 def ticket_monthly(sales_df: DataFrame, country: str | None = None, period_from: str | None = None,
                    period_to: str | None = None, products_only: bool = True) -> DataFrame:
-    """Per month: mean invoice total in the country and globally, as a full
-    outer join of the two monthly series on YearMonth, sorted by month.
-
-    Both sides are derived from the same per-(month, invoice) aggregate, so
-    Spark reuses one shuffle for the two of them.
+    """Per month: mean invoice total in the country and globally, sorted by
+    month; the country ticket is NULL in months without country invoices.
+
+    This is the full outer merge of the country and the global monthly
+    series. Both series come from the same rows (country lines are a subset),
+    so instead of two aggregations joined on YearMonth — which would scan and
+    shuffle the fact table twice — one per-(month, invoice) aggregate feeds
+    one per-month aggregate carrying both series. An empty country selection
+    gives no rows.
     """
     base, in_country = selection(sales_df, country, period_from, period_to, products_only)
-    inv = _per_invoice(base, in_country, "YearMonth")
-    valid = inv.filter(F.col("Invoice").isNotNull())
-    country_side = (
-        valid.filter(F.col("lines_country") > 0)
-        .groupBy("YearMonth")
-        .agg(mean_money(F.sum("inv_country"), F.count(F.lit(1))).alias("ticket_country"))
-    )
-    global_side = valid.groupBy("YearMonth").agg(
-        mean_money(F.sum("inv_total"), F.count(F.lit(1))).alias("ticket_global")
+    inv = _per_invoice(base, in_country, "YearMonth").filter(F.col("Invoice").isNotNull())
+    has_country = F.col("lines_country") > 0
+    monthly = inv.groupBy("YearMonth").agg(
+        F.sum(F.when(has_country, F.col("inv_country"))).alias("c_units"),
+        F.count_if(has_country).alias("c_invoices"),
+        F.sum("inv_total").alias("g_units"),
+        F.count(F.lit(1)).alias("g_invoices"),
+        F.sum("lines_country").alias("c_lines"),
     )
-    has_rows = inv.agg(F.sum("lines_country") > 0).scalar()
+    # the guard runs over one row per month only
+    any_country = F.sum("c_lines").over(over_all()) > 0
     return (
-        country_side.join(global_side, on="YearMonth", how="full")
-        .filter(has_rows)
+        monthly.filter(F.col("g_invoices") > 0)
+        .select(
+            "YearMonth",
+            mean_money("c_units", "c_invoices").alias("ticket_country"),
+            mean_money("g_units", "g_invoices").alias("ticket_global"),
+            any_country.alias("_keep"),
+        )
+        .filter("_keep")
+        .drop("_keep")
         .orderBy("YearMonth")
     )
 

@@ -6,11 +6,9 @@ number of months is bounded by the time span, not by the data volume).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from ..functions.money import mean_money, units_to_money
 from ..operators.ranking import over_all, rows_over_all
 from ..schema import HOLIDAY_MONTHS_PATTERN, MOVING_AVERAGE_WIDTH
@@ -23,12 +21,17 @@ def monthly_trend(sales_df: DataFrame, width: int = MOVING_AVERAGE_WIDTH) -> Dat
     at least ``width`` months), and whether the month is November/December."""
     m = monthly_revenue(sales_df)
     frame = over_all(["YearMonth"]).rowsBetween(-(width - 1), Window.currentRow)
-    mean = mean_money(F.sum("revenue_units").over(frame), F.count(F.lit(1)).over(frame), 2)
-    return m.select(
+    w = m.select(
+        "*",
+        F.sum("revenue_units").over(frame).alias("win_units"),
+        F.count(F.lit(1)).over(frame).alias("win_months"),
+        rows_over_all().alias("months"),
+    )
+    return w.select(
         "YearMonth",
         units_to_money("revenue_units").alias("revenue"),
         "invoices",
-        F.when(rows_over_all() >= width, mean).alias("moving_avg"),
+        F.when(F.col("months") >= width, mean_money("win_units", "win_months", 2)).alias("moving_avg"),
         F.col("YearMonth").rlike(HOLIDAY_MONTHS_PATTERN).alias("is_holiday"),
     ).orderBy("YearMonth")
 
