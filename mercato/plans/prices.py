@@ -65,11 +65,12 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     """Products with lines priced strictly above the quantile: max price, mean
     price (both 2 dp, half-even) and line count; top ``n`` by max price.
 
-    Works on the (product, price) histogram: the threshold subquery and the
-    product aggregate read the same pre-aggregated exchange.
+    The threshold comes from the price histogram (scalar subquery); the
+    products are aggregated from the (product, price) histogram, so both
+    passes pre-aggregate before their shuffle.
     """
+    thr = price_threshold(sales_df, q)
     hist = price_histogram(sales_df, PRODUCT)
-    thr = quantile_of(hist, q)
     above = hist.filter((F.col("UnitPrice") > thr) & F.col(PRODUCT).isNotNull())
     agg = above.groupBy(F.col(PRODUCT).alias("product")).agg(
         F.max("UnitPrice").alias("mx"),

@@ -8,10 +8,10 @@ the work grows with the given tables.
 
 Plan shape: ``orders`` is first joined to ``customer`` (on custkey) and to the
 25-row country list (broadcast; its size is fixed), which turns each order into
-(key, customer, date, country). ``lineitem`` then joins that on orderkey and
-``part`` on partkey. The two big joins are plain equi-joins, so Spark picks
-sort-merge or, when AQE sees a small side at run time, broadcast; hot keys are
-split by AQE's skew-join handling. Only the needed columns are read.
+(key, customer, date, country). ``lineitem`` then joins that on orderkey with a
+sort-merge join (both sides are fact-sized), and ``part`` on partkey (Spark/AQE
+pick broadcast or sort-merge from run-time sizes; hot keys are split by AQE's
+skew-join handling). Only the needed columns are read.
 """
 
 from __future__ import annotations
@@ -84,9 +84,12 @@ def retail_raw_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True)
             .alias("Country"),
         )
     )
-    lines = lineitem.join(order_facts, lineitem.l_orderkey == order_facts.o_orderkey).join(
-        part, F.col("l_partkey") == part.p_partkey
-    )
+    # lineitem and orders are both fact-sized: always a shuffle sort-merge
+    # join on the order key (spills, splits skew under AQE), never a broadcast
+    # of either side; the dimension joins are left to Spark/AQE statistics.
+    lines = lineitem.join(
+        order_facts.hint("merge"), lineitem.l_orderkey == order_facts.o_orderkey
+    ).join(part, F.col("l_partkey") == part.p_partkey)
 
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
@@ -107,17 +110,20 @@ def retail_raw_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True)
         .when((ok % 25 == 0) | ((ln == 1) & (ok % 40 == 1)), -qty)
         .otherwise(qty)
         .alias("Quantity"),
-        F.format_string(
-            "%d/%d/%d %d:%02d",
-            F.dayofmonth("o_orderdate"),
-            F.month("o_orderdate"),
-            F.year("o_orderdate"),
-            hour,
-            ok % 60,
+        F.concat(
+            _text(F.dayofmonth("o_orderdate")),
+            F.lit("/"),
+            _text(F.month("o_orderdate")),
+            F.lit("/"),
+            _text(F.year("o_orderdate")),
+            F.lit(" "),
+            _text(hour),
+            F.lit(":"),
+            F.lpad(_text(ok % 60), 2, "0"),
         ).alias("InvoiceDate"),
         F.when(pk % 101 == 0, F.lit("n/a"))
         .when(pk % 97 == 0, F.lit("0"))
-        .otherwise(F.format_string("%d,%02d", F.lit(900) + pk % 113, pk % 100))
+        .otherwise(F.concat(_text(F.lit(900) + pk % 113), F.lit(","), F.lpad(_text(pk % 100), 2, "0")))
         .alias("Price"),
         F.when(F.col("o_custkey") % 4 == 0, F.lit(None).cast("string"))
         .otherwise(_text(F.col("o_custkey")))
