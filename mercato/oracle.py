@@ -173,7 +173,6 @@ country_cum AS (
 )
 """
 
-GEO_ROWS = None  # filled below from the schema's centroid list
 
 
 def _geo_values() -> str:
@@ -431,7 +430,7 @@ FROM sales HAVING min(ym) IS NOT NULL"""
 SELECT {money('rev')} AS revenue,
   coalesce({mean_money('tc_units', 'invoices')}, 0.0) AS ticket_country,
   coalesce({mean_money('tg_units', 'all_invoices')}, 0.0) AS ticket_global,
-  round({diff}, 4) AS diff_pct, {_signed_pct(diff)} AS diff_text,
+  round({diff}, 4) AS diff_pct, round(abs({diff}), 4) AS diff_abs_pct, {_signed_pct(diff)} AS diff_text,
   invoices, units,
   CASE WHEN {diff} > 10 THEN 'higher' WHEN {diff} < -10 THEN 'lower' ELSE 'similar' END AS verdict
 FROM (SELECT CAST(sum(inv_country) AS BIGINT) AS rev,

@@ -35,17 +35,28 @@ def quantile_of(hist: DataFrame, q: float) -> Column:
     return hist.agg(F.percentile("UnitPrice", q, F.col("lines"))).scalar()
 
 
-def price_threshold(sales_df: DataFrame, q: float = PRICE_QUANTILE) -> Column:
+def price_threshold(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False,
+                    accuracy: int = 10_000) -> Column:
+    """Scalar subquery for the ``q`` quantile of UnitPrice.
+
+    Exact by default; its final merge holds one entry per distinct price,
+    which the price domain bounds. ``approx=True`` uses ``percentile_approx``
+    instead (a fixed-size sketch per task, relative rank error 1/accuracy, no
+    interpolation) for data whose distinct prices are unbounded.
+    """
+    if approx:
+        return sales_df.agg(F.percentile_approx("UnitPrice", q, accuracy)).scalar()
     return quantile_of(price_histogram(sales_df), q)
 
 
-def price_outlier_summary(sales_df: DataFrame, q: float = PRICE_QUANTILE) -> DataFrame:
+def price_outlier_summary(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False) -> DataFrame:
+    """Zero-price lines, the quantile, lines strictly above it, max price."""
     hist = price_histogram(sales_df)
-    thr = quantile_of(hist, q)
+    thr = price_threshold(sales_df, q, approx=True) if approx else quantile_of(hist, q)
     p = F.col("UnitPrice")
     return hist.agg(
         F.coalesce(F.sum(F.when(p == 0, F.col("lines"))), F.lit(0).cast("bigint")).alias("zero_price_rows"),
-        F.round(F.percentile(p, q, F.col("lines")), 6).alias("p80"),
+        F.round(F.max(thr) if approx else F.percentile(p, q, F.col("lines")), 6).alias("p80"),
         F.coalesce(F.sum(F.when(p > thr, F.col("lines"))), F.lit(0).cast("bigint")).alias("rows_above_p80"),
         F.max(p).alias("max_price"),
     )
@@ -61,7 +72,8 @@ def zero_price_products(sales_df: DataFrame, n: int = 15) -> DataFrame:
     return top_k(agg, n, [F.col("lines").desc()], ["product"])
 
 
-def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANTILE) -> DataFrame:
+def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANTILE,
+                        approx: bool = False) -> DataFrame:
     """Products with lines priced strictly above the quantile: max price, mean
     price (both 2 dp, half-even) and line count; top ``n`` by max price.
 
@@ -69,7 +81,7 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     products are aggregated from the (product, price) histogram, so both
     passes pre-aggregate before their shuffle.
     """
-    thr = price_threshold(sales_df, q)
+    thr = price_threshold(sales_df, q, approx=approx)
     hist = price_histogram(sales_df, PRODUCT)
     above = hist.filter((F.col("UnitPrice") > thr) & F.col(PRODUCT).isNotNull())
     agg = above.groupBy(F.col(PRODUCT).alias("product")).agg(
@@ -98,14 +110,15 @@ def sample_key(df: DataFrame, seed: int = SAMPLE_SEED, order_key: str = "row_key
 
 
 def price_scatter_sample(
-    sales_df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED, q: float = PRICE_QUANTILE
+    sales_df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED, q: float = PRICE_QUANTILE,
+    approx: bool = False,
 ) -> DataFrame:
     """Up to ``n`` sales lines in seeded hash order, with their price class.
 
     ``orderBy(hash).limit(n)`` is a TakeOrderedAndProject: each task keeps
     its ``n`` smallest keys, so at most ``n x tasks`` rows are merged.
     """
-    thr = price_threshold(sales_df, q)
+    thr = price_threshold(sales_df, q, approx=approx)
     keyed = sales_df.select("*", sample_key(sales_df, seed).alias("_k"))
     return top_k(keyed, n, ["_k"]).select(
         "UnitPrice",

@@ -104,6 +104,7 @@ def slicer_metrics(sales_df: DataFrame, country: str | None = None, period_from:
         F.coalesce(mean_money("tc_units", "invoices"), F.lit(0.0)).alias("ticket_country"),
         F.coalesce(mean_money("tg_units", "all_invoices"), F.lit(0.0)).alias("ticket_global"),
         F.round(diff, 4).alias("diff_pct"),
+        F.round(F.abs(diff), 4).alias("diff_abs_pct"),
         signed_pct_text(diff).alias("diff_text"),
         "invoices",
         "units",

@@ -183,3 +183,24 @@ def test_raw_profile(edge_raw):
     d = {x["column"]: x for x in rows(quality.raw_describe(edge_raw))}
     assert d["Quantity"]["count"] == 12 and d["Quantity"]["min"] == "-12" and d["Quantity"]["max"] == "12"
     assert d["Invoice"]["mean"] is None and d["Invoice"]["max"] == "C489459"
+
+
+def test_price_outliers_approx_option(edge):
+    p = one(prices.price_outlier_summary(edge.sales, approx=True))
+    assert p["p80"] in (10.5, 15.0, 18.0)  # an actual price, no interpolation
+    assert p["zero_price_rows"] == 1
+    assert prices.high_price_products(edge.sales, approx=True).count() >= 1
+
+
+def test_slicer_parameters(edge):
+    m = one(slicer.slicer_metrics(edge.sales, country="EIRE", products_only=False))
+    # EIRE sells postage (18.00) and a zero-quantity discount line (0.00)
+    assert m["revenue"] == pytest.approx(18.0) and m["invoices"] == 2
+    assert m["diff_abs_pct"] == pytest.approx(abs(m["diff_pct"]))
+    jan = one(slicer.slicer_metrics(edge.sales, country="EIRE", period_from="2010-01", period_to="2010-01",
+                                    products_only=False))
+    assert jan["revenue"] == pytest.approx(0.0) and jan["invoices"] == 1
+    assert slicer.slicer_metrics(edge.sales, country="EIRE", period_from="2010-02", products_only=False).count() == 0
+    top = rows(slicer.slicer_top_products(edge.sales, country="EIRE", products_only=False))
+    assert [r["product"] for r in top] == ["POSTAGE", "DISCOUNT"]
+    assert top[0]["revenue_text"] == "$18.00"
