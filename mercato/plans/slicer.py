@@ -13,6 +13,8 @@ country. An empty country selection gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,35 @@ def default_country(sales_df: DataFrame, preferred: str = DEFAULT_COUNTRY) -> Co
     return _defaults_agg(sales_df, preferred).select("default_country").scalar()
 
 
+def _month_start(period: str, months_ahead: int = 0) -> Column | None:
+    """First instant of 'YYYY-MM' (+ months_ahead) as a TIMESTAMP_NTZ literal,
+    or None when the text is not of that form."""
+    m = re.fullmatch(r"(\d{4})-(\d{2})", period)
+    if not m or not 1 <= int(m.group(2)) <= 12:
+        return None
+    y, mo = divmod(int(m.group(1)) * 12 + int(m.group(2)) - 1 + months_ahead, 12)
+    return F.lit(f"{y:04d}-{mo + 1:02d}-01 00:00:00").cast("timestamp_ntz")
+
+
+def period_filter(df: DataFrame, period_from: str | None, period_to: str | None) -> DataFrame:
+    """YearMonth between the two bounds (inclusive, compared as text).
+
+    Well-formed 'YYYY-MM' bounds become an equivalent range on the timestamp
+    itself (``>= first instant of period_from``, ``< first instant after
+    period_to``), which Spark pushes into the Parquet scan so row groups
+    outside the period are skipped; other text falls back to comparing the
+    formatted month.
+    """
+    ts = F.col("InvoiceDate")
+    if period_from is not None:
+        lo = _month_start(period_from)
+        df = df.filter(ts >= lo if lo is not None else year_month() >= period_from)
+    if period_to is not None:
+        hi = _month_start(period_to, 1)
+        df = df.filter(ts < hi if hi is not None else year_month() <= period_to)
+    return df
+
+
 def selection(
     sales_df: DataFrame,
     country: str | None = None,
@@ -59,11 +90,7 @@ def selection(
 ) -> tuple[DataFrame, Column]:
     """The base rows (period range inclusive, compared as 'YYYY-MM' text;
     ``UnitPrice > 0`` when ``products_only``) and the country predicate."""
-    base = sales_df.select("*", year_month().alias("YearMonth"))
-    if period_from is not None:
-        base = base.filter(F.col("YearMonth") >= period_from)
-    if period_to is not None:
-        base = base.filter(F.col("YearMonth") <= period_to)
+    base = period_filter(sales_df, period_from, period_to).select("*", year_month().alias("YearMonth"))
     if products_only:
         base = base.filter(F.col("UnitPrice") > 0)
     target = F.lit(country) if country is not None else default_country(sales_df)
