@@ -29,7 +29,7 @@ from ..sources.files import (
 from ..sources.fixture import retail_raw_view
 from . import countries, geo, hours, kpis, prices, quality, slicer, trends
 from .clean import clean
-from .sales import sales, typed
+from .sales import load_table, sales, typed
 
 ROW_KEY = "row_key"
 
@@ -100,7 +100,7 @@ def retail_for(spark: SparkSession, sf_dir: str) -> Retail:
     """Retail layers over the cleaned and typed tables, each written once per
     session (clean once, load once, query many times)."""
     cleaned = _written(spark, sf_dir, "clean", lambda: clean(raw_table(spark, sf_dir), keep=[ROW_KEY]))
-    typed_df = _written(spark, sf_dir, "typed", lambda: typed(cleaned))
+    typed_df = _written(spark, sf_dir, "typed", lambda: load_table(cleaned))
     return Retail.from_typed(spark, typed_df, cleaned, raw=raw_table(spark, sf_dir))
 
 
