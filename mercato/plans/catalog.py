@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.materialize import write_and_reread
 from ..schema import CLEAN_COLUMNS, RAW_COLUMNS
 from ..session import scratch_path
 from ..sources.files import (
@@ -86,9 +87,9 @@ def _written(spark: SparkSession, sf_dir: str, layer: str, build: Callable[[], D
         except Exception:  # the folder was removed: write it again
             _WRITTEN.pop(key, None)
     path = scratch_path(spark, f"{layer}-{os.path.basename(os.path.normpath(sf_dir))}")
-    write_parquet(build(), path)
+    out = write_and_reread(spark, build(), layer, path)
     _WRITTEN[key] = path
-    return read_parquet(spark, path)
+    return out
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
