@@ -42,11 +42,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
-    On a cluster the folder comes from the session (shared storage). Only
-    when nothing is configured (a local test) is a temp folder used.
+    On a cluster the folder comes from the session (shared storage) and an
+    unset value is an error. Only a ``local[...]`` session with nothing
+    configured (a test) gets a temp folder.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                f"set {CHECKPOINT_CONF} to a folder on shared storage: scratch tables must be "
+                "readable by every executor"
+            )
         current = tempfile.mkdtemp(prefix="mercato-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if spark.sparkContext.getCheckpointDir() is None:
