@@ -1,12 +1,11 @@
 """Price outliers: zero prices and prices above a quantile of the same table.
 
-The quantile is exact (``percentile``, linear interpolation). It is taken
-over a **price histogram** (one row per distinct price with its line count,
-``percentile(price, q, frequency)``), so each task pre-aggregates before the
-shuffle and the final single-group merge holds one entry per distinct price,
-not per line. The threshold is then used through a scalar subquery
-(``DataFrame.scalar()``): computed once, shipped to every task as a value;
-no cross join.
+The quantile is exact (linear interpolation, as ``percentile``), computed by
+``operators.quantile.exact_quantile``: a value histogram range-partitioned
+into ordered buckets with running counts, so no task holds more than one
+bucket of distinct prices. The threshold is used through a scalar subquery
+(``DataFrame.scalar()``): computed once, shipped to every task as a value; no
+cross join. ``approx=True`` uses ``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import price_class
 from ..functions.money import mean_money, money_units
+from ..operators.quantile import exact_quantile
 from ..operators.ranking import top_k
 from ..schema import PRICE_QUANTILE, SAMPLE_SEED, SAMPLE_SIZE
 
@@ -30,36 +30,29 @@ def price_histogram(sales_df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def quantile_of(hist: DataFrame, q: float) -> Column:
-    """Scalar subquery: exact ``q`` quantile of UnitPrice from a histogram."""
-    return hist.agg(F.percentile("UnitPrice", q, F.col("lines"))).scalar()
-
-
 def price_threshold(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False,
                     accuracy: int = 10_000) -> Column:
-    """Scalar subquery for the ``q`` quantile of UnitPrice.
-
-    Exact by default; its final merge holds one entry per distinct price,
-    which the price domain bounds. ``approx=True`` uses ``percentile_approx``
-    instead (a fixed-size sketch per task, relative rank error 1/accuracy, no
-    interpolation) for data whose distinct prices are unbounded.
-    """
+    """Scalar subquery for the ``q`` quantile of UnitPrice: exact by default
+    (bounded per-task state), or ``percentile_approx`` (a fixed-size sketch,
+    relative rank error 1/accuracy, no interpolation) with ``approx=True``."""
     if approx:
         return sales_df.agg(F.percentile_approx("UnitPrice", q, accuracy)).scalar()
-    return quantile_of(price_histogram(sales_df), q)
+    return exact_quantile(sales_df, "UnitPrice", q).scalar()
 
 
 def price_outlier_summary(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False) -> DataFrame:
     """Zero-price lines, the quantile, lines strictly above it, max price."""
-    hist = price_histogram(sales_df)
-    thr = price_threshold(sales_df, q, approx=True) if approx else quantile_of(hist, q)
+    thr = price_threshold(sales_df, q, approx=approx)
     p = F.col("UnitPrice")
-    return hist.agg(
+    # the threshold is compared in a projection (a subquery over range buckets
+    # is not deterministic, so it may not sit inside aggregate arguments)
+    hist = price_histogram(sales_df).select("UnitPrice", "lines", (p > thr).alias("above"))
+    agg = hist.agg(
         F.coalesce(F.sum(F.when(p == 0, F.col("lines"))), F.lit(0).cast("bigint")).alias("zero_price_rows"),
-        F.round(F.max(thr) if approx else F.percentile(p, q, F.col("lines")), 6).alias("p80"),
-        F.coalesce(F.sum(F.when(p > thr, F.col("lines"))), F.lit(0).cast("bigint")).alias("rows_above_p80"),
+        F.coalesce(F.sum(F.when(F.col("above"), F.col("lines"))), F.lit(0).cast("bigint")).alias("rows_above_p80"),
         F.max(p).alias("max_price"),
     )
+    return agg.select("zero_price_rows", F.round(thr, 6).alias("p80"), "rows_above_p80", "max_price")
 
 
 def zero_price_products(sales_df: DataFrame, n: int = 15) -> DataFrame:
@@ -77,9 +70,9 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     """Products with lines priced strictly above the quantile: max price, mean
     price (both 2 dp, half-even) and line count; top ``n`` by max price.
 
-    The threshold comes from the price histogram (scalar subquery); the
-    products are aggregated from the (product, price) histogram, so both
-    passes pre-aggregate before their shuffle.
+    The threshold is a scalar subquery; the products are aggregated from the
+    (product, price) histogram, so both passes pre-aggregate before their
+    shuffle.
     """
     thr = price_threshold(sales_df, q, approx=approx)
     hist = price_histogram(sales_df, PRODUCT)

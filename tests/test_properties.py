@@ -67,3 +67,19 @@ def test_percent_text_matches_python(spark, x):
     assert row["a"] == f"{x:.2f}%"
     assert row["b"] == f"{x:+.1f}%"
     assert not math.isnan(x)
+
+
+@settings(max_examples=25, deadline=None)
+@given(
+    st.lists(st.sampled_from([0.0, 1.25, 2.5, 7.0, 13.2, 18.0, 99.99]) | st.floats(0, 1000).map(lambda x: round(x, 2)),
+             min_size=1, max_size=60),
+    st.sampled_from([0.0, 0.25, 0.5, 0.8, 1.0]),
+    st.integers(min_value=1, max_value=9),
+)
+def test_exact_quantile_matches_percentile(spark, values, q, buckets):
+    from mercato.operators.quantile import exact_quantile
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantile(df, "x", q, buckets=buckets).first()[0]
+    want = df.agg(F.percentile("x", q)).first()[0]
+    assert got == pytest.approx(want, abs=1e-9)
