@@ -28,13 +28,17 @@ DEFAULT_BUCKETS = 64
 
 
 def exact_quantile(
-    df: DataFrame, col: str, q: float, weight: str | None = None, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, col: str, q: float, weight: str | None = None, buckets: int | None = None
 ) -> DataFrame:
     """One row, column ``quantile``: the exact ``q`` quantile of ``col``
     (NULLs ignored; NULL when there are no values). ``weight`` is an optional
-    integral frequency column."""
+    integral frequency column. ``buckets`` defaults to the session's shuffle
+    partitions (at least ``DEFAULT_BUCKETS``), so each bucket's share of the
+    distinct values shrinks as the cluster's parallelism grows."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
+    if buckets is None:
+        buckets = max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     w = F.col(weight) if weight else F.lit(1)
     hist = (
         df.filter(F.col(col).isNotNull())
