@@ -9,12 +9,12 @@ its size is bounded by the number of countries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import half_even_div, sum_units, units_to_money
 from ..functions.text import money_text, pct_text, thousands_text
-from ..operators.ranking import position, running_sum, top_k, total_over_all
+from ..operators.ranking import over_all, running_sum, top_k
 from ..schema import PARETO_THRESHOLD, PARETO_TOP_N
 
 
@@ -41,11 +41,14 @@ def country_ranking(sales_df: DataFrame) -> DataFrame:
     """Every country with rank, percent of total (2 dp, half-even) and the
     cumulative sum of those rounded percents (2 dp, half-even)."""
     r = revenue_by_country(sales_df)
+    # rank and grand total share one window ordering: one Window operator
+    w = over_all(rank_order())
+    everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = r.select(
         "Country",
         "revenue_units",
-        position(rank_order()).alias("rank"),
-        total_over_all("revenue_units").alias("total_units"),
+        F.row_number().over(w).alias("rank"),
+        F.sum("revenue_units").over(everything).alias("total_units"),
     ).select("*", F.bround(F.col("revenue_units") / F.col("total_units") * 100, 2).alias("pct"))
     return ranked.select("*", F.bround(running_sum("pct", ["rank"]), 2).alias("cum_pct"))
 
