@@ -1,9 +1,11 @@
 """Reusable DataFrame operators: joins with bounded broadcast, top-k and
-ordered windows over aggregated rows, column profiling, materialisation."""
+ordered windows over aggregated rows, an exact distributed quantile, column
+profiling, materialisation."""
 
 from .joins import bounded_broadcast, lookup_join, present_members
 from .materialize import write_and_reread
 from .profile import describe_columns, null_counts
+from .quantile import exact_quantile
 from .ranking import (
     first_by,
     max_over_all,
@@ -22,6 +24,7 @@ __all__ = [
     "present_members",
     "write_and_reread",
     "describe_columns",
+    "exact_quantile",
     "null_counts",
     "first_by",
     "max_over_all",
