@@ -31,16 +31,16 @@ def cleaning_job(
     """Clean ``raw_csv`` into ``output_dir`` and return the reports.
 
     Writes ``<output_dir>/raw.parquet`` (the parsed input),
-    ``<output_dir>/online_retail_cleaned.parquet`` and
-    ``<output_dir>/online_retail_cleaned_csv`` (one file when
+    ``<output_dir>/cleaned.parquet`` and
+    ``<output_dir>/cleaned_csv`` (one file when
     ``single_csv_file``; only for small exports). Reports are lazy DataFrames.
     """
     out = output_dir.rstrip("/")
     raw = write_and_reread(spark, read_raw_csv(spark, raw_csv), "raw", f"{out}/raw.parquet")
     cleaned = clean(raw)
-    write_parquet(cleaned, f"{out}/online_retail_cleaned.parquet")
-    cleaned = read_parquet(spark, f"{out}/online_retail_cleaned.parquet")
-    write_clean_csv(cleaned, f"{out}/online_retail_cleaned_csv", single_file=single_csv_file)
+    write_parquet(cleaned, f"{out}/cleaned.parquet")
+    cleaned = read_parquet(spark, f"{out}/cleaned.parquet")
+    write_clean_csv(cleaned, f"{out}/cleaned_csv", single_file=single_csv_file)
     return {
         "row_count": quality.row_count(raw),
         "raw_preview": quality.raw_preview(raw),

@@ -20,9 +20,9 @@ def test_cleaning_job_and_dashboard(spark):
     cats = {r["ProductCategory"]: r["count"] for r in reports["category_distribution"].collect()}
     assert cats["PRODUCT"] == 8
     assert reports["returns_impact"].first()["revenue_without_returns"] == pytest.approx(131.90)
-    csv_files = [f for f in os.listdir(out + "/online_retail_cleaned_csv") if f.startswith("part-")]
+    csv_files = [f for f in os.listdir(out + "/cleaned_csv") if f.startswith("part-")]
     assert len(csv_files) == 1
-    cleaned = read_parquet(spark, out + "/online_retail_cleaned.parquet")
+    cleaned = read_parquet(spark, out + "/cleaned.parquet")
     assert cleaned.columns == CLEAN_COLUMNS and cleaned.count() == 13
 
     dash = dashboard(spark, cleaned, scratch_path(spark, "t-job-load"), country="Germany")
