@@ -75,6 +75,7 @@ def dashboard(
         "sales_view_counts": quality.sales_view_counts(cleaned),
         "kpi_headline": kpis.kpi_headline(s),
         "kpi_secondary": kpis.kpi_secondary(r.typed),
+        "sales_time_attributes": kpis.sales_time_attributes(s),
         "daily_revenue": kpis.daily_revenue(s),
         "top_countries": countries.top_countries(s),
         "top_products": kpis.top_products(s),
@@ -87,6 +88,7 @@ def dashboard(
         "pareto_table": countries.pareto_table(s, top_n),
         "monthly_trend": trends.monthly_trend(s),
         "monthly_extremes": trends.monthly_extremes(s),
+        "geo_dimension_present": geo.geo_dimension_present(spark, s),
         "country_geo": geo.country_geo(spark, s),
         "geo_international": geo.geo_international(spark, s),
         "geo_top3": geo.geo_top3(spark, s),
