@@ -89,6 +89,7 @@ def main() -> None:
                 "queries": {k: round(v, 3) for k, v in results.items()},
                 "sf": sf,
                 "cpus": cpus,
+                "spark": spark.version,
                 "repeat": repeat,
                 "n_queries": len(results),
             }
