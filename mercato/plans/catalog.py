@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.materialize import write_and_reread
 from ..schema import CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import scratch_path
+from ..session import scratch_path, session_id
 from ..sources.files import (
     read_clean_csv,
     read_parquet,
@@ -79,7 +79,7 @@ def _written(spark: SparkSession, sf_dir: str, layer: str, build: Callable[[], D
     """Write ``build()`` once per session and input folder under the shared
     checkpoint folder and read it back (lineage cut at a written table, so a
     lost executor re-reads files instead of re-running the joins)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), layer)
+    key = (session_id(spark), os.path.abspath(sf_dir), layer)
     path = _WRITTEN.get(key)
     if path is not None:
         try:

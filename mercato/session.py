@@ -40,6 +40,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
@@ -47,17 +62,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset value is an error. Only a ``local[...]`` session with nothing
     configured (a test) gets a temp folder.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc is not None else None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise ValueError(
                 f"set {CHECKPOINT_CONF} to a folder on shared storage: scratch tables must be "
                 "readable by every executor"
             )
         current = tempfile.mkdtemp(prefix="mercato-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
