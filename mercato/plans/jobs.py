@@ -72,7 +72,7 @@ def dashboard(
     s = r.sales
     sel = dict(country=country, period_from=period_from, period_to=period_to, products_only=products_only)
     return {
-        "sales_view_counts": quality.sales_view_counts(cleaned),
+        "sales_view_counts": quality.sales_view_counts(cleaned, typed_df),
         "kpi_headline": kpis.kpi_headline(s),
         "kpi_secondary": kpis.kpi_secondary(r.typed),
         "sales_time_attributes": kpis.sales_time_attributes(s),

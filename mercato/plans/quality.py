@@ -113,12 +113,27 @@ def category_distribution(clean_df: DataFrame) -> DataFrame:
     )
 
 
-def sales_view_counts(clean_df: DataFrame) -> DataFrame:
+def sales_view_counts(clean_df: DataFrame, typed_table: DataFrame | None = None) -> DataFrame:
     """Rows loaded, rows left after dropping incomplete lines (``typed``), and
-    sales rows, in one scan of the cleaned table."""
-    complete = is_complete_line()
-    return clean_df.agg(
-        F.count(F.lit(1)).alias("rows_loaded"),
-        F.count_if(complete).alias("rows_typed"),
-        F.count_if(complete & ~F.col("IsReturn")).alias("rows_sales"),
+    sales rows.
+
+    Without a written typed table this is one scan of the cleaned table that
+    re-evaluates the drop condition inline. With one (``typed_table``), the
+    typed and sales counts come from that table instead (one struct-valued
+    scalar subquery reading only ``IsReturn``), so no date is parsed again.
+    """
+    if typed_table is None:
+        complete = is_complete_line()
+        return clean_df.agg(
+            F.count(F.lit(1)).alias("rows_loaded"),
+            F.count_if(complete).alias("rows_typed"),
+            F.count_if(complete & ~F.col("IsReturn")).alias("rows_sales"),
+        )
+    typed_counts = typed_table.agg(
+        F.struct(F.count(F.lit(1)).alias("t"), F.count_if(~F.col("IsReturn")).alias("s")).alias("c")
+    ).scalar()
+    return clean_df.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
+        "rows_loaded",
+        typed_counts.getField("t").alias("rows_typed"),
+        typed_counts.getField("s").alias("rows_sales"),
     )

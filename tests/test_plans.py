@@ -114,3 +114,12 @@ def test_period_filter_equals_text_comparison(retail):
     assert slicer.period_filter(retail.sales, year, None).count() == retail.sales.filter(
         year_month() >= year).count()
     assert F is not None
+
+
+def test_sales_view_counts_same_with_written_typed_table(retail, loaded):
+    from mercato.plans import quality
+
+    inline = quality.sales_view_counts(retail.clean).first()
+    from_table = quality.sales_view_counts(loaded.clean, loaded.typed).first()
+    assert tuple(inline) == tuple(from_table)
+    assert "try_make_timestamp_ntz" not in plan(quality.sales_view_counts(loaded.clean, loaded.typed))
