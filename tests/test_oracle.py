@@ -12,8 +12,11 @@ from oracle_check import check, duck  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from mercato import oracle  # noqa: E402
+from mercato.plans import catalog  # noqa: E402
+
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in catalog.queries()}
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
