@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, host_rules
+from . import curriculum, host_rules, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = window_dedup.remove_repeats(table(spark, sf_dir, "documents"), doc_id=F.col("doc_id"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -35,6 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op7_mixing": op7_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
