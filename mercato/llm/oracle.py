@@ -5,6 +5,38 @@ from __future__ import annotations
 #: Words of a text: runs of characters other than ASCII white space.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP2 = f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(ws[i:i + 34], ' ') AS g
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)
+), again AS (
+  SELECT r, i FROM windows WHERE g IN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM again)
+), kept AS (
+  SELECT t.r, string_agg(t.x, ' ' ORDER BY t.p) AS kept, count(*) AS n
+  FROM (SELECT r, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w) t
+  LEFT JOIN gone g ON t.r = g.r AND t.p = g.p WHERE g.r IS NULL GROUP BY t.r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)
+"""
+
+OP4 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, octet_length(payload)::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM f
+"""
+
 OP7 = f"""
 WITH rows AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
@@ -97,4 +129,4 @@ FROM f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": OP7, "op10_quality_rules": OP10}
+    return {"op2_substring_dedup": OP2, "op4_warc": OP4, "op7_mixing": OP7, "op10_quality_rules": OP10}

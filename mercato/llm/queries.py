@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, host_rules, window_dedup
+from ..session import scratch_path
+from . import curriculum, host_rules, warc_store, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc_store.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc_store.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -41,6 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {
         "op2_substring_dedup": op2_substring_dedup,
+        "op4_warc": op4_warc,
         "op7_mixing": op7_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
