@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import curriculum, host_rules, warc_store, window_dedup
+from . import curriculum, decontaminate, host_rules, jaccard_join, line_templates, warc_store, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each text and how many are dropped as recurring templates; kept_sha256 is of the new text."""
+    out = line_templates.drop_recurring(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = window_dedup.remove_repeats(table(spark, sf_dir, "documents"), doc_id=F.col("doc_id"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -28,6 +34,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_store.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it contains."""
+    return decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -36,6 +47,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = host_rules.measure(docs, doc_id=F.col("doc_id"), host=F.col("source"))
@@ -47,8 +62,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op4_warc": op4_warc,
+        "op5_decontamination": op5_decontamination,
         "op7_mixing": op7_mixing,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
     }

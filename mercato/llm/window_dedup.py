@@ -1,25 +1,14 @@
 """Removal of repeated word windows (operator 2).
 
 Every window of ``window`` consecutive words of every document gets a
-Rabin-Karp hash; Spark counts the hashes over the whole corpus; each word under
-a window that occurs more than once is removed, overlapping windows merging
-into maximal intervals.
-
-Documents are worked on in batches (a few megabytes of text). A batch
-sends each distinct hash once, in packed sorted blocks, one for each range of
-hash values; the task that owns a range marks the hashes that other batches
-sent as well and answers with one bit for each. The batch's texts, kept
-compressed, meet the answers again and are cut. A window that a third of all
-documents share is thus sent once per batch, and no window travels alone.
+Rabin-Karp hash; Spark counts the hashes over the whole corpus (see
+exchange.py); each word under a window that occurs more than once is removed,
+overlapping windows merging into maximal intervals.
 
 A hash has 88 bits (two independent polynomials over 64-bit word hashes), so
 that two different windows among 2e13 (100 TB) are expected to meet less than
 once.
 
-The input has to give the same rows in the same order whenever a partition is
-read again, as files do. A batch is named by its content as well, so that a
-table that changes in between ends in an error and not in wrong cuts.
-
 Defined results: a null text has no words; texts shorter than the window keep
 all; repeated rows remove each other's windows (all copies go); windows are
 judged on the input; an empty table gives an empty result. Only the text and
@@ -28,18 +17,14 @@ the columns in ``keep`` are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import hashes, mixed, starts_of, steps, tokenise, utf8
+from .exchange import mark_repeated
+from .words import hashes, mixed, starts_of, tokenise
 
 _M = np.uint64
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses modulo 2**64
@@ -72,56 +57,6 @@ def window_hashes(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarr
     return lens, start, one, two.astype(np.uint32)
 
 
-def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct hashes, each one's count, and where each input is among them."""
-    order = np.argsort(one, kind="stable")
-    a, b = one[order], two[order]
-    if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):
-        order = np.lexsort((two, one))
-        a, b = one[order], two[order]
-    first = np.ones(len(a), bool)
-    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.cumsum(first) - 1
-    where = np.empty(len(a), np.int64)
-    where[order] = at
-    return a[first], b[first], np.bincount(at, minlength=int(first.sum())), where
-
-
-def _ranges(one: np.ndarray, n: int) -> np.ndarray:
-    """Where each of n equal ranges of hash values begins among the sorted hashes, with the end."""
-    owner = ((one >> _M(32)) * _M(n)) >> _M(32)
-    return np.searchsorted(owner, np.arange(n + 1))
-
-
-def _pack(one: np.ndarray, two: np.ndarray) -> bytes:
-    gaps = np.diff(one, prepend=_M(0))
-    planes = gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    check = two.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3]
-    return zstandard.compress(planes.tobytes() + check.tobytes(), 1)
-
-
-def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.frombuffer(zstandard.decompress(body), np.uint8).reshape(11, -1)
-    one = np.cumsum(np.ascontiguousarray(flat[:8].T).view("<u8").ravel(), dtype=_M)
-    two = np.zeros((flat.shape[1], 4), np.uint8)
-    two[:, :3] = flat[8:].T
-    return one, two.view("<u4").ravel()
-
-
-def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch, list[bytes]]]:
-    """Name, rows and texts (the first column) of each batch of a partition."""
-    part, n = TaskContext.get().partitionId(), 0
-    for rows in stream:
-        texts = utf8(rows.column(0))
-        for a, b in steps([len(t) for t in texts]):
-            seen = xxhash.xxh3_128()
-            for t in texts[a:b]:
-                seen.update(b"%d:" % len(t))
-                seen.update(t)
-            yield f"{part}:{n}:{seen.hexdigest()}", rows.slice(a, b - a), texts[a:b]
-            n += 1
-
-
 def _schema(keep: T.StructType) -> T.StructType:
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     return T.StructType([*keep.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -155,67 +90,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text", **keep
     """One row per document: the columns in ``keep``, n_words, n_removed, ``removed`` (maximal intervals of
     word numbers, end exclusive) and ``kept_text`` (kept words joined by one space)."""
     src = docs.select(F.col(f"`{text}`").alias("__text"), *[c.alias(n) for n, c in keep.items()])
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out_schema = _schema(T.StructType(src.schema.fields[1:]))
-    names = ["batch", "owner", "body"]
-
-    def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, texts in _batches(stream):
-            _, _, one, two = window_hashes(texts, window)
-            one, two, _, _ = _distinct(one, two)
-            at = _ranges(one, n)
-            full = [k for k in range(n) if at[k] < at[k + 1]]
-            bodies = [_pack(one[at[k]: at[k + 1]], two[at[k]: at[k + 1]]) for k in full]
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(bodies, pa.binary())], names)
-
-    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        who, sizes, ones, twos = [], [], [], []
-        for rows in stream:
-            for name, owner, body in zip(*[c.to_pylist() for c in rows.columns], strict=True):
-                one, two = _unpack(body)
-                who.append((name, owner))
-                sizes.append(len(one))
-                ones.append(one)
-                twos.append(two)
-        if not who:
-            return
-        _, _, times, where = _distinct(np.concatenate(ones), np.concatenate(twos))
-        again, at = (times > 1)[where], starts_of(np.array(sizes))
-        bodies = [np.packbits(again[at[i]: at[i + 1]]).tobytes() for i in range(len(who))]
-        yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in who], pa.string()), pa.array([w[1] for w in who], pa.int32()), pa.array(bodies, pa.binary())], names)
-
-    def keep_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
-        for name, rows, _ in _batches(stream):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
-                writer.write_batch(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "body"])
-
-    def cut(held: pa.Table, answered: pa.Table) -> pa.Table:
-        name = (held if held.num_rows else answered)["batch"][0].as_py()
-        bodies = dict(zip(answered["owner"].to_pylist(), answered["body"].to_pylist(), strict=True))
-        if held.num_rows != 1:
-            raise ValueError(f"batch {name} was read differently the second time: the input changed")
-        rows = pa.ipc.open_stream(held["body"][0].as_py()).read_all().combine_chunks().to_batches()[0]
-        texts = utf8(rows.column(0))
+
+    def keys(texts: list[bytes]):
         lens, start, one, two = window_hashes(texts, window)
-        one, _, times, where = _distinct(one, two)
-        at, again = _ranges(one, n), times > 1
-        for k in range(n):
-            if at[k] < at[k + 1]:
-                if k not in bodies:
-                    raise ValueError(f"batch {name} was read differently the second time: the input changed")
-                bits = np.frombuffer(bodies[k], np.uint8)
-                again[at[k]: at[k + 1]] |= np.unpackbits(bits, count=int(at[k + 1] - at[k])).astype(bool)
-        hit = start[again[where]]
+        return one, two, (lens, start)
+
+    def finish(rows: pa.RecordBatch, texts: list[bytes], extra, again: np.ndarray) -> pa.RecordBatch:
+        lens, start = extra
         edges = np.zeros(int(lens.sum()) + 1, np.int64)
-        np.add.at(edges, hit, 1)
-        np.add.at(edges, hit + window, -1)
-        gone = np.cumsum(edges[:-1]) > 0
-        return pa.Table.from_batches([_cut(rows, texts, lens, gone)])
-
-    schema = "batch string, owner int, body binary"
-    answers = src.mapInArrow(send, schema).repartitionById(n, "owner").mapInArrow(count, schema)
-    held = src.mapInArrow(keep_rows, "batch string, body binary")
-    return held.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(cut, out_schema)
+        np.add.at(edges, start[again], 1)
+        np.add.at(edges, start[again] + window, -1)
+        return _cut(rows, texts, lens, np.cumsum(edges[:-1]) > 0)
+
+    return mark_repeated(src, keys, finish, _schema(T.StructType(src.schema.fields[1:])))
