@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import curriculum, decontaminate, host_rules, jaccard_join, line_templates, warc_store, window_dedup
+from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, line_templates, warc_store, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_spans(table(spark, sf_dir, "documents"))
+    kinds = disclosure.KINDS
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(disclosure.spans_text(kinds).cast("binary"), 256).alias("base_sha256"),
+        disclosure.spans_text([*kinds, "term"]).alias("spans"),
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc_store.write_archive(table(spark, sf_dir, "pages"), path)
@@ -64,6 +74,7 @@ def queries() -> dict[str, QueryFn]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_pii": op3_pii,
         "op4_warc": op4_warc,
         "op5_decontamination": op5_decontamination,
         "op7_mixing": op7_mixing,
