@@ -73,7 +73,7 @@ def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return one, two.view("<u4").ravel()
 
 
-def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch, list[bytes]]]:
+def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch, list[bytes]]]:
     """Name, rows and texts (the first column) of each batch of a partition."""
     part, n = TaskContext.get().partitionId(), 0
     for rows in stream:
@@ -87,13 +87,37 @@ def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordB
             n += 1
 
 
+def held_batches(src: DataFrame) -> DataFrame:
+    """(batch, body): the rows of every batch, compressed."""
+
+    def hold(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        for name, rows, _ in batches(stream):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
+                writer.write_batch(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "body"])
+
+    return src.mapInArrow(hold, "batch string, body binary")
+
+
+def opened(held: pa.Table, answered: pa.Table) -> tuple[pa.RecordBatch, list[bytes], ValueError]:
+    """Rows and texts of a held batch, and the error to raise if its answers are not complete."""
+    name = (held if held.num_rows else answered)["batch"][0].as_py()
+    changed = ValueError(f"batch {name} was read differently the second time: the input changed")
+    if held.num_rows != 1:
+        raise changed
+    rows = pa.ipc.open_stream(held["body"][0].as_py()).read_all().combine_chunks().to_batches()[0]
+    return rows, utf8(rows.column(0)), changed
+
+
 def mark_repeated(src: DataFrame, keys: Keys, finish: Finish, schema: T.StructType) -> DataFrame:
     """``finish`` of every batch of ``src`` (its first column is the text), with the keys that occur elsewhere."""
     n = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = ["batch", "owner", "body"]
 
     def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, texts in _batches(stream):
+        for name, _, texts in batches(stream):
             one, two, _ = keys(texts)
             one, two, _, _ = _distinct(one, two)
             at = _ranges(one, n)
@@ -118,22 +142,9 @@ def mark_repeated(src: DataFrame, keys: Keys, finish: Finish, schema: T.StructTy
         bodies = [np.packbits(again[at[i]: at[i + 1]]).tobytes() for i in range(len(who))]
         yield pa.RecordBatch.from_arrays([pa.array(who, pa.string()), pa.array(owners, pa.int32()), pa.array(bodies, pa.binary())], names)
 
-    def hold(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
-        for name, rows, _ in _batches(stream):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
-                writer.write_batch(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "body"])
-
     def meet(held: pa.Table, answered: pa.Table) -> pa.Table:
-        name = (held if held.num_rows else answered)["batch"][0].as_py()
+        rows, texts, changed = opened(held, answered)
         bodies = dict(zip(answered["owner"].to_pylist(), answered["body"].to_pylist(), strict=True))
-        changed = ValueError(f"batch {name} was read differently the second time: the input changed")
-        if held.num_rows != 1:
-            raise changed
-        rows = pa.ipc.open_stream(held["body"][0].as_py()).read_all().combine_chunks().to_batches()[0]
-        texts = utf8(rows.column(0))
         one, two, extra = keys(texts)
         one, _, times, where = _distinct(one, two)
         at, again = _ranges(one, n), times > 1
@@ -147,5 +158,4 @@ def mark_repeated(src: DataFrame, keys: Keys, finish: Finish, schema: T.StructTy
 
     answers = src.mapInArrow(send, "batch string, owner int, body binary")
     answers = answers.repartitionById(n, "owner").mapInArrow(count, "batch string, owner int, body binary")
-    held = src.mapInArrow(hold, "batch string, body binary")
-    return held.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(meet, schema)
+    return held_batches(src).groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(meet, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, line_templates, warc_store, window_dedup
+from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, line_templates, pitman_yor, warc_store, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -77,6 +81,7 @@ def queries() -> dict[str, QueryFn]:
         "op3_pii": op3_pii,
         "op4_warc": op4_warc,
         "op5_decontamination": op5_decontamination,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_mixing": op7_mixing,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
