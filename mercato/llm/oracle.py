@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import TEMPLATES
+
 #: Words of a text: runs of characters other than ASCII white space.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -77,6 +79,60 @@ SELECT doc_id, size, source_size, target, (passes * size)::BIGINT AS taken,
 FROM taken
 """
 
+_TEMPLATES = ", ".join(f"({i}, '{spdx}', '{text}')" for i, (spdx, text) in enumerate(TEMPLATES))
+_SPLIT = r"string_split_regex(coalesce(text, ''), '\n|[.!?;:][ \t]+')"
+_TERMS = r"regexp_extract_all(translate(seg, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x01-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP8 = f"""
+WITH t AS (
+  SELECT k, spdx, term, count(*) AS n
+  FROM (SELECT k, spdx, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM (VALUES {_TEMPLATES}) v(k, spdx, body))
+  GROUP BY ALL
+), f AS (
+  SELECT row_number() OVER () AS r, doc_id, concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'), doc_id::VARCHAR) AS path,
+    concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown')) AS directory, text FROM documents
+), segs AS (
+  SELECT r, s, {_TERMS} AS ts FROM (SELECT r, unnest({_SPLIT}) AS seg, generate_subscripts({_SPLIT}, 1) AS s FROM f)
+), used AS (
+  SELECT * FROM segs WHERE len(ts) > 0
+), total AS (
+  SELECT count(*) AS n FROM used
+), tf AS (
+  SELECT r, s, term, count(*) AS n FROM (SELECT r, s, unnest(ts) AS term FROM used) GROUP BY ALL
+), df AS (
+  SELECT term, count(*) AS n FROM tf WHERE term IN (SELECT term FROM t) GROUP BY term
+), idf AS (
+  SELECT term, ln((total.n + 1)::DOUBLE / (coalesce(df.n, 0) + 1)) + 1 AS w
+  FROM (SELECT DISTINCT term FROM t) LEFT JOIN df USING (term), total
+), norms AS (
+  SELECT r, s, sqrt(sum(power(tf.n * coalesce(idf.w, ln(total.n + 1) + 1), 2))) AS norm
+  FROM tf LEFT JOIN idf USING (term), total GROUP BY r, s
+), tnorms AS (
+  SELECT k, spdx, sqrt(sum(power(t.n * idf.w, 2))) AS norm FROM t JOIN idf USING (term) GROUP BY k, spdx
+), cosines AS (
+  SELECT tf.r, tf.s, t.k, sum(tf.n * idf.w * t.n * idf.w) AS dot
+  FROM tf JOIN t USING (term) JOIN idf USING (term) GROUP BY tf.r, tf.s, t.k
+), best AS (
+  SELECT r, s, spdx, round(dot / (norms.norm * tnorms.norm), 6) AS cosine, c.k,
+    row_number() OVER (PARTITION BY r, s ORDER BY round(dot / (norms.norm * tnorms.norm), 6) DESC, c.k) AS nth
+  FROM cosines c JOIN norms USING (r, s) JOIN tnorms USING (k)
+), hit AS (
+  SELECT r, s, spdx, cosine, k, len(ts) AS n FROM best JOIN used USING (r, s) WHERE nth = 1 AND cosine >= 0.6
+), own AS (
+  SELECT r, first(spdx ORDER BY cosine DESC, k) AS license, max(cosine) AS cosine, sum(n) AS n FROM hit GROUP BY r
+), sizes AS (
+  SELECT r, sum(len(ts)) AS n FROM segs GROUP BY r
+), files AS (
+  SELECT f.*, o.license, o.cosine, o.n * 2 >= z.n AS is_file FROM f LEFT JOIN own o USING (r) LEFT JOIN sizes z USING (r)
+), given AS (
+  SELECT directory, first(license ORDER BY cosine DESC, path) AS license FROM files WHERE is_file GROUP BY directory
+)
+SELECT f.path, f.doc_id, coalesce(f.license, g.license) AS license,
+  CASE WHEN f.license IS NOT NULL THEN 'own' WHEN g.license IS NOT NULL THEN 'inherited' END AS how, f.cosine,
+  CASE WHEN f.license IS NULL THEN g.directory END AS inherited_from
+FROM files f LEFT JOIN given g USING (directory)
+"""
+
 OP10 = f"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents
@@ -129,4 +185,4 @@ FROM f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2, "op4_warc": OP4, "op7_mixing": OP7, "op10_quality_rules": OP10}
+    return {"op2_substring_dedup": OP2, "op4_warc": OP4, "op7_mixing": OP7, "op8_licenses": OP8, "op10_quality_rules": OP10}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, line_templates, pitman_yor, warc_store, window_dedup
+from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, licenses, line_templates, pitman_yor, warc_store, window_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: source / language / id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.col("doc_id").cast("string"))
+    return licenses.scan(docs, path, F.col("text"), doc_id=F.col("doc_id"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -83,6 +90,7 @@ def queries() -> dict[str, QueryFn]:
         "op5_decontamination": op5_decontamination,
         "op6_lm_scoring": op6_lm_scoring,
         "op7_mixing": op7_mixing,
+        "op8_licenses": op8_licenses,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
     }
