@@ -10,9 +10,10 @@ variable fields: tokens with digits, and one stretch of the line.
 A template that occurs in two documents or more is recurring. Its lines stay in
 the document with the smallest id and are dropped from all others.
 
-Templates are 64-bit hashes. Their smallest and largest document are
-pre-aggregated per task; the recurring ones are written before they are joined
-back, so Spark knows their size and splits hot templates.
+Templates are 64-bit hashes, written once for all lines. Their smallest and
+largest document are pre-aggregated per task; the recurring ones are written
+before they are joined back, so Spark knows their size and splits hot
+templates.
 
 Defined results: a null text stays null; lines with fewer than ``min_tokens``
 tokens always stay; a line whose tokens are mostly wildcards is taken literally;
@@ -34,28 +35,35 @@ _NO_ID = (1 << 63) - 1
 _PARTS = 4
 
 
-def generalised(line: Column) -> Column:
-    """Tokens of a line, those with a digit replaced by the wildcard if at most half have one."""
-    spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
-    masked = F.regexp_replace(spaced, "(?<![^ ])[^ ]*[0-9][^ ]*", WILDCARD)
+def _tokens(spaced: Column) -> Column:
+    return F.array_remove(F.split(spaced, " "), "")
 
-    def split(x: Column) -> Column:
-        return F.filter(F.split(x, " "), lambda w: w != "")
 
-    wild = F.size(F.filter(split(masked), lambda w: w == WILDCARD))
-    return F.when(~line.rlike("[0-9]") | (wild * 2 > F.size(split(spaced))), split(spaced)).otherwise(split(masked))
+def generalised(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``tokens`` in place of ``line``: those with a digit become the wildcard if at most half have one."""
+    line = F.col("line")
+    rest = [c for c in lines.columns if c != "line"]
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+    spaced = F.when(other, F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    masked = _tokens(F.regexp_replace("spaced", "(?<![^ ])[^ ]*[0-9][^ ]*", WILDCARD))
+    split = lines.select(*rest, spaced.alias("spaced")).select(
+        *rest, _tokens(F.col("spaced")).alias("plain"), F.when(F.col("spaced").rlike("[0-9]"), masked).alias("masked"))
+    wild = F.size("masked") - F.size(F.array_remove("masked", WILDCARD))
+    return split.select(*rest, F.when(wild * 2 <= F.size("masked"), F.col("masked")).otherwise(F.col("plain")).alias("tokens"))
 
 
-def template_keys(tokens: Column, depth: int, min_wild: int) -> Column:
-    """Array of the templates of a line with more than ``depth`` tokens."""
-    n = F.size(tokens)
-    rest = n - depth
-    cuts = [F.shiftright(rest * i, 2) for i in range(_PARTS + 1)]
-    stretch = [F.xxhash64(F.slice(tokens, cuts[i] + depth + 1, cuts[i + 1] - cuts[i])) for i in range(_PARTS)]
-    leaf = F.xxhash64(n, F.slice(tokens, 1, depth))
+def template_keys(lines: DataFrame, depth: int, min_tokens: int, min_wild: int) -> DataFrame:
+    """``lines`` with a row for each ``template`` of its ``tokens``, which go."""
+    rest = [c for c in lines.columns if c != "tokens"]
+    n = F.size("tokens")
+    cuts = [F.shiftright((n - depth) * i, 2) for i in range(_PARTS + 1)]
+    parts = [F.xxhash64(F.slice("tokens", cuts[i] + depth + 1, cuts[i + 1] - cuts[i])) for i in range(_PARTS)]
+    hashed = lines.select(*rest, n.alias("n"), F.when(n >= min_tokens, F.array(F.xxhash64(n, F.slice("tokens", 1, depth)), *parts)).alias("h"))
+    leaf, stretch = F.get("h", F.lit(0)), [F.get("h", F.lit(i + 1)) for i in range(_PARTS)]
     whole = F.xxhash64(leaf, F.lit(-1), *stretch)
     open_ = [F.xxhash64(leaf, F.lit(i), *[s for j, s in enumerate(stretch) if j != i]) for i in range(_PARTS)]
-    return F.when(n >= min_wild, F.array(whole, *open_)).otherwise(F.array(whole))
+    keys = F.when(F.col("n") >= min_wild, F.array(whole, *open_)).when(F.col("n") >= min_tokens, F.array(whole))
+    return hashed.select(*rest, F.explode(keys).alias("template"))
 
 
 def dropped_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, min_wild: int = 8, doc_id: str = "doc_id",
@@ -64,11 +72,11 @@ def dropped_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, min_wild
     if min_tokens <= depth:
         raise ValueError("min_tokens must exceed depth")
     spark = docs.sparkSession
-    lines = docs.select(
-        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("version"),
-        F.posexplode(F.split(F.col(f"`{text}`"), "\n", -1)).alias("line_no", "line"),
-    ).select("doc", "version", "line_no", generalised(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    keys = lines.select("doc", "version", "line_no", F.explode(template_keys(F.col("tokens"), depth, min_wild)).alias("template"))
+    content = F.col(f"`{text}`")
+    hashed = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(content).alias("version"),
+                         F.split(content, "\n", -1).alias("lines"))
+    lines = hashed.select("doc", "version", F.posexplode("lines").alias("line_no", "line"))
+    keys = write_and_reread(spark, template_keys(generalised(lines), depth, min_tokens, min_wild), "line_templates")
     recurring = keys.groupBy("template").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
     recurring = write_and_reread(spark, recurring.select(F.col("template").alias("__template"), "first_doc"), "recurring_templates")
     hits = keys.join(recurring, F.col("template") == F.col("__template")).where("doc > first_doc")
