@@ -2,16 +2,18 @@
 
 Protected entities are the personal data that patterns find: e-mail addresses,
 IP addresses, card numbers and phone numbers (the base spans). Which other terms
-give an entity away is learnt from the corpus: over its distinct lines, a term
-t discloses the share PMI(t; e) / IC(e) of an entity's information, where
+give an entity away is learnt from the corpus: over all its lines, a term t
+discloses the share PMI(t; e) / IC(e) of an entity's information, where
 IC(e) = -log2 p(e) and PMI(t; e) = log2 p(t, e) / (p(t) p(e)). A term that meets
-an entity on ``min_lines`` distinct lines or more and discloses
+an entity on ``min_lines`` different lines or more and discloses
 ``remove_share`` of it is removed where it occurs, one that discloses
-``generalise_share`` is generalised.
+``generalise_share`` is generalised. Copies of one line are not different, so
+repeated documents disclose nothing by themselves.
 
-Copies of a line count once, so repeated documents disclose nothing by
-themselves. Counts are pre-aggregated per task; the candidate terms are written
-before they are joined with all words, so Spark knows their size.
+Counts are pre-aggregated per task. The terms to be counted, and then the
+disclosing ones, are written before they are joined with all words, so Spark
+knows their size; what is shuffled of the words is a count per term and task,
+and the documents with a disclosing term.
 
 A pattern cannot match a line feed, so lines hold the same spans as the text.
 
@@ -48,6 +50,7 @@ _SEARCH = {
     "phone": PHONE,
 }
 _MAY_HAVE = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -111,21 +114,20 @@ def _entities(line: Column, kind: str) -> Column:
 
 
 def term_of(word: Column) -> Column:
-    """A word in lower case without punctuation at its ends."""
-    return F.regexp_replace(F.lower(word), r"^\p{Punct}+|\p{Punct}+$", "")
+    """A lower-case word without ASCII punctuation at its ends."""
+    return F.btrim(word, F.lit(_PUNCTUATION))
 
 
 def _terms(line: Column) -> Column:
-    """The distinct terms of a line that hold neither digit nor @."""
-    words = F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " ")
-    return F.filter(F.array_distinct(F.transform(words, term_of)), lambda t: (t != "") & ~t.rlike("[0-9@]"))
+    """The distinct terms of a line, the empty one among them (so that it counts lines)."""
+    words = F.split(F.lower(line), r"[\x20\t\x0b\x0c\r]")
+    return F.array_distinct(F.concat(F.transform(words, term_of), F.array(F.lit(""))))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     content = F.col(f"`{text}`")
-    return docs.select(
-        F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(content).alias("version"), F.explode(F.split(content, "\n")).alias("line")
-    ).withColumn("line_hash", F.xxhash64("line"))
+    hashed = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(content).alias("version"), F.split(content, "\n").alias("lines"))
+    return hashed.select("doc", "version", F.explode("lines").alias("line")).withColumn("line_hash", F.xxhash64("line"))
 
 
 def disclosing_terms(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str = "doc_id",
@@ -138,22 +140,26 @@ def disclosing_terms(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id:
     mentions = mentions.where(F.size("entities") > 0).select("line_hash", F.explode("entities").alias("entity"), _terms(F.col("line")).alias("terms"))
     mentions = write_and_reread(spark, mentions, "pii_mentions")
 
-    n_entity = mentions.select("entity", "line_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    meet = mentions.select("entity", "line_hash", F.explode("terms").alias("term")).distinct()
-    meet = meet.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= limits.min_lines)
+    n_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    meet = mentions.select("entity", "line_hash", F.explode("terms").alias("term")).where("term <> '' and not term rlike '[0-9@]'")
+    meet = meet.groupBy("entity", "term", "line_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
+        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= limits.min_lines)
     meet = write_and_reread(spark, meet.join(n_entity, "entity"), "pii_pairs")
 
-    asked = write_and_reread(spark, meet.select(F.col("term").alias("__term")).distinct(), "pii_terms")
-    words = lines.select("doc", "version", "line_hash", F.explode(_terms(F.col("line"))).alias("term"))
-    occur = write_and_reread(spark, words.join(asked, F.col("term") == F.col("__term")).drop("__term"), "pii_occurrences")
-    n_term = occur.select("term", "line_hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = lines.agg(F.count_distinct("line_hash").alias("n")).first()["n"]
+    words = lines.select("doc", "version", F.explode(_terms(F.col("line"))).alias("term"))
+    asked = meet.select(F.col("term").alias("__term")).unionAll(spark.createDataFrame([("",)], "__term string")).distinct()
+    asked = write_and_reread(spark, asked, "pii_terms")
+    n_term = words.join(asked, F.col("term") == F.col("__term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_term = write_and_reread(spark, n_term, "pii_term_counts")
+    lines_row = n_term.where("term = ''").first()
+    total = float(lines_row["n_term"]) if lines_row else 0.0
 
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    share = pmi / F.log2(F.lit(float(total)) / F.col("n_entity"))
+    pmi = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
+    share = F.try_divide(pmi, F.log2(F.lit(total) / F.col("n_entity")))
     found = meet.join(n_term, "term").groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= limits.generalise_share)
     found = write_and_reread(spark, found, "pii_disclosing")
-    return found, occur.select("doc", "version", "term").distinct()
+    where = words.join(found.select(F.col("term").alias("__term")), F.col("term") == F.col("__term"))
+    return found, where.select("doc", "version", "term").distinct()
 
 
 def find_spans(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str = "doc_id", text: str = "text",
@@ -175,7 +181,7 @@ def find_spans(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str =
 
     def step(acc: Column, word: Column) -> Column:
         end = acc["at"] + F.length(word)
-        to = F.try_element_at(F.col("__terms"), term_of(word))
+        to = F.try_element_at(F.col("__terms"), term_of(F.lower(word)))
         one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), to.alias("value")))
         return F.struct((end + 1).alias("at"), F.when(to.isNull(), acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
 
