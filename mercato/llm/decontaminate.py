@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import hashes, mixed, starts_of, steps, tokenise, utf8
+from .words import hashes, mixed, starts_of, steps, tokenise
 
 _M = np.uint64
 BYTES = 16
@@ -206,9 +206,8 @@ def _over(docs: DataFrame, text: str, keep: dict[str, Column], schema: T.StructT
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in stream:
-            texts = utf8(rows.column(0))
-            for a, b in steps([len(t) for t in texts]):
-                yield work(rows.slice(a, b - a), texts[a:b])
+            for a, b, texts in steps(rows.column(0)):
+                yield work(rows.slice(a, b - a), texts)
 
     return src.mapInArrow(run, schema)
 

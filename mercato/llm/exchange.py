@@ -77,13 +77,12 @@ def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBa
     """Name, rows and texts (the first column) of each batch of a partition."""
     part, n = TaskContext.get().partitionId(), 0
     for rows in stream:
-        texts = utf8(rows.column(0))
-        for a, b in steps([len(t) for t in texts]):
+        for a, b, texts in steps(rows.column(0)):
             seen = xxhash.xxh3_128()
-            for t in texts[a:b]:
+            for t in texts:
                 seen.update(b"%d:" % len(t))
                 seen.update(t)
-            yield f"{part}:{n}:{seen.hexdigest()}", rows.slice(a, b - a), texts[a:b]
+            yield f"{part}:{n}:{seen.hexdigest()}", rows.slice(a, b - a), texts
             n += 1
 
 

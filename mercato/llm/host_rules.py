@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.materialize import write_and_reread
-from .words import per_run, steps, tokenise, utf8
+from .words import per_run, steps, tokenise
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -85,9 +85,8 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         rest = [batch.column(i) for i in range(1, batch.num_columns)]
         names = batch.schema.names[1:]
-        texts = utf8(batch.column(0))
-        for a, b in steps([len(t) for t in texts]):
-            got = _measure_texts(texts[a:b])
+        for a, b, texts in steps(batch.column(0)):
+            got = _measure_texts(texts)
             yield pa.RecordBatch.from_arrays(
                 [c.slice(a, b - a) for c in rest] + [pa.array(got[m], pa.int64()) for m in MEASURES], names + MEASURES
             )

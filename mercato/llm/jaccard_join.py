@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.materialize import write_and_reread
+from ..session import scratch_path
 from .components import components
 from .exchange import mark_repeated
 from .words import hashes, mixed, starts_of, tokenise
@@ -206,7 +207,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, pct: int = 90, block: int = 128
     def written(df: DataFrame, name: str) -> DataFrame:
         return write_and_reread(spark, df, f"jaccard_{name}")
 
-    sets = written(_sets(docs, k, pct, doc_id, text, keep), "sets")
+    def written_raw(df: DataFrame, name: str) -> DataFrame:
+        """Hashes do not compress; without trying, the writers need less memory."""
+        path = scratch_path(spark, f"jaccard_{name}")
+        df.write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(path)
+        return spark.read.parquet(path)
+
+    sets = written_raw(_sets(docs, k, pct, doc_id, text, keep), "sets")
     spots = sets.select("class", F.explode("segments").alias("segment"))
     shared = spots.groupBy("segment").agg(F.min("class").alias("lead"), F.max("class").alias("last")).where("lead <> last")
     shared = written(shared.select(F.col("segment").alias("__segment"), "lead"), "shared")
@@ -217,7 +224,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, pct: int = 90, block: int = 128
     blocks = written(blocks.withColumnRenamed("label", "__label"), "blocks")
     placed = groups.join(blocks, F.col("label") == F.col("__label")).select(F.col("node"), F.col("label").alias("comp"), "blocks")
     candidates = sets.where("shingles is not null").groupBy("class").agg(F.first("shingles").alias("shingles"))
-    members = written(candidates.join(written(placed, "placed"), F.col("class") == F.col("node")).drop("node"), "members")
+    members = written_raw(candidates.join(written(placed, "placed"), F.col("class") == F.col("node")).drop("node"), "members")
 
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     spread = F.when(F.col("class") == F.col("comp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
@@ -226,7 +233,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, pct: int = 90, block: int = 128
     labels = written(components(links).withColumnRenamed("label", "found"), "labels")
 
     large = members.where("blocks > 1").join(labels, F.col("class") == F.col("node"), "left").drop("node")
-    large = written(large.withColumn("label", F.coalesce("found", "class")).drop("found"), "large")
+    large = written_raw(large.withColumn("label", F.coalesce("found", "class")).drop("found"), "large")
     open_ = large.groupBy("comp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     open_ = written(open_.select(F.col("comp").alias("__comp")), "open")
     rest = large.join(open_, F.col("comp") == F.col("__comp"), "left_semi").withColumn("own", own).withColumn(

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .words import utf8
+from .words import steps
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -38,9 +38,8 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Len
 def _digest(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for rows in stream:
-        for a in range(0, rows.num_rows, 500):
-            part = rows.slice(a, 500)
-            payloads = utf8(part.column(2))
+        for a, b, payloads in steps(rows.column(2)):
+            part = rows.slice(a, b - a)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
                  pa.array([len(p) for p in payloads], pa.int64()), pa.array([packer.compress(p) for p in payloads], pa.binary())],

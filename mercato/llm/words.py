@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one step of a batch works on; a longer text is a step of its own.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 2_000_000
 
 
 def words(text: Column) -> Column:
@@ -42,16 +43,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def steps(sizes: list[int], most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Cut rows into runs of at most ``most`` bytes (one row at least)."""
+def steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Cut a string column into runs of rows with at most ``most`` bytes (one row at least): start, end, texts."""
+    raw = column.cast(pa.large_binary())
     start = held = 0
-    for i, n in enumerate(sizes):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(raw), 0).to_pylist()):
         if held and held + n > most:
-            yield start, i
+            yield start, i, utf8(raw.slice(start, i - start))
             start, held = i, 0
         held += n
-    if start < len(sizes):
-        yield start, len(sizes)
+    if start < len(raw):
+        yield start, len(raw), utf8(raw.slice(start))
 
 
 def tokenise(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
