@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.materialize import write_and_reread
+from .tables import settled
 
 
 def _smallest(links: DataFrame) -> DataFrame:
     """(a, low) per node a: the smallest of it and its neighbours b."""
     low = links.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("__a"), F.least("a", "low").alias("low"))
-    return write_and_reread(links.sparkSession, low, "component_minima")
+    return settled(low, "component_minima")
 
 
 def _state(links: DataFrame) -> tuple:
@@ -30,9 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     Links to itself and repeated links do no harm; a null on either side is no
     link; without links the result is empty.
     """
-    spark = links.sparkSession
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = write_and_reread(spark, now, "component_links")
+    now = settled(now, "component_links")
     state = _state(now)
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -42,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, F.col("a") == F.col("__a")).select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))).alias("x")
         ).select("x.*").where("a <> b").distinct()
-        now = write_and_reread(spark, small, "component_links")
+        now = settled(small, "component_links")
         before, state = state, _state(now)
         if before == state:
             break

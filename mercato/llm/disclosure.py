@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.materialize import write_and_reread
+from .tables import settled
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -144,20 +145,20 @@ def disclosing_terms(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id:
     meet = mentions.select("entity", "line_hash", F.explode("terms").alias("term")).where("term <> '' and not term rlike '[0-9@]'")
     meet = meet.groupBy("entity", "term", "line_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
         F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= limits.min_lines)
-    meet = write_and_reread(spark, meet.join(n_entity, "entity"), "pii_pairs")
+    meet = settled(meet.join(n_entity, "entity"), "pii_pairs")
 
     words = lines.select("doc", "version", F.explode(_terms(F.col("line"))).alias("term"))
     asked = meet.select(F.col("term").alias("__term")).unionAll(spark.createDataFrame([("",)], "__term string")).distinct()
-    asked = write_and_reread(spark, asked, "pii_terms")
+    asked = settled(asked, "pii_terms")
     n_term = words.join(asked, F.col("term") == F.col("__term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n_term = write_and_reread(spark, n_term, "pii_term_counts")
+    n_term = settled(n_term, "pii_term_counts")
     lines_row = n_term.where("term = ''").first()
     total = float(lines_row["n_term"]) if lines_row else 0.0
 
     pmi = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
     share = F.try_divide(pmi, F.log2(F.lit(total) / F.col("n_entity")))
     found = meet.join(n_term, "term").groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= limits.generalise_share)
-    found = write_and_reread(spark, found, "pii_disclosing")
+    found = settled(found, "pii_disclosing")
     where = words.join(found.select(F.col("term").alias("__term")), F.col("term") == F.col("__term"))
     return found, where.select("doc", "version", "term").distinct()
 
@@ -171,7 +172,7 @@ def find_spans(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str =
     becomes = F.when(F.col("share") >= limits.remove_share, F.lit("")).otherwise(F.lit("<term>"))
     where = occur.join(found.select(F.col("term").alias("__term"), becomes.alias("becomes")), F.col("term") == F.col("__term"))
     per_doc = where.groupBy("doc", "version").agg(F.map_from_entries(F.collect_set(F.struct("term", "becomes"))).alias("__terms"))
-    per_doc = write_and_reread(spark, per_doc, "pii_by_document").withColumnsRenamed({"doc": "__doc", "version": "__version"})
+    per_doc = settled(per_doc, "pii_by_document").withColumnsRenamed({"doc": "__doc", "version": "__version"})
 
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *[c.alias(n) for n, c in keep.items()], content.alias("text"),

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.materialize import write_and_reread
+from .tables import settled
 from .words import per_run, steps, tokenise
 
 SYMBOLS = b"#*$%&|<>"
@@ -123,7 +123,7 @@ def host_verdicts(measured: DataFrame, r: Rules = Rules(), host: str = "host") -
     hosts = measured.groupBy(F.col(host)).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(rules[s].cast("long")).alias(s) for s in SOFT]
     )
-    hosts = write_and_reread(measured.sparkSession, hosts, "host_failures")
+    hosts = settled(hosts, "host_failures")
     fit = hosts.agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n"),
@@ -147,7 +147,7 @@ def judge(measured: DataFrame, r: Rules = Rules(), host: str = "host") -> DataFr
     The host table is written first, so Spark knows its size: it broadcasts it
     under its threshold and else splits hot hosts in the sort-merge join.
     """
-    hosts = write_and_reread(measured.sparkSession, host_verdicts(measured, r, host), "host_verdicts")
+    hosts = settled(host_verdicts(measured, r, host), "host_verdicts")
     hosts = hosts.select(F.col(host).alias("__host"), *[F.col(f"{s}_rate").alias(f"__{s}") for s in SOFT])
     rules = failures(r)
     mild = F.lit(False)

@@ -38,10 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.materialize import write_and_reread
 from ..session import scratch_path
 from .components import components
 from .exchange import mark_repeated
+from .tables import settled
 from .words import hashes, mixed, starts_of, tokenise
 
 _M = np.uint64
@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, pct: int = 90, block: int = 128
     spark = docs.sparkSession
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        return write_and_reread(spark, df, f"jaccard_{name}")
+        return settled(df, f"jaccard_{name}")
 
     def written_raw(df: DataFrame, name: str) -> DataFrame:
         """Hashes do not compress; without trying, the writers need less memory."""

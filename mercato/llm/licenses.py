@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.materialize import write_and_reread
+from .tables import settled
 from .words import lower_ascii
 
 # License notices by SPDX identifier.
@@ -116,7 +117,7 @@ def licensed_segments(files: DataFrame, templates: list[tuple[str, str]], min_co
         "dots", lambda d, i: F.struct(F.round(d / F.col("norm"), 6).alias("cosine"), (-i).alias("minus")))).alias("best"))
     found = found.where(F.col("best.cosine") >= min_cosine).select(
         "path", "version", "segment_no", "n_terms", (-F.col("best.minus")).alias("template"), F.col("best.cosine").alias("cosine"))
-    return write_and_reread(spark, found, "license_segments")
+    return settled(found, "license_segments")
 
 
 def scan(files: DataFrame, path: Column, text: Column, templates: list[tuple[str, str]] = TEMPLATES, min_cosine: float = 0.6,
@@ -131,7 +132,7 @@ def scan(files: DataFrame, path: Column, text: Column, templates: list[tuple[str
         F.max(F.struct("cosine", (-F.col("template")).alias("minus"))).alias("best"), F.sum("n_terms").alias("license_terms"))
     own = own.select(F.col("path").alias("__path"), F.col("version").alias("__version"), F.get(names, -F.col("best.minus")).alias("license"),
                      F.col("best.cosine").alias("cosine"), "license_terms")
-    own = write_and_reread(spark, own, "license_own")
+    own = settled(own, "license_own")
 
     n_terms = F.aggregate(F.transform(F.split(F.coalesce("text", F.lit("")), SEGMENT_END, -1), lambda s: F.size(terms(s))), F.lit(0), lambda a, n: a + n)
     directory = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit(""))
@@ -142,13 +143,13 @@ def scan(files: DataFrame, path: Column, text: Column, templates: list[tuple[str
 
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "license"))
     given = sized.where("is_license_file").groupBy("directory").agg(best.alias("best")).select(F.col("directory").alias("above"), F.col("best.license").alias("given"))
-    given = write_and_reread(spark, given, "license_given")
+    given = settled(given, "license_given")
     steps = F.split("directory", "/")
     ancestors = F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/")))
     nearest = sized.select("directory").distinct().select("directory", F.explode(F.array_distinct(ancestors)).alias("ancestor"))
     nearest = nearest.join(given, F.col("ancestor") == F.col("above")).groupBy("directory").agg(
         F.max_by(F.struct("above", "given"), F.length("above")).alias("nearest"))
-    nearest = write_and_reread(spark, nearest.select(F.col("directory").alias("__directory"), "nearest.above", "nearest.given"), "license_nearest")
+    nearest = settled(nearest.select(F.col("directory").alias("__directory"), "nearest.above", "nearest.given"), "license_nearest")
 
     out = sized.join(nearest, F.col("directory") == F.col("__directory"), "left")
     has = F.col("license").isNotNull()

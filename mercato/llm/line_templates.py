@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.materialize import write_and_reread
+from .tables import settled
 
 WILDCARD = "<*>"
 _NO_ID = (1 << 63) - 1
@@ -78,10 +79,10 @@ def dropped_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, min_wild
     lines = hashed.select("doc", "version", F.posexplode("lines").alias("line_no", "line"))
     keys = write_and_reread(spark, template_keys(generalised(lines), depth, min_tokens, min_wild), "line_templates")
     recurring = keys.groupBy("template").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
-    recurring = write_and_reread(spark, recurring.select(F.col("template").alias("__template"), "first_doc"), "recurring_templates")
+    recurring = settled(recurring.select(F.col("template").alias("__template"), "first_doc"), "recurring_templates")
     hits = keys.join(recurring, F.col("template") == F.col("__template")).where("doc > first_doc")
     found = hits.groupBy("doc", "version").agg(F.collect_set("line_no").alias("lines"))
-    return write_and_reread(spark, found, "dropped_lines")
+    return settled(found, "dropped_lines")
 
 
 def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:

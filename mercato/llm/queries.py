@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.materialize import write_and_reread
 from ..session import scratch_path
 from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, licenses, line_templates, pitman_yor, warc_store, window_dedup
 
@@ -75,7 +76,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = host_rules.measure(docs, doc_id=F.col("doc_id"), host=F.col("source"))
-    measured = host_rules.write_and_reread(spark, measured, "measures")
+    measured = write_and_reread(spark, measured, "measures")
     return host_rules.judge(measured).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
