@@ -90,7 +90,7 @@ def held_batches(src: DataFrame) -> DataFrame:
     """(batch, body): the rows of every batch, compressed."""
 
     def hold(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
         for name, rows, _ in batches(stream):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
