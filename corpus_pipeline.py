@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mercato.llm import curriculum, decontaminate, host_rules, jaccard_join, line_templates
+from mercato.llm.tables import settled
 from mercato.operators.materialize import write_and_reread
 
 
@@ -37,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ident, version = F.coalesce("doc_id", F.lit(2**63 - 1)), F.xxhash64("text")
     found = jaccard_join.near_duplicates(docs, version=version).where("group_id is not null")
     lead = found.groupBy("group_id").agg(F.min(F.struct(ident.alias("__id"), F.col("version").alias("__text"))).alias("lead"))
-    lead = write_and_reread(spark, lead.select("lead.*"), "near_leads")
+    lead = settled(lead.select("lead.*"), "near_leads")
     rows = docs.select(F.struct(*docs.columns).alias("row"), ident.alias("id"), version.alias("version"),
                        F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("has_words"))
     kept = rows.where("has_words").join(lead, (F.col("id") == F.col("__id")) & (F.col("version") == F.col("__text")))
