@@ -36,10 +36,10 @@ from .money import (  # noqa: E402
     MONEY_SCALE,
     half_even_div,
     mean_money,
-    money_sum,
     money_units,
+    share,
     sum_units,
     units_to_money,
 )
 
-__all__ += ["MONEY_SCALE", "half_even_div", "mean_money", "money_sum", "money_units", "sum_units", "units_to_money"]
+__all__ += ["MONEY_SCALE", "half_even_div", "mean_money", "money_units", "share", "sum_units", "units_to_money"]

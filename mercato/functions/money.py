@@ -3,13 +3,15 @@
 Line totals are doubles (price x quantity). Summing doubles gives results
 that change in the last bits with partitioning and task order, so at scale
 the same query would return slightly different revenue from run to run. All
-money aggregates therefore sum **integer units of 1/10000** (BIGINT): exact,
-associative, and cheaper than double sums. A result is turned back into a
-double once, at the end.
-
-``half_even_div`` rounds an exact quotient of two integers half-to-even in
-integer arithmetic, so displayed means and thousands never depend on how a
-binary double happens to sit next to a .5 tie.
+money aggregates therefore sum whole **units of 1e-10** as DECIMAL(38, 0):
+associative, and without a ceiling below 1e28. A double becomes units through
+its shortest decimal, so what was written with ten decimals or fewer is taken
+as written. A value that is no number (NaN, infinite) counts as missing in
+sums. A result is turned back into a double once, at the end.
+
+``half_even_div`` rounds an exact quotient of two whole numbers half-to-even,
+so displayed means and thousands never depend on how a binary double happens
+to sit next to a .5 tie.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 10_000
+MONEY_SCALE = 10_000_000_000
 
 
 def _c(col: str | Column) -> Column:
@@ -25,8 +27,11 @@ def _c(col: str | Column) -> Column:
 
 
 def money_units(col: str | Column) -> Column:
-    """Money value -> BIGINT units of 1/MONEY_SCALE."""
-    return F.round(_c(col) * MONEY_SCALE).cast("bigint")
+    """Money value -> DECIMAL(38, 0) units of 1/MONEY_SCALE (from 1e18 on, where a
+    double is coarser than that, by a product of doubles)."""
+    c = _c(col)
+    exact = (c.try_cast("decimal(28,10)") * F.lit(MONEY_SCALE).cast("decimal(11,0)")).cast("decimal(38,0)")
+    return F.coalesce(exact, F.rint(c * float(MONEY_SCALE)).try_cast("decimal(38,0)"))
 
 
 def sum_units(col: str | Column) -> Column:
@@ -35,32 +40,33 @@ def sum_units(col: str | Column) -> Column:
 
 
 def units_to_money(units: str | Column) -> Column:
-    return _c(units) / float(MONEY_SCALE)
+    return _c(units).cast("double") / float(MONEY_SCALE)
 
 
-def money_sum(col: str | Column) -> Column:
-    """Exact sum of a money column, as a double."""
-    return units_to_money(sum_units(col))
+def share(part: str | Column, whole: str | Column) -> Column:
+    """Quotient of two unit sums as a double; NULL when the whole is 0."""
+    return F.try_divide(_c(part).cast("double"), _c(whole).cast("double"))
 
 
 def half_even_div(num: str | Column, den: str | Column) -> Column:
-    """round_half_even(num / den) for BIGINT num and den > 0, exactly, with
-    integral division (``div``) and a remainder test; symmetric for num < 0.
-    A non-positive den is treated as 1 (callers guard that case)."""
-    n = _c(num)
-    d = F.greatest(_c(den), F.lit(1)).cast("bigint")
+    """round_half_even(num / den) for whole num (BIGINT or DECIMAL(38, 0)) and
+    den > 0, exactly, with integral division (``div``) and a remainder test;
+    symmetric for num < 0. A non-positive den is treated as 1 (callers guard
+    that case)."""
+    n = _c(num).cast("decimal(38,0)")
+    d = F.greatest(_c(den).cast("decimal(38,0)"), F.lit(1).cast("decimal(38,0)"))
     a = F.abs(n)
     q = F.call_function("div", a, d)
-    twice_r = (a - q * d) * 2
-    up = (twice_r > d) | ((twice_r == d) & (F.pmod(q, F.lit(2)) == 1))
+    r = a - q.cast("decimal(20,0)") * d
+    up = (r > d - r) | ((r == d - r) & (F.pmod(q, F.lit(2)) == 1))
     rounded = q + up.cast("bigint")
     return F.when(n < 0, -rounded).otherwise(rounded)
 
 
 def mean_money(units_sum: str | Column, count: str | Column, decimals: int = 2) -> Column:
     """Mean of a money column from its unit sum and count, rounded half-even
-    to ``decimals`` (<= 4) exactly; NULL when count is 0."""
+    to ``decimals`` exactly; NULL when count is 0."""
     step = MONEY_SCALE // (10**decimals)
     c = _c(count)
-    rounded = half_even_div(_c(units_sum), c * step)
+    rounded = half_even_div(units_sum, c.cast("decimal(20,0)") * F.lit(step).cast("decimal(11,0)"))
     return F.when(c > 0, rounded / float(10**decimals))

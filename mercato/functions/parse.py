@@ -18,18 +18,18 @@ def decimal_comma_to_double(col: str | Column) -> Column:
     return F.replace(_c(col), F.lit(","), F.lit(".")).try_cast("double")
 
 
-def _count(c: Column, ch: str) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))
+#: Day, month, hour and minute of one or two digits, a year of four, nothing else.
+INVOICE_DATE = r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{1,2}\z"
 
 
 def parse_invoice_ts(col: str | Column, strict: bool = False) -> Column:
     """``'1/12/2009 7:45'`` -> TIMESTAMP_NTZ 2009-12-01 07:45 (``d/M/yyyy H:mm``).
 
-    The text is cut into its five numbers with ``substring_index`` (no regex,
-    no per-row formatter) and assembled with ``try_make_timestamp_ntz``, so the
-    result never depends on the session time zone (no DST gaps) and an
-    impossible date such as 31/2 becomes NULL. The text must have exactly two
-    '/', one ' ' and one ':'; anything else is NULL. With ``strict=True`` a
+    The text must have the shape ``INVOICE_DATE``; anything else (signs, other
+    year lengths, text before or after) is NULL. Its five numbers are cut out
+    with ``substring_index`` and assembled with ``try_make_timestamp_ntz``, so
+    the result never depends on the session time zone (no DST gaps) and an
+    impossible date such as 31/2 becomes NULL. With ``strict=True`` a
     non-missing value that does not parse raises instead.
     """
     c = _c(col)
@@ -44,8 +44,7 @@ def parse_invoice_ts(col: str | Column, strict: bool = False) -> Column:
         mins=num(F.substring_index(time_part, ":", -1)),
         secs=F.lit(0),
     )
-    shape = (_count(c, "/") == 2) & (_count(c, " ") == 1) & (_count(c, ":") == 1)
-    parsed = F.when(shape, ts)
+    parsed = F.when(c.rlike(INVOICE_DATE), ts)
     if strict:
         return F.when(c.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("bad InvoiceDate: "), c))).otherwise(
             parsed

@@ -1,15 +1,13 @@
-"""Reusable DataFrame operators: joins with bounded broadcast, top-k and
+"""Reusable DataFrame operators: joins with literal dimensions, top-k and
 ordered windows over aggregated rows, an exact distributed quantile, column
 profiling, materialisation."""
 
-from .joins import bounded_broadcast, lookup_join, present_members
+from .joins import present_members
 from .materialize import write_and_reread
 from .profile import describe_columns, null_counts
 from .quantile import exact_quantile
 from .ranking import (
-    first_by,
     max_over_all,
-    moving_avg,
     over_all,
     position,
     rows_over_all,
@@ -19,16 +17,12 @@ from .ranking import (
 )
 
 __all__ = [
-    "bounded_broadcast",
-    "lookup_join",
     "present_members",
     "write_and_reread",
     "describe_columns",
     "exact_quantile",
     "null_counts",
-    "first_by",
     "max_over_all",
-    "moving_avg",
     "over_all",
     "position",
     "rows_over_all",

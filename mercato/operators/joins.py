@@ -1,39 +1,18 @@
-"""Join helpers.
-
-Broadcasting is only safe for a side whose size is bounded. ``bounded_broadcast``
-takes that bound as an argument (a literal dimension knows its row count) and
-hints a broadcast only when it is under the limit; otherwise the plain
-DataFrame is returned and Spark/AQE choose the join strategy from statistics.
-"""
+"""Join helpers for dimensions that are literals of this library (their rows are written in the code)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest side (rows) ever hinted for broadcast by this library.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, known_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of ``df`` if its known row count is within ``max_rows``."""
-    if known_rows is not None and 0 <= known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_join(facts: DataFrame, dim: DataFrame, on: str, dim_rows: int, how: str = "inner") -> DataFrame:
-    """Equi-join a fact table with a small dimension of ``dim_rows`` rows."""
-    return facts.join(bounded_broadcast(dim, dim_rows), on=on, how=how)
-
 
-def present_members(dim: DataFrame, facts: DataFrame, key: str, dim_rows: int) -> DataFrame:
-    """Left-semi join: the dimension rows whose ``key`` occurs in ``facts``.
+def present_members(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left-semi join: the rows of a literal dimension whose ``key`` occurs in ``facts``.
 
     Written as facts -> broadcast dimension -> distinct, so the large side is
     never shuffled row by row: the join runs map-side and the distinct is
     partially aggregated per partition before a shuffle of at most
-    ``dim_rows`` rows per partition.
+    the dimension's rows per partition.
     """
-    hit = facts.select(key).join(bounded_broadcast(dim.select(key), dim_rows), on=key, how="left_semi")
+    hit = facts.select(key).join(F.broadcast(dim.select(key)), on=key, how="left_semi")
     return dim.join(hit.distinct(), on=key, how="left_semi")

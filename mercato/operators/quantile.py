@@ -7,16 +7,14 @@ DuckDB ``quantile_cont``) as a distributed job:
 
 1. value histogram: ``groupBy(value).sum(weight)`` (partial aggregation per
    task, so a value holding a third of the rows sends one row per task);
-2. ``repartitionByRange(buckets, value)``: contiguous, ordered value ranges
-   with balanced numbers of distinct values; ``spark_partition_id()`` names
-   the range;
-3. per-range totals (one row per range) -> cumulative offsets with a window
-   over those few rows only;
-4. running counts inside each range (window partitioned by range);
-5. the values at the two bracketing ranks are picked out with a partially
-   aggregated ``max(when(...))`` and interpolated.
+2. every value has a bucket, a monotone function of the value alone (its binary
+   order of magnitude, cut into ``BUCKETS_PER_OCTAVE``), so the answer depends
+   on no sampling, partition number or optimizer rule;
+3. bucket totals (one row per bucket) -> cumulative offsets -> the one or two
+   buckets that hold the bracketing ranks;
+4. running counts inside those buckets only, and interpolation.
 
-No task ever holds more than one range of distinct values or the range totals.
+No task ever holds more than one bucket of distinct values or the bucket totals.
 """
 
 from __future__ import annotations
@@ -24,45 +22,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 8
+BUCKETS_PER_OCTAVE = 256
 
 
-def exact_quantile(
-    df: DataFrame, col: str, q: float, weight: str | None = None, buckets: int | None = None
-) -> DataFrame:
+def value_bucket(v: Column) -> Column:
+    """Bucket number of a double; larger values never have a smaller one."""
+    size = F.abs(v)
+    octave = F.floor(F.log2(size))
+    inside = F.floor((size / F.pow(F.lit(2.0), octave.cast("double")) - 1) * BUCKETS_PER_OCTAVE)
+    # 2000 octaves up, so that every number is positive before the sign is put on it
+    number = (octave + 2000) * BUCKETS_PER_OCTAVE + inside
+    big = F.lit(5000 * BUCKETS_PER_OCTAVE).cast("bigint")
+    number = F.when(size == float("inf"), big).when(size < 1e-300, F.lit(1).cast("bigint")).otherwise(number)
+    return F.when(v > 0, number).when(v < 0, -number).otherwise(F.lit(0).cast("bigint"))
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, weight: str | None = None) -> DataFrame:
     """One row, column ``quantile``: the exact ``q`` quantile of ``col``
     (NULLs ignored; NULL when there are no values). ``weight`` is an optional
-    integral frequency column. ``buckets`` defaults to the session's shuffle
-    partitions (at least ``DEFAULT_BUCKETS``), so each bucket's share of the
-    distinct values shrinks as the cluster's parallelism grows."""
+    integral frequency column."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    if buckets is None:
-        buckets = max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     w = F.col(weight) if weight else F.lit(1)
     hist = (
         df.filter(F.col(col).isNotNull())
-        .groupBy(F.col(col).alias("_v"))
+        .groupBy(F.col(col).cast("double").alias("_v"))
         .agg(F.sum(w).cast("bigint").alias("_w"))
         .filter(F.col("_w") > 0)
+        .withColumn("_b", value_bucket(F.col("_v")))
     )
-    ranged = hist.repartitionByRange(buckets, "_v").select("_v", "_w", F.spark_partition_id().alias("_b"))
-
-    by_bucket = ranged.groupBy("_b").agg(F.sum("_w").alias("_bw"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_bucket.select(
-        "_b",
+    offsets = hist.groupBy("_b").agg(F.sum("_w").alias("_bw")).select(
+        F.col("_b").alias("_bucket"),
+        "_bw",
         F.coalesce(F.sum("_bw").over(before), F.lit(0)).alias("_off"),
         F.sum("_bw").over(Window.partitionBy()).alias("_n"),
     )
-    inside = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.select("_b", "_v", "_w", F.sum("_w").over(inside).alias("_cum"))
-    # one row per range: broadcasting it is bounded by ``buckets``
-    j = ranked.join(F.broadcast(offsets), "_b")
-
     pos = (F.col("_n") - 1) * F.lit(q)
-    lo = F.floor(pos)
-    hi = F.ceil(pos)
+    lo, hi = F.floor(pos), F.ceil(pos)
+    # two buckets at most hold the two ranks, so they are safe to broadcast
+    chosen = offsets.filter((F.col("_off") <= hi) & (F.col("_off") + F.col("_bw") > lo))
+    inside = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = hist.join(F.broadcast(chosen), F.col("_b") == F.col("_bucket")).withColumn("_cum", F.sum("_w").over(inside))
     first = F.col("_off") + F.col("_cum") - F.col("_w")  # 0-based rank of the first copy
     last = F.col("_off") + F.col("_cum") - 1
 

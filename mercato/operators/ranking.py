@@ -25,11 +25,6 @@ def top_k(df: DataFrame, n: int, order: Sequence[str | Column], tie_break: Seque
     return df.orderBy(*_cols(order), *_cols(tie_break)).limit(n)
 
 
-def first_by(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """The first row in ``order`` (one row, or none when ``df`` is empty)."""
-    return df.orderBy(*_cols(order)).limit(1)
-
-
 def over_all(order: Sequence[str | Column] | None = None) -> Window:
     """An un-partitioned window, for small aggregated inputs only."""
     w = Window.partitionBy()
@@ -41,13 +36,6 @@ def running_sum(col: str | Column, order: Sequence[str | Column]) -> Column:
     return F.sum(c).over(over_all(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def moving_avg(col: str | Column, order: Sequence[str | Column], width: int) -> Column:
-    """Mean of the current row and the ``width - 1`` rows before it (partial at
-    the start, like a rolling mean with ``min_periods=1``)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.avg(c).over(over_all(order).rowsBetween(-(width - 1), Window.currentRow))
-
-
 def total_over_all(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c).over(over_all())

@@ -27,25 +27,30 @@ def _na(col: str) -> str:
 
 
 def units(expr: str) -> str:
-    return f"CAST(round(({expr}) * 10000) AS BIGINT)"
+    return f"TRY_CAST(round_even(({expr}) * CAST(10000000000 AS DOUBLE), 0) AS HUGEINT)"
+
+
+def dbl(units_expr: str) -> str:
+    """The nearest double of a HUGEINT (a direct cast can round twice)."""
+    return f"CAST(CAST({units_expr} AS VARCHAR) AS DOUBLE)"
 
 
 def money(units_expr: str) -> str:
-    return f"(CAST({units_expr} AS DOUBLE) / CAST(10000 AS DOUBLE))"
+    return f"({dbl(units_expr)} / CAST(10000000000 AS DOUBLE))"
 
 
 def he_div(n: str, d: str) -> str:
     """Half-even integer division for non-negative n, positive d."""
-    q = f"(CAST({n} AS BIGINT) // CAST({d} AS BIGINT))"
-    r = f"(CAST({n} AS BIGINT) - {q} * CAST({d} AS BIGINT))"
+    q = f"(CAST({n} AS HUGEINT) // CAST({d} AS HUGEINT))"
+    r = f"(CAST({n} AS HUGEINT) - {q} * CAST({d} AS HUGEINT))"
     return (
-        f"(CASE WHEN 2 * {r} > CAST({d} AS BIGINT) OR (2 * {r} = CAST({d} AS BIGINT) AND {q} % 2 = 1) "
+        f"(CASE WHEN 2 * {r} > CAST({d} AS HUGEINT) OR (2 * {r} = CAST({d} AS HUGEINT) AND {q} % 2 = 1) "
         f"THEN {q} + 1 ELSE {q} END)"
     )
 
 
 def mean_money(units_sum: str, count: str, decimals: int = 2) -> str:
-    step = 10000 // (10**decimals)
+    step = 10_000_000_000 // (10**decimals)
     return (
         f"(CASE WHEN {count} > 0 THEN CAST({he_div(units_sum, f'({count}) * {step}')} AS DOUBLE) "
         f"/ CAST({10**decimals} AS DOUBLE) END)"
@@ -56,7 +61,8 @@ BASE = f"""
 nations(nation_key, nation_country) AS (VALUES {_NATIONS}),
 raw_all AS (
   SELECT
-    CASE WHEN l.l_orderkey % 25 = 0 THEN 'C' || CAST(l.l_orderkey AS VARCHAR)
+    CASE WHEN l.l_orderkey % 83 = 0 THEN NULL
+         WHEN l.l_orderkey % 25 = 0 THEN 'C' || CAST(l.l_orderkey AS VARCHAR)
          ELSE CAST(l.l_orderkey AS VARCHAR) END AS "Invoice",
     CAST(l.l_partkey AS VARCHAR) AS "StockCode",
     CASE WHEN l.l_partkey % 41 = 0 THEN NULL
@@ -71,10 +77,19 @@ raw_all AS (
          WHEN l.l_orderkey % 25 = 0 OR (l.l_linenumber = 1 AND l.l_orderkey % 40 = 1)
            THEN -CAST(l.l_quantity AS INTEGER)
          ELSE CAST(l.l_quantity AS INTEGER) END AS "Quantity",
-    printf('%d/%d/%d %d:%02d', day(o.o_orderdate), month(o.o_orderdate), year(o.o_orderdate),
-           5 + l.l_orderkey % 9 + l.l_orderkey % 8, l.l_orderkey % 60) AS "InvoiceDate",
+    CASE WHEN l.l_linenumber = 5 AND l.l_orderkey % 73 = 0 THEN NULL ELSE
+      printf('%s%d/%d/%s %d:%02d',
+        CASE WHEN l.l_linenumber = 2 AND l.l_orderkey % 97 = 0 THEN '+' ELSE '' END,
+        day(o.o_orderdate), month(o.o_orderdate),
+        CASE WHEN l.l_linenumber = 4 AND l.l_orderkey % 79 = 0 THEN CAST(year(o.o_orderdate) % 100 AS VARCHAR)
+             WHEN l.l_linenumber = 3 AND l.l_orderkey % 89 = 0 THEN year(o.o_orderdate) || '0'
+             ELSE CAST(year(o.o_orderdate) AS VARCHAR) END,
+        5 + l.l_orderkey % 9 + l.l_orderkey % 8 + CASE WHEN l.l_orderkey % 31 = 0 THEN l.l_linenumber % 2 ELSE 0 END,
+        l.l_orderkey % 60) END AS "InvoiceDate",
     CASE WHEN l.l_partkey % 101 = 0 THEN 'n/a'
          WHEN l.l_partkey % 97 = 0 THEN '0'
+         WHEN l.l_partkey % 89 = 0 THEN printf('0,0000%d', l.l_partkey % 9 + 1)
+         WHEN l.l_partkey % 83 = 0 THEN printf('%d,123456', l.l_partkey % 50)
          ELSE printf('%d,%02d', 900 + l.l_partkey % 113, l.l_partkey % 100) END AS "Price",
     CASE WHEN o.o_custkey % 4 = 0 THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END AS "Customer ID",
     CASE WHEN c.c_custkey % 10 < 7 THEN 'United Kingdom' ELSE n.nation_country END AS "Country",
@@ -113,7 +128,8 @@ clean AS (
 typed0 AS (
   SELECT {_na("Invoice")}, {_na("StockCode")}, {_na("Description")}, {_na("DescriptionCleaned")},
     {_na("ProductCategory")}, "Quantity",
-    try_strptime("InvoiceDate", '%d/%m/%Y %H:%M') AS "InvoiceDate",
+    CASE WHEN regexp_full_match("InvoiceDate", '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}} [0-9]{{1,2}}:[0-9]{{1,2}}')
+         THEN try_strptime("InvoiceDate", '%d/%m/%Y %H:%M') END AS "InvoiceDate",
     CASE WHEN isnan("UnitPrice") THEN NULL ELSE "UnitPrice" END AS "UnitPrice",
     {_na("CustomerID")}, {_na("Country")},
     CASE WHEN isnan("TotalSales") THEN NULL ELSE "TotalSales" END AS "TotalSales",
@@ -144,27 +160,36 @@ DEFAULT_COUNTRY = (
     "FROM sales)"
 )
 
-# slicer base: products only, all periods, the default country
-SLICE = f"""
-slice_base AS (SELECT * FROM sales WHERE "UnitPrice" > 0),
+
+def _slice(country: str = DEFAULT_COUNTRY, where: str = '"UnitPrice" > 0') -> str:
+    """Slicer base and its invoices, for a country and a condition on the lines."""
+    return f"""
+slice_base AS (SELECT *, coalesce("Country" = {country}, false) AS mine FROM sales WHERE {where}),
 slice_inv AS (
   SELECT "Invoice",
     sum(tu) AS inv_total,
-    sum(CASE WHEN "Country" = {DEFAULT_COUNTRY} THEN tu END) AS inv_country,
-    sum(CASE WHEN "Country" = {DEFAULT_COUNTRY} THEN "Quantity" END) AS units_country,
-    count(*) FILTER (WHERE "Country" = {DEFAULT_COUNTRY}) AS lines_country
+    sum(CASE WHEN mine THEN tu END) AS inv_country,
+    sum(CASE WHEN mine THEN "Quantity" END) AS units_country,
+    count(*) FILTER (WHERE mine) AS lines_country
   FROM slice_base GROUP BY "Invoice"
+),
+month_inv AS (
+  SELECT ym AS "YearMonth", "Invoice", sum(tu) AS inv_total,
+    sum(CASE WHEN mine THEN tu END) AS inv_country,
+    count(*) FILTER (WHERE mine) AS lines_country
+  FROM slice_base WHERE "Invoice" IS NOT NULL GROUP BY 1, 2
 )
 """
 
+
 COUNTRY_RANK = f"""
 country_rev AS (
-  SELECT "Country", CAST(sum(tu) AS BIGINT) AS ru FROM sales WHERE "Country" IS NOT NULL GROUP BY "Country"
+  SELECT "Country", CAST(sum(tu) AS HUGEINT) AS ru FROM sales WHERE "Country" IS NOT NULL GROUP BY "Country"
 ),
 country_rank AS (
   SELECT "Country", ru,
     row_number() OVER (ORDER BY ru DESC, "Country") AS rnk,
-    round_even(ru / CAST(sum(ru) OVER () AS BIGINT) * 100, 2) AS pct
+    round_even({dbl('ru')} / {dbl('sum(ru) OVER ()')} * 100, 2) AS pct
   FROM country_rev
 ),
 country_cum AS (
@@ -192,7 +217,7 @@ HOURLY = f"""
 hourly AS (
   SELECT CAST(hour("InvoiceDate") AS INTEGER) AS hour,
     count(DISTINCT "Invoice") AS invoices,
-    CAST(sum(tu) AS BIGINT) AS ru,
+    CAST(sum(tu) AS HUGEINT) AS ru,
     CAST(sum("Quantity") AS BIGINT) AS units
   FROM sales GROUP BY 1
 ),
@@ -208,7 +233,7 @@ hourly_dp AS (
 
 MONTHLY = """
 monthly AS (
-  SELECT ym AS "YearMonth", CAST(sum(tu) AS BIGINT) AS ru, count(DISTINCT "Invoice") AS invoices
+  SELECT ym AS "YearMonth", CAST(sum(tu) AS HUGEINT) AS ru, count(DISTINCT "Invoice") AS invoices
   FROM sales GROUP BY 1
 )
 """
@@ -268,8 +293,8 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE "IsReturn") AS returns,
     q["returns_impact"] = f"""{_with()}
 SELECT {money('w')} AS revenue_with_returns, {money('wo')} AS revenue_without_returns,
   {money('w - wo')} AS returns_impact
-FROM (SELECT CAST(sum({units('"TotalSales"')}) AS BIGINT) AS w,
-             CAST(sum({units('"TotalSales"')}) FILTER (WHERE "Quantity" > 0) AS BIGINT) AS wo FROM clean)"""
+FROM (SELECT CAST(sum({units('"TotalSales"')}) AS HUGEINT) AS w,
+             CAST(sum({units('"TotalSales"')}) FILTER (WHERE "Quantity" > 0) AS HUGEINT) AS wo FROM clean)"""
     q["customer_coverage"] = f"""{_with()}
 SELECT with_customer, without_customer,
   round(with_customer / total * 100, 6) AS with_customer_pct,
@@ -278,10 +303,10 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE "HasCustomerID") AS with_
              count(*) FILTER (WHERE NOT "HasCustomerID") AS without_customer FROM clean)"""
     q["customer_sales_share"] = f"""{_with()}
 SELECT {money('w')} AS sales_with_customer, {money('wo')} AS sales_without_customer,
-  round(w / (w + wo) * 100, 6) AS with_customer_pct,
-  round(wo / (w + wo) * 100, 6) AS without_customer_pct
-FROM (SELECT CAST(sum({units('"TotalSales"')}) FILTER (WHERE "HasCustomerID" AND "Quantity" > 0) AS BIGINT) AS w,
-             CAST(sum({units('"TotalSales"')}) FILTER (WHERE NOT "HasCustomerID" AND "Quantity" > 0) AS BIGINT) AS wo
+  round({dbl('w')} / {dbl('(w + wo)')} * 100, 6) AS with_customer_pct,
+  round({dbl('wo')} / {dbl('(w + wo)')} * 100, 6) AS without_customer_pct
+FROM (SELECT CAST(sum({units('"TotalSales"')}) FILTER (WHERE "HasCustomerID" AND "Quantity" > 0) AS HUGEINT) AS w,
+             CAST(sum({units('"TotalSales"')}) FILTER (WHERE NOT "HasCustomerID" AND "Quantity" > 0) AS HUGEINT) AS wo
       FROM clean)"""
     q["description_issues"] = f"""{_with()}
 SELECT "Description" FROM (
@@ -298,27 +323,27 @@ SELECT (SELECT count(*) FROM clean) AS rows_loaded, (SELECT count(*) FROM typed)
     q["kpi_headline"] = f"""{_with()}
 SELECT {money('rev')} AS revenue, units, invoices,
   coalesce({mean_money('rev', 'invoices')}, 0.0) AS avg_ticket, lines, products
-FROM (SELECT CAST(coalesce(sum(tu), 0) AS BIGINT) AS rev, CAST(coalesce(sum("Quantity"), 0) AS BIGINT) AS units,
+FROM (SELECT CAST(coalesce(sum(tu), 0) AS HUGEINT) AS rev, CAST(coalesce(sum("Quantity"), 0) AS BIGINT) AS units,
              count(DISTINCT "Invoice") AS invoices, count(*) AS lines,
              count(DISTINCT "StockCode") AS products FROM sales)"""
     q["kpi_secondary"] = f"""{_with()}
 SELECT (SELECT count(DISTINCT "CustomerID") FROM sales WHERE "HasCustomerID") AS customers,
   (SELECT round((count(*) FILTER (WHERE "IsReturn")) / count(*) * 100, 6) FROM typed) AS return_rate,
   (SELECT count(DISTINCT "Country") FROM sales) AS countries,
-  (SELECT {mean_money(f'CAST(sum({units(chr(34) + "UnitPrice" + chr(34))}) AS BIGINT)', 'count("UnitPrice")', 4)}
+  (SELECT {mean_money(f'CAST(sum({units(chr(34) + "UnitPrice" + chr(34))}) AS HUGEINT)', 'count("UnitPrice")', 4)}
    FROM sales) AS mean_price"""
     q["sales_time_attributes"] = f"""{_with()}
 SELECT CAST(year("InvoiceDate") AS INTEGER) AS "Year", CAST(month("InvoiceDate") AS INTEGER) AS "Month",
   strftime("InvoiceDate", '%b') AS "MonthName", ym AS "YearMonth", count(*) AS lines
 FROM sales GROUP BY 1, 2, 3, 4 ORDER BY "YearMonth" """
     q["daily_revenue"] = f"""{_with()}
-SELECT CAST("InvoiceDate" AS DATE) AS "Fecha", {money('CAST(sum(tu) AS BIGINT)')} AS revenue
+SELECT CAST("InvoiceDate" AS DATE) AS "Fecha", {money('CAST(sum(tu) AS HUGEINT)')} AS revenue
 FROM sales GROUP BY 1 ORDER BY 1"""
     q["top_countries"] = f"""{_with(COUNTRY_RANK)}
 SELECT "Country", {money('ru')} AS revenue FROM country_rev ORDER BY ru DESC, "Country" LIMIT 10"""
     q["top_products"] = f"""{_with()}
 SELECT product, {money('rev')} AS revenue, quantity FROM (
-  SELECT "DescriptionCleaned" AS product, CAST(sum(tu) AS BIGINT) AS rev,
+  SELECT "DescriptionCleaned" AS product, CAST(sum(tu) AS HUGEINT) AS rev,
          CAST(sum("Quantity") AS BIGINT) AS quantity
   FROM sales WHERE "DescriptionCleaned" IS NOT NULL GROUP BY 1)
 ORDER BY rev DESC, product LIMIT 15"""
@@ -338,7 +363,7 @@ ORDER BY lines DESC, product LIMIT 15"""
     q["high_price_products"] = f"""{_with()}
 SELECT product, round_even(mx, 2) AS max_price, {mean_money('pu', 'n', 2)} AS mean_price, lines FROM (
   SELECT "DescriptionCleaned" AS product, max("UnitPrice") AS mx,
-         CAST(sum({units('"UnitPrice"')}) AS BIGINT) AS pu, count(*) AS n, count("Invoice") AS lines
+         CAST(sum({units('"UnitPrice"')}) AS HUGEINT) AS pu, count(*) AS n, count("Invoice") AS lines
   FROM sales WHERE "UnitPrice" > {P80} AND "DescriptionCleaned" IS NOT NULL GROUP BY 1)
 ORDER BY mx DESC, product LIMIT 15"""
     q["price_scatter_sample"] = f"""{_with()}
@@ -352,14 +377,14 @@ FROM sales ORDER BY md5(concat_ws('|', '42', row_key)) LIMIT 5000"""
 
     q["country_pareto"] = f"""{_with(COUNTRY_RANK)}
 SELECT "Country", {money('ru')} AS revenue, pct, cum_pct,
-  CAST({he_div('ru', '1000000')} AS DOUBLE) / CAST(10 AS DOUBLE) AS revenue_k
+  CAST({he_div('ru', '1000000000000')} AS DOUBLE) / CAST(10 AS DOUBLE) AS revenue_k
 FROM country_cum WHERE rnk <= 10 ORDER BY rnk"""
     q["pareto_summary"] = f"""{_with(COUNTRY_RANK)}
 SELECT round(top_pct, 2) AS top_n_pct, total_countries, {money('total_units')} AS total_revenue,
   below + 1 AS countries_to_threshold, leader, leader_pct, total_countries - 10 AS remaining_countries,
   round(100 - top_pct, 2) AS remaining_pct
 FROM (SELECT sum(pct) FILTER (WHERE rnk <= 10) AS top_pct, count(*) AS total_countries,
-             CAST(sum(ru) AS BIGINT) AS total_units,
+             CAST(sum(ru) AS HUGEINT) AS total_units,
              count(*) FILTER (WHERE rnk <= 10 AND cum_pct <= 80.0) AS below,
              max("Country") FILTER (WHERE rnk = 1) AS leader, max(pct) FILTER (WHERE rnk = 1) AS leader_pct
       FROM country_cum)
@@ -368,7 +393,7 @@ WHERE total_countries > 0"""
 SELECT "Country", '$' || format('{{:,.2f}}', {money('ru')}) AS revenue_text,
   format('{{:.2f}}', pct) || '%' AS pct_text, format('{{:.2f}}', cum_pct) || '%' AS cum_pct_text,
   format('{{:.1f}}', cum_pct) || '%' AS cum_pct_label,
-  '$' || format('{{:.0f}}', CAST({he_div('ru', '1000000')} AS DOUBLE) / CAST(10 AS DOUBLE)) || 'K' AS revenue_k_text
+  '$' || format('{{:.0f}}', CAST({he_div('ru', '1000000000000')} AS DOUBLE) / CAST(10 AS DOUBLE)) || 'K' AS revenue_k_text
 FROM country_cum WHERE rnk <= 10 ORDER BY rnk"""
 
     q["monthly_trend"] = f"""{_with(MONTHLY)}
@@ -394,8 +419,8 @@ WHERE "Country" <> 'United Kingdom' ORDER BY ru DESC, "Country" """
     top3 = f"""
 top3 AS (
   SELECT row_number() OVER (ORDER BY ru DESC, "Country") AS position, "Country", ru,
-    ru / CAST((SELECT sum(ru) FROM mapped) AS BIGINT) * 100 AS pg,
-    ru / CAST((SELECT sum(ru) FROM mapped WHERE "Country" <> 'United Kingdom') AS BIGINT) * 100 AS pi
+    {dbl('ru')} / {dbl('(SELECT sum(ru) FROM mapped)')} * 100 AS pg,
+    {dbl('ru')} / {dbl("(SELECT sum(ru) FROM mapped WHERE \"Country\" <> 'United Kingdom')")} * 100 AS pi
   FROM mapped WHERE "Country" <> 'United Kingdom' ORDER BY ru DESC, "Country" LIMIT 3
 )"""
     q["geo_top3"] = f"""{_with(COUNTRY_RANK, GEO, top3)}
@@ -410,7 +435,7 @@ SELECT hour, invoices, {money('ru')} AS revenue, units, day_part,
   invoices = max(invoices) OVER () AS is_peak
 FROM hourly_dp ORDER BY hour"""
     q["day_part_summary"] = f"""{_with(HOURLY)}
-SELECT day_part, CAST(sum(invoices) AS BIGINT) AS invoices, {money('CAST(sum(ru) AS BIGINT)')} AS revenue
+SELECT day_part, CAST(sum(invoices) AS BIGINT) AS invoices, {money('CAST(sum(ru) AS HUGEINT)')} AS revenue
 FROM hourly_dp GROUP BY day_part ORDER BY invoices DESC, day_part"""
     q["peak_hour"] = f"""{_with(HOURLY)}
 SELECT hour, day_part, trim(split_part(day_part, '(', 1)) AS day_part_short, invoices,
@@ -423,46 +448,45 @@ SELECT DISTINCT "Country" FROM sales WHERE "Country" IS NOT NULL ORDER BY 1"""
     q["slicer_defaults"] = f"""{_with()}
 SELECT {DEFAULT_COUNTRY} AS default_country, min(ym) AS period_from, max(ym) AS period_to
 FROM sales HAVING min(ym) IS NOT NULL"""
-    tc = "(CAST(tc_units AS DOUBLE) / invoices)"
-    tg = "(CAST(tg_units AS DOUBLE) / all_invoices)"
+    tc = f"({dbl('tc_units')} / invoices)"
+    tg = f"({dbl('tg_units')} / all_invoices)"
     diff = f"(CASE WHEN coalesce({tg}, 0) > 0 THEN (coalesce({tc}, 0) - {tg}) / {tg} * 100 ELSE 0.0 END)"
-    q["slicer_metrics"] = f"""{_with(SLICE)}
+    metrics = f"""
 SELECT {money('rev')} AS revenue,
   coalesce({mean_money('tc_units', 'invoices')}, 0.0) AS ticket_country,
   coalesce({mean_money('tg_units', 'all_invoices')}, 0.0) AS ticket_global,
   round({diff}, 4) AS diff_pct, round(abs({diff}), 4) AS diff_abs_pct, {_signed_pct(diff)} AS diff_text,
   invoices, units,
   CASE WHEN {diff} > 10 THEN 'higher' WHEN {diff} < -10 THEN 'lower' ELSE 'similar' END AS verdict
-FROM (SELECT CAST(sum(inv_country) AS BIGINT) AS rev,
-             CAST(sum(inv_country) FILTER (WHERE "Invoice" IS NOT NULL AND lines_country > 0) AS BIGINT) AS tc_units,
+FROM (SELECT CAST(sum(inv_country) AS HUGEINT) AS rev,
+             CAST(sum(inv_country) FILTER (WHERE "Invoice" IS NOT NULL AND lines_country > 0) AS HUGEINT) AS tc_units,
              count(*) FILTER (WHERE "Invoice" IS NOT NULL AND lines_country > 0) AS invoices,
-             CAST(sum(inv_total) FILTER (WHERE "Invoice" IS NOT NULL) AS BIGINT) AS tg_units,
+             CAST(sum(inv_total) FILTER (WHERE "Invoice" IS NOT NULL) AS HUGEINT) AS tg_units,
              count(*) FILTER (WHERE "Invoice" IS NOT NULL) AS all_invoices,
              CAST(sum(units_country) AS BIGINT) AS units, sum(lines_country) AS lines
       FROM slice_inv)
 WHERE lines > 0"""
-    month_inv = f"""
-month_inv AS (
-  SELECT ym AS "YearMonth", "Invoice", sum(tu) AS inv_total,
-    sum(CASE WHEN "Country" = {DEFAULT_COUNTRY} THEN tu END) AS inv_country,
-    count(*) FILTER (WHERE "Country" = {DEFAULT_COUNTRY}) AS lines_country
-  FROM slice_base WHERE "Invoice" IS NOT NULL GROUP BY 1, 2
-)"""
-    q["ticket_monthly"] = f"""{_with(SLICE, month_inv)}
+    tickets = f"""
 SELECT coalesce(c."YearMonth", g."YearMonth") AS "YearMonth", c.ticket_country, g.ticket_global FROM
-  (SELECT "YearMonth", {mean_money('CAST(sum(inv_country) AS BIGINT)', 'count(*)')} AS ticket_country
+  (SELECT "YearMonth", {mean_money('CAST(sum(inv_country) AS HUGEINT)', 'count(*)')} AS ticket_country
    FROM month_inv WHERE lines_country > 0 GROUP BY 1) c
 FULL OUTER JOIN
-  (SELECT "YearMonth", {mean_money('CAST(sum(inv_total) AS BIGINT)', 'count(*)')} AS ticket_global
+  (SELECT "YearMonth", {mean_money('CAST(sum(inv_total) AS HUGEINT)', 'count(*)')} AS ticket_global
    FROM month_inv GROUP BY 1) g
 ON c."YearMonth" = g."YearMonth"
-WHERE (SELECT count(*) FROM slice_base WHERE "Country" = {DEFAULT_COUNTRY}) > 0
+WHERE (SELECT count(*) FROM slice_base WHERE mine) > 0
 ORDER BY 1"""
-    q["slicer_top_products"] = f"""{_with(SLICE)}
+    products = f"""
 SELECT product, '$' || format('{{:,.2f}}', {money('rev')}) AS revenue_text, quantity FROM (
-  SELECT "DescriptionCleaned" AS product, CAST(sum(tu) AS BIGINT) AS rev, CAST(sum("Quantity") AS BIGINT) AS quantity
-  FROM slice_base WHERE "Country" = {DEFAULT_COUNTRY} AND "DescriptionCleaned" IS NOT NULL GROUP BY 1)
+  SELECT "DescriptionCleaned" AS product, CAST(sum(tu) AS HUGEINT) AS rev, CAST(sum("Quantity") AS BIGINT) AS quantity
+  FROM slice_base WHERE mine AND "DescriptionCleaned" IS NOT NULL GROUP BY 1)
 ORDER BY rev DESC, product LIMIT 5"""
+    q["slicer_metrics"] = _with(_slice()) + metrics
+    q["ticket_monthly"] = _with(_slice()) + tickets
+    q["slicer_top_products"] = _with(_slice()) + products
+    q["slicer_metrics_period"] = _with(_slice("'Germany'", "ym BETWEEN '1994-03' AND '1996-06'")) + metrics
+    q["ticket_monthly_period"] = _with(_slice("'France'", "\"UnitPrice\" > 0 AND ym BETWEEN '1993-07' AND '1997-02'")) + tickets
+    q["slicer_top_products_all"] = _with(_slice("'United Kingdom'", "ym >= '1995-01'")) + products
     q["raw_rows"] = f"""{_with()}
 SELECT "Invoice", "DescriptionCleaned", "Quantity", "UnitPrice", "TotalSales", "Country", "InvoiceDate"
 FROM sales ORDER BY row_key LIMIT 100"""

@@ -1,24 +1,23 @@
 """Query catalogue: every registered query as ``(spark, sf_dir) -> DataFrame``.
 
 ``Retail`` wires the layers: raw view -> ``clean`` -> ``typed`` -> ``sales``;
-each is a lazy DataFrame, so a query only reads the columns and rows it needs.
-The registered queries follow the production path: the raw lines and the
-cleaned table are written once per session and input folder (Parquet under
-``spark.checkpoint.dir``) and every report reads them back with pruning and
-pushdown. ``Retail.from_tables`` keeps the fully lazy form.
+each is a lazy DataFrame, so a query only reads the columns and rows it needs,
+always from the tables as they are when it runs. Writing the cleaned and the
+typed table once and querying them many times is an explicit step
+(``Retail.from_typed``, ``plans.jobs``); building a query writes nothing, but
+for the three round trips, whose point it is.
 """
 
 from __future__ import annotations
 
-import os
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.materialize import write_and_reread
 from ..schema import CLEAN_COLUMNS, RAW_COLUMNS
-from ..session import scratch_path, session_id
+from ..session import ensure_checkpoint_dir
 from ..sources.files import (
     read_clean_csv,
     read_parquet,
@@ -30,7 +29,7 @@ from ..sources.files import (
 from ..sources.fixture import retail_raw_view
 from . import countries, geo, hours, kpis, prices, quality, slicer, trends
 from .clean import clean
-from .sales import load_table, sales, typed
+from .sales import sales, typed
 
 ROW_KEY = "row_key"
 
@@ -72,54 +71,34 @@ class Retail:
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-# (application id, sf_dir, layer) -> path of the written table
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _written(spark: SparkSession, sf_dir: str, layer: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write ``build()`` once per session and input folder under the shared
-    checkpoint folder and read it back (lineage cut at a written table, so a
-    lost executor re-reads files instead of re-running the joins)."""
-    key = (session_id(spark), os.path.abspath(sf_dir), layer)
-    path = _WRITTEN.get(key)
-    if path is not None:
-        try:
-            return read_parquet(spark, path)
-        except Exception:  # the folder was removed: write it again
-            _WRITTEN.pop(key, None)
-    path = scratch_path(spark, f"{layer}-{os.path.basename(os.path.normpath(sf_dir))}")
-    out = write_and_reread(spark, build(), layer, path)
-    _WRITTEN[key] = path
-    return out
-
-
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines (with row key) derived from the tables, written once."""
-    return _written(spark, sf_dir, "raw", lambda: retail_raw_view(spark, sf_dir))
+    """The raw lines (with row key) derived from the tables."""
+    return retail_raw_view(spark, sf_dir)
 
 
 def retail_for(spark: SparkSession, sf_dir: str) -> Retail:
-    """Retail layers over the cleaned and typed tables, each written once per
-    session (clean once, load once, query many times)."""
-    cleaned = _written(spark, sf_dir, "clean", lambda: clean(raw_table(spark, sf_dir), keep=[ROW_KEY]))
-    typed_df = _written(spark, sf_dir, "typed", lambda: load_table(cleaned))
-    return Retail.from_typed(spark, typed_df, cleaned, raw=raw_table(spark, sf_dir))
+    return Retail.from_tables(spark, sf_dir)
+
+
+def _roundtrip_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """One folder per round trip and input; the next call overwrites it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mercato/{name}-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
 
 
 def _csv_roundtrip_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "raw_csv")
+    path = _roundtrip_path(spark, sf_dir, "raw_csv")
     write_raw_csv(raw_table(spark, sf_dir).drop(ROW_KEY), path)
     return read_raw_csv(spark, path)
 
 
 def _csv_roundtrip_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "clean_csv")
+    path = _roundtrip_path(spark, sf_dir, "clean_csv")
     write_clean_csv(retail_for(spark, sf_dir).clean_table, path)
     return read_clean_csv(spark, path)
 
 
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "clean_parquet")
+    path = _roundtrip_path(spark, sf_dir, "clean_parquet")
     write_parquet(retail_for(spark, sf_dir).clean_table, path)
     return read_parquet(spark, path)
 
@@ -163,6 +142,12 @@ def dashboard_queries() -> dict[str, Callable[[Retail], DataFrame]]:
         "slicer_metrics": lambda r: slicer.slicer_metrics(r.sales),
         "ticket_monthly": lambda r: slicer.ticket_monthly(r.sales),
         "slicer_top_products": lambda r: slicer.slicer_top_products(r.sales),
+        "slicer_metrics_period": lambda r: slicer.slicer_metrics(
+            r.sales, country="Germany", period_from="1994-03", period_to="1996-06", products_only=False),
+        "ticket_monthly_period": lambda r: slicer.ticket_monthly(
+            r.sales, country="France", period_from="1993-07", period_to="1997-02"),
+        "slicer_top_products_all": lambda r: slicer.slicer_top_products(
+            r.sales, country="United Kingdom", period_from="1995-01", products_only=False),
         "raw_rows": lambda r: kpis.raw_rows(r.sales),
     }
 

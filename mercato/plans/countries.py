@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import half_even_div, sum_units, units_to_money
+from ..functions.money import MONEY_SCALE, half_even_div, share, sum_units, units_to_money
 from ..functions.text import money_text, pct_text, thousands_text
 from ..operators.ranking import over_all, running_sum, top_k
 from ..schema import PARETO_THRESHOLD, PARETO_TOP_N
@@ -49,7 +49,7 @@ def country_ranking(sales_df: DataFrame) -> DataFrame:
         "revenue_units",
         F.row_number().over(w).alias("rank"),
         F.sum("revenue_units").over(everything).alias("total_units"),
-    ).select("*", F.bround(F.col("revenue_units") / F.col("total_units") * 100, 2).alias("pct"))
+    ).select("*", F.bround(share("revenue_units", "total_units") * 100, 2).alias("pct"))
     return ranked.select("*", F.bround(running_sum("pct", ["rank"]), 2).alias("cum_pct"))
 
 
@@ -62,7 +62,7 @@ def country_pareto(sales_df: DataFrame, top_n: int = PARETO_TOP_N) -> DataFrame:
         units_to_money("revenue_units").alias("revenue"),
         "pct",
         "cum_pct",
-        (half_even_div("revenue_units", F.lit(1000 * 10_000 // 10)) / 10.0).alias("revenue_k"),
+        (half_even_div("revenue_units", F.lit(1000 * MONEY_SCALE // 10)) / 10.0).alias("revenue_k"),
         "rank",
     ).orderBy("rank").drop("rank")
 

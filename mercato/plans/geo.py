@@ -2,7 +2,7 @@
 
 The fact table is first aggregated to one row per country; only that small
 result meets the dimension, which is a literal of known size and therefore
-broadcast (checked in ``bounded_broadcast``). Unmapped countries drop out of
+broadcast (it is a literal of 38 rows). Unmapped countries drop out of
 the inner join, so geo totals cover mapped countries only.
 """
 
@@ -11,23 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import units_to_money
-from ..operators.joins import bounded_broadcast, present_members
+from ..functions.money import share, units_to_money
+from ..operators.joins import present_members
 from ..operators.ranking import position, top_k, total_over_all
 from ..schema import COUNTRY_CENTROIDS, HOME_MARKET
 from ..sources.geo import geo_dimension
 from .countries import rank_order, revenue_by_country
 
-GEO_ROWS = len(COUNTRY_CENTROIDS)
-
 
 def geo_dimension_present(spark: SparkSession, sales_df: DataFrame) -> DataFrame:
     """Dimension entries whose country occurs in the sales (left semi join)."""
-    return present_members(geo_dimension(spark), sales_df, "Country", GEO_ROWS).orderBy("Country")
+    return present_members(geo_dimension(spark), sales_df, "Country").orderBy("Country")
 
 
 def _mapped_revenue(spark: SparkSession, sales_df: DataFrame) -> DataFrame:
-    geo = bounded_broadcast(geo_dimension(spark), GEO_ROWS)
+    geo = F.broadcast(geo_dimension(spark))
     return revenue_by_country(sales_df).join(geo, on="Country", how="inner")
 
 
@@ -58,8 +56,8 @@ def geo_top3(spark: SparkSession, sales_df: DataFrame, home: str = HOME_MARKET,
         position(rank_order()).alias("position"),
         "Country",
         units_to_money("revenue_units").alias("revenue"),
-        F.round(F.col("revenue_units") / F.col("total_all") * 100, 4).alias("pct_global"),
-        F.round(F.col("revenue_units") / F.col("total_intl") * 100, 4).alias("pct_intl"),
+        F.round(share("revenue_units", "total_all") * 100, 4).alias("pct_global"),
+        F.round(share("revenue_units", "total_intl") * 100, 4).alias("pct_intl"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import mean_money, money_units, sum_units, units_to_money
 from ..operators.ranking import top_k
-from .sales import with_time_attributes, year_month
+from .sales import month_index, month_text
 
 
 def kpi_headline(sales_df: DataFrame) -> DataFrame:
@@ -58,12 +58,15 @@ def kpi_secondary(typed_df: DataFrame) -> DataFrame:
 
 def sales_time_attributes(sales_df: DataFrame) -> DataFrame:
     """Line count per (Year, Month, MonthName, YearMonth)."""
-    t = with_time_attributes(sales_df)
-    return (
-        t.groupBy("Year", "Month", "MonthName", "YearMonth")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .orderBy("YearMonth")
-    )
+    months = sales_df.groupBy(month_index().alias("_m")).agg(F.count(F.lit(1)).alias("lines"))
+    first = F.make_date(F.floor(F.col("_m") / 12).cast("int"), F.pmod("_m", F.lit(12)) + 1, F.lit(1))
+    return months.select(
+        F.year(first).alias("Year"),
+        F.month(first).alias("Month"),
+        F.date_format(first, "MMM").alias("MonthName"),
+        month_text("_m").alias("YearMonth"),
+        "lines",
+    ).orderBy("YearMonth")
 
 
 def daily_revenue(sales_df: DataFrame) -> DataFrame:
@@ -76,9 +79,10 @@ def daily_revenue(sales_df: DataFrame) -> DataFrame:
 
 def monthly_revenue(sales_df: DataFrame) -> DataFrame:
     """Revenue (exact units) and distinct invoices per YearMonth."""
-    return sales_df.groupBy(year_month().alias("YearMonth")).agg(
+    months = sales_df.groupBy(month_index().alias("_m")).agg(
         sum_units("TotalSales").alias("revenue_units"), F.countDistinct("Invoice").alias("invoices")
     )
+    return months.select(month_text("_m").alias("YearMonth"), "revenue_units", "invoices")
 
 
 def top_products(sales_df: DataFrame, n: int = 15) -> DataFrame:

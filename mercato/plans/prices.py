@@ -1,16 +1,16 @@
 """Price outliers: zero prices and prices above a quantile of the same table.
 
 The quantile is exact (linear interpolation, as ``percentile``), computed by
-``operators.quantile.exact_quantile``: a value histogram range-partitioned
-into ordered buckets with running counts, so no task holds more than one
-bucket of distinct prices. The threshold is used through a scalar subquery
-(``DataFrame.scalar()``): computed once, shipped to every task as a value; no
-cross join. ``approx=True`` uses ``percentile_approx`` instead.
+``operators.quantile.exact_quantile`` from the price histogram (lines per
+price), so no task holds more than one bucket of distinct prices. The threshold
+is used through a scalar subquery (``DataFrame.scalar()``): computed once,
+shipped to every task as a value; no cross join. ``approx=True`` uses
+``percentile_approx`` instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import price_class
@@ -30,6 +30,11 @@ def price_histogram(sales_df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def price_lines(sales_df: DataFrame) -> DataFrame:
+    """Lines per UnitPrice."""
+    return sales_df.groupBy("UnitPrice").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def price_threshold(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False,
                     accuracy: int = 10_000) -> Column:
     """Scalar subquery for the ``q`` quantile of UnitPrice: exact by default
@@ -37,19 +42,16 @@ def price_threshold(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool
     relative rank error 1/accuracy, no interpolation) with ``approx=True``."""
     if approx:
         return sales_df.agg(F.percentile_approx("UnitPrice", q, accuracy)).scalar()
-    return exact_quantile(sales_df, "UnitPrice", q).scalar()
+    return exact_quantile(price_lines(sales_df), "UnitPrice", q, weight="lines").scalar()
 
 
 def price_outlier_summary(sales_df: DataFrame, q: float = PRICE_QUANTILE, approx: bool = False) -> DataFrame:
     """Zero-price lines, the quantile, lines strictly above it, max price."""
     thr = price_threshold(sales_df, q, approx=approx)
     p = F.col("UnitPrice")
-    # the threshold is compared in a projection (a subquery over range buckets
-    # is not deterministic, so it may not sit inside aggregate arguments)
-    hist = price_histogram(sales_df).select("UnitPrice", "lines", (p > thr).alias("above"))
-    agg = hist.agg(
+    agg = price_lines(sales_df).agg(  # the same histogram as the quantile's: scanned once, its exchange is reused
         F.coalesce(F.sum(F.when(p == 0, F.col("lines"))), F.lit(0).cast("bigint")).alias("zero_price_rows"),
-        F.coalesce(F.sum(F.when(F.col("above"), F.col("lines"))), F.lit(0).cast("bigint")).alias("rows_above_p80"),
+        F.coalesce(F.sum(F.when(p > thr, F.col("lines"))), F.lit(0).cast("bigint")).alias("rows_above_p80"),
         F.max(p).alias("max_price"),
     )
     return agg.select("zero_price_rows", F.round(thr, 6).alias("p80"), "rows_above_p80", "max_price")
@@ -70,14 +72,12 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     """Products with lines priced strictly above the quantile: max price, mean
     price (both 2 dp, half-even) and line count; top ``n`` by max price.
 
-    The threshold is a scalar subquery; the products are aggregated from the
-    (product, price) histogram, so both passes pre-aggregate before their
-    shuffle.
+    The threshold is a scalar subquery and filters the lines before they are
+    aggregated to the (product, price) histogram.
     """
     thr = price_threshold(sales_df, q, approx=approx)
-    hist = price_histogram(sales_df, PRODUCT)
-    above = hist.filter((F.col("UnitPrice") > thr) & F.col(PRODUCT).isNotNull())
-    agg = above.groupBy(F.col(PRODUCT).alias("product")).agg(
+    above = sales_df.filter((F.col("UnitPrice") > thr) & F.col(PRODUCT).isNotNull())
+    agg = price_histogram(above, PRODUCT).groupBy(F.col(PRODUCT).alias("product")).agg(
         F.max("UnitPrice").alias("mx"),
         F.sum(money_units("UnitPrice") * F.col("lines")).alias("price_units"),
         F.sum("lines").alias("priced"),
@@ -92,14 +92,28 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     )
 
 
+#: What identifies a line where there is no row key.
+LINE_KEY = ["Invoice", "StockCode", "InvoiceDate", "Quantity", "UnitPrice"]
+
+
 def sample_key(df: DataFrame, seed: int = SAMPLE_SEED, order_key: str = "row_key") -> Column:
     """A seeded pseudo-random order: md5 of the seed and a stable row key (or
-    of all columns when there is no key)."""
-    if order_key in df.columns:
-        parts = [F.col(order_key)]
-    else:
-        parts = [F.col(f"`{c}`").cast("string") for c in df.columns]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    of ``LINE_KEY`` when there is none)."""
+    parts = [order_key] if order_key in df.columns else LINE_KEY
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in parts]))
+
+
+def _digits(at: int) -> Column:
+    return F.substring("_k", at, 4)
+
+
+def _cut(keyed: DataFrame, at: int, wanted: Column | int) -> DataFrame:
+    """One row: the last value (``cut``) of the four key digits at ``at`` that is needed
+    to reach ``wanted`` rows, and the rows before it. At most 65,536 counts are ordered."""
+    before = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(_digits(at).alias("digits")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = counts.select("digits", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    return counts.filter(F.col("before") < wanted).agg(F.max("digits").alias("cut"), F.max("before").alias("before"))
 
 
 def price_scatter_sample(
@@ -108,11 +122,17 @@ def price_scatter_sample(
 ) -> DataFrame:
     """Up to ``n`` sales lines in seeded hash order, with their price class.
 
-    ``orderBy(hash).limit(n)`` is a TakeOrderedAndProject: each task keeps
-    its ``n`` smallest keys, so at most ``n x tasks`` rows are merged.
+    Two counts over key digits (four, then the next four) give a bound that
+    about ``n`` lines in all lie under, whatever the number of tasks; only those
+    are ordered and cut to ``n``.
     """
+    keyed_only = sales_df.select(sample_key(sales_df, seed).alias("_k"))
+    first = _cut(keyed_only, 1, n)
+    cut, before = first.select("cut").scalar(), first.select("before").scalar()
+    second = _cut(keyed_only.filter(_digits(1) == cut), 5, F.lit(n) - before).select("cut").scalar()
     thr = price_threshold(sales_df, q, approx=approx)
     keyed = sales_df.select("*", sample_key(sales_df, seed).alias("_k"))
+    keyed = keyed.filter((_digits(1) < cut) | ((_digits(1) == cut) & (_digits(5) <= second)))
     return top_k(keyed, n, ["_k"]).select(
         "UnitPrice",
         "Quantity",

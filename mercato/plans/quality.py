@@ -19,7 +19,7 @@ from .sales import is_complete_line
 
 
 def _pct(part, whole):
-    return F.round(F.try_divide(part, whole) * 100, 6)
+    return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, 6)
 
 
 def raw_preview(raw: DataFrame, n: int = 5, order_key: str = "row_key") -> DataFrame:

@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import pct_difference, verdict
-from ..functions.money import mean_money, money_units, units_to_money
+from ..functions.money import mean_money, money_units, share, units_to_money
 from ..functions.text import money_text, signed_pct_text
 from ..operators.ranking import over_all, top_k
 from ..schema import DEFAULT_COUNTRY
-from .sales import year_month
+from .sales import month_index, month_text, year_month
 
 
 def slicer_countries(sales_df: DataFrame) -> DataFrame:
@@ -31,17 +31,18 @@ def slicer_countries(sales_df: DataFrame) -> DataFrame:
 
 
 def slicer_periods(sales_df: DataFrame) -> DataFrame:
-    return sales_df.select(year_month().alias("YearMonth")).distinct().orderBy("YearMonth")
+    months = sales_df.select(month_index().alias("_m")).distinct()
+    return months.select(month_text("_m").alias("YearMonth")).orderBy("YearMonth")
 
 
 def _defaults_agg(sales_df: DataFrame, preferred: str = DEFAULT_COUNTRY) -> DataFrame:
     c = F.col("Country")
-    ym = year_month()
-    return sales_df.agg(
+    agg = sales_df.agg(
         F.coalesce(F.max(F.when(c == preferred, c)), F.min(c)).alias("default_country"),
-        F.min(ym).alias("period_from"),
-        F.max(ym).alias("period_to"),
+        F.min("InvoiceDate").alias("first"),
+        F.max("InvoiceDate").alias("last"),
     )
+    return agg.select("default_country", year_month("first").alias("period_from"), year_month("last").alias("period_to"))
 
 
 def slicer_defaults(sales_df: DataFrame, preferred: str = DEFAULT_COUNTRY) -> DataFrame:
@@ -52,32 +53,24 @@ def default_country(sales_df: DataFrame, preferred: str = DEFAULT_COUNTRY) -> Co
     return _defaults_agg(sales_df, preferred).select("default_country").scalar()
 
 
-def _month_start(period: str, months_ahead: int = 0) -> Column | None:
-    """First instant of 'YYYY-MM' (+ months_ahead) as a TIMESTAMP_NTZ literal,
-    or None when the text is not of that form."""
+def _month_start(period: str, months_ahead: int = 0) -> Column:
+    """First instant of 'YYYY-MM' (+ months_ahead) as a TIMESTAMP_NTZ literal."""
     m = re.fullmatch(r"(\d{4})-(\d{2})", period)
     if not m or not 1 <= int(m.group(2)) <= 12:
-        return None
+        raise ValueError(f"a period is written YYYY-MM, not {period!r}")
     y, mo = divmod(int(m.group(1)) * 12 + int(m.group(2)) - 1 + months_ahead, 12)
     return F.lit(f"{y:04d}-{mo + 1:02d}-01 00:00:00").cast("timestamp_ntz")
 
 
 def period_filter(df: DataFrame, period_from: str | None, period_to: str | None) -> DataFrame:
-    """YearMonth between the two bounds (inclusive, compared as text).
-
-    Well-formed 'YYYY-MM' bounds become an equivalent range on the timestamp
-    itself (``>= first instant of period_from``, ``< first instant after
-    period_to``), which Spark pushes into the Parquet scan so row groups
-    outside the period are skipped; other text falls back to comparing the
-    formatted month.
-    """
+    """Lines of the months from ``period_from`` to ``period_to`` ('YYYY-MM',
+    inclusive), as a range on the timestamp itself, which Spark pushes into the
+    Parquet scan so row groups outside the period are skipped."""
     ts = F.col("InvoiceDate")
     if period_from is not None:
-        lo = _month_start(period_from)
-        df = df.filter(ts >= lo if lo is not None else year_month() >= period_from)
+        df = df.filter(ts >= _month_start(period_from))
     if period_to is not None:
-        hi = _month_start(period_to, 1)
-        df = df.filter(ts < hi if hi is not None else year_month() <= period_to)
+        df = df.filter(ts < _month_start(period_to, 1))
     return df
 
 
@@ -88,9 +81,9 @@ def selection(
     period_to: str | None = None,
     products_only: bool = True,
 ) -> tuple[DataFrame, Column]:
-    """The base rows (period range inclusive, compared as 'YYYY-MM' text;
-    ``UnitPrice > 0`` when ``products_only``) and the country predicate."""
-    base = period_filter(sales_df, period_from, period_to).select("*", year_month().alias("YearMonth"))
+    """The base rows (months inclusive; ``UnitPrice > 0`` when
+    ``products_only``) with their month index ``_m``, and the country predicate."""
+    base = period_filter(sales_df, period_from, period_to).select("*", month_index().alias("_m"))
     if products_only:
         base = base.filter(F.col("UnitPrice") > 0)
     target = F.lit(country) if country is not None else default_country(sales_df)
@@ -123,8 +116,8 @@ def slicer_metrics(sales_df: DataFrame, country: str | None = None, period_from:
         F.sum("lines_country").alias("lines"),
     ).filter(F.col("lines") > 0)
     # exact means as doubles for the comparison, displayed rounded half-even
-    tc = F.coalesce(F.try_divide(F.col("tc_units"), F.col("invoices")), F.lit(0.0))
-    tg = F.coalesce(F.try_divide(F.col("tg_units"), F.col("all_invoices")), F.lit(0.0))
+    tc = F.coalesce(share("tc_units", "invoices"), F.lit(0.0))
+    tg = F.coalesce(share("tg_units", "all_invoices"), F.lit(0.0))
     diff = pct_difference(tc, tg)
     return agg.select(
         units_to_money("rev").alias("revenue"),
@@ -146,33 +139,32 @@ def ticket_monthly(sales_df: DataFrame, country: str | None = None, period_from:
 
     This is the full outer merge of the country and the global monthly
     series. Both series come from the same rows (country lines are a subset),
-    so instead of two aggregations joined on YearMonth — which would scan and
+    so instead of two aggregations joined on the month — which would scan and
     shuffle the fact table twice — one per-(month, invoice) aggregate feeds
     one per-month aggregate carrying both series. An empty country selection
     gives no rows.
     """
     base, in_country = selection(sales_df, country, period_from, period_to, products_only)
-    inv = _per_invoice(base, in_country, "YearMonth").filter(F.col("Invoice").isNotNull())
-    has_country = F.col("lines_country") > 0
-    monthly = inv.groupBy("YearMonth").agg(
+    inv = _per_invoice(base, in_country, "_m")
+    has_inv = F.col("Invoice").isNotNull()
+    has_country = has_inv & (F.col("lines_country") > 0)
+    monthly = inv.groupBy("_m").agg(
         F.sum(F.when(has_country, F.col("inv_country"))).alias("c_units"),
         F.count_if(has_country).alias("c_invoices"),
-        F.sum("inv_total").alias("g_units"),
-        F.count(F.lit(1)).alias("g_invoices"),
+        F.sum(F.when(has_inv, F.col("inv_total"))).alias("g_units"),
+        F.count_if(has_inv).alias("g_invoices"),
         F.sum("lines_country").alias("c_lines"),
     )
-    # the guard runs over one row per month only
+    # the guard runs over one row per month only, and counts lines without an invoice as well
     any_country = F.sum("c_lines").over(over_all()) > 0
     return (
-        monthly.filter(F.col("g_invoices") > 0)
+        monthly.select("*", any_country.alias("_keep"))
+        .filter(F.col("_keep") & (F.col("g_invoices") > 0))
         .select(
-            "YearMonth",
+            month_text("_m").alias("YearMonth"),
             mean_money("c_units", "c_invoices").alias("ticket_country"),
             mean_money("g_units", "g_invoices").alias("ticket_global"),
-            any_country.alias("_keep"),
         )
-        .filter("_keep")
-        .drop("_keep")
         .orderBy("YearMonth")
     )
 

@@ -53,9 +53,6 @@ CLEAN = T.StructType(
 
 CLEAN_COLUMNS = [f.name for f in CLEAN.fields]
 
-#: Text format of ``InvoiceDate`` (day/month/year hour:minute, no padding needed).
-INVOICE_DATE_FORMAT = "d/M/yyyy H:mm"
-
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for identical results)
 # ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ back after a lost task; a machine-local temp folder would not survive that.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -48,13 +49,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def session_id(spark: SparkSession) -> str:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.applicationId
-    return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
@@ -66,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc is not None else None)
     if not current:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):  # local-cluster has executors of its own
             raise ValueError(
                 f"set {CHECKPOINT_CONF} to a folder on shared storage: scratch tables must be "
                 "readable by every executor"

@@ -10,7 +10,7 @@ from .files import (
     write_raw_csv,
 )
 from .fixture import retail_raw_view
-from .geo import broadcast_geo, geo_dimension
+from .geo import geo_dimension
 
 __all__ = [
     "read_raw_csv",
@@ -21,5 +21,4 @@ __all__ = [
     "write_parquet",
     "retail_raw_view",
     "geo_dimension",
-    "broadcast_geo",
 ]

@@ -93,9 +93,16 @@ def retail_raw_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True)
 
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
-    hour = F.lit(5) + ok % 9 + ok % 8
+    # every 31st order has lines of two hours
+    hour = F.lit(5) + ok % 9 + ok % 8 + F.when(ok % 31 == 0, ln % 2).otherwise(F.lit(0))
+    year = F.year("o_orderdate")
+    day_month = F.concat(_text(F.dayofmonth("o_orderdate")), F.lit("/"), _text(F.month("o_orderdate")), F.lit("/"))
+    clock = F.concat(F.lit(" "), _text(hour), F.lit(":"), F.lpad(_text(ok % 60), 2, "0"))
     cols = [
-        F.when(ok % 25 == 0, F.concat(F.lit("C"), _text(ok))).otherwise(_text(ok)).alias("Invoice"),
+        F.when(ok % 83 == 0, F.lit(None).cast("string"))
+        .when(ok % 25 == 0, F.concat(F.lit("C"), _text(ok)))
+        .otherwise(_text(ok))
+        .alias("Invoice"),
         _text(pk).alias("StockCode"),
         F.when(pk % 41 == 0, F.lit(None).cast("string"))
         .when(pk % 43 == 0, F.lit("   "))
@@ -110,19 +117,16 @@ def retail_raw_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True)
         .when((ok % 25 == 0) | ((ln == 1) & (ok % 40 == 1)), -qty)
         .otherwise(qty)
         .alias("Quantity"),
-        F.concat(
-            _text(F.dayofmonth("o_orderdate")),
-            F.lit("/"),
-            _text(F.month("o_orderdate")),
-            F.lit("/"),
-            _text(F.year("o_orderdate")),
-            F.lit(" "),
-            _text(hour),
-            F.lit(":"),
-            F.lpad(_text(ok % 60), 2, "0"),
-        ).alias("InvoiceDate"),
+        F.when((ln == 5) & (ok % 73 == 0), F.lit(None).cast("string"))
+        .when((ln == 4) & (ok % 79 == 0), F.concat(day_month, _text(year % 100), clock))
+        .when((ln == 3) & (ok % 89 == 0), F.concat(day_month, _text(year), F.lit("0"), clock))
+        .when((ln == 2) & (ok % 97 == 0), F.concat(F.lit("+"), day_month, _text(year), clock))
+        .otherwise(F.concat(day_month, _text(year), clock))
+        .alias("InvoiceDate"),
         F.when(pk % 101 == 0, F.lit("n/a"))
         .when(pk % 97 == 0, F.lit("0"))
+        .when(pk % 89 == 0, F.concat(F.lit("0,0000"), _text(pk % 9 + 1)))
+        .when(pk % 83 == 0, F.concat(_text(pk % 50), F.lit(",123456")))
         .otherwise(F.concat(_text(F.lit(900) + pk % 113), F.lit(","), F.lpad(_text(pk % 100), 2, "0")))
         .alias("Price"),
         F.when(F.col("o_custkey") % 4 == 0, F.lit(None).cast("string"))

@@ -1,22 +1,11 @@
-"""The in-line country centroid dimension (S6).
-
-It is a literal of ``len(COUNTRY_CENTROIDS)`` rows, so its size is known
-without running a job; ``broadcast_geo`` checks that bound before hinting a
-broadcast and falls back to a normal (shuffle) join otherwise.
-"""
+"""The in-line country centroid dimension (S6): a literal, so its size is fixed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import bounded_broadcast
 from ..schema import COUNTRY_CENTROIDS, GEO
 
 
 def geo_dimension(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(list(rows if rows is not None else COUNTRY_CENTROIDS), GEO)
-
-
-def broadcast_geo(spark: SparkSession, rows=None) -> DataFrame:
-    rows = list(rows if rows is not None else COUNTRY_CENTROIDS)
-    return bounded_broadcast(geo_dimension(spark, rows), known_rows=len(rows))

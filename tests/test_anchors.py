@@ -1,4 +1,4 @@
-"""Regression anchors of FIXTURES.md §2 at sf0.01 (independent expected values)."""
+"""Regression anchors of FIXTURES.md §2 at sf0.01 (expected values from DuckDB)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,44 +20,45 @@ def test_raw_and_clean_anchors(spark, r):
     assert quality.row_count(raw).first()["total"] == 60000
     assert 60000 - nulls["Description"] == 58506
     assert 60000 - nulls["Quantity"] == 59873
-    assert 60000 - nulls["InvoiceDate"] == 60000
+    assert 60000 - nulls["InvoiceDate"] == 59892 and nulls["Invoice"] == 696
     assert r.clean.filter(F.col("UnitPrice").isNotNull()).count() == 59363
     rs = quality.returns_summary(r.clean).first()
-    assert (rs["returns"], rs["cancellations"]) == (2640, 2429)
+    assert (rs["returns"], rs["cancellations"]) == (2640, 2408)
     assert quality.customer_coverage(r.clean).first()["with_customer"] == 45081
     imp = quality.returns_impact(r.clean).first()
-    assert imp["revenue_with_returns"] == pytest.approx(1296053000.69, abs=0.005)
-    assert imp["revenue_without_returns"] == pytest.approx(1358367765.40, abs=0.005)
+    assert imp["revenue_with_returns"] == pytest.approx(1266273954.9126182, abs=0.005)
+    assert imp["revenue_without_returns"] == pytest.approx(1326711530.648732, abs=0.005)
     assert r.clean.select("DescriptionCleaned").distinct().count() == 70
 
 
 def test_sales_anchors(r):
     h = kpis.kpi_headline(r.sales).first()
-    assert (h["lines"], h["invoices"], h["units"]) == (56620, 14142, 1435774)
-    assert h["revenue"] == pytest.approx(1358367765.40, abs=0.005)
+    assert (h["lines"], h["invoices"], h["units"]) == (56246, 13958, 1426389)
+    assert h["revenue"] == pytest.approx(1317955144.000724, abs=0.005)
+    assert tuple(quality.sales_view_counts(r.clean).first()) == (60000, 58844, 56246)
     s = kpis.kpi_secondary(r.typed).first()
     assert s["countries"] == 25
-    assert s["mean_price"] == pytest.approx(946.018586, abs=1e-4)
+    assert s["mean_price"] == pytest.approx(924.2584, abs=1e-4)
     p = prices.price_outlier_summary(r.sales).first()
-    assert p["p80"] == pytest.approx(989.32) and p["zero_price_rows"] == 584
-    assert r.sales.filter(F.trim("DescriptionCleaned").isNull()).count() == 1331
+    assert p["p80"] == pytest.approx(988.7) and p["zero_price_rows"] == 583
+    assert r.sales.filter(F.trim("DescriptionCleaned").isNull()).count() == 1320
 
 
 def test_time_anchors(r):
     assert trends.monthly_trend(r.sales).count() == 80
     hrs = [x["hour"] for x in hours.hourly_activity(r.sales).collect()]
-    assert len(hrs) == 16 and (min(hrs), max(hrs)) == (5, 20)
+    assert len(hrs) == 17 and (min(hrs), max(hrs)) == (5, 21)
     peak = hours.peak_hour(r.sales).first()
-    assert (peak["hour"], peak["invoices"]) == (13, 1577)
+    assert (peak["hour"], peak["invoices"]) == (13, 1586)
     parts = {x["day_part"].split(" ", 1)[1]: x["invoices"] for x in hours.day_part_summary(r.sales).collect()}
-    assert parts["Madrugada (6-9h)"] == 1774 and parts["Fuera de horario"] == 198
+    assert parts["Madrugada (6-9h)"] == 1766 and parts["Fuera de horario"] == 200
 
 
 def test_country_anchors(r):
     top = countries.top_countries(r.sales).first()
     assert top["Country"] == "United Kingdom"
-    assert top["revenue"] == pytest.approx(977888373.06, abs=0.005)
+    assert top["revenue"] == pytest.approx(948294869.118754, abs=0.005)
     assert countries.pareto_summary(r.sales).first()["countries_to_threshold"] == 6
     base, in_country = slicer.selection(r.sales, country="Australia")
     au = base.filter(in_country)
-    assert (au.count(), au.select("Invoice").distinct().count()) == (682, 177)
+    assert (au.count(), au.select("Invoice").distinct().count()) == (678, 177)  # the missing invoice is one of them

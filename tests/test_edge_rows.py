@@ -204,3 +204,19 @@ def test_slicer_parameters(edge):
     top = rows(slicer.slicer_top_products(edge.sales, country="EIRE", products_only=False))
     assert [r["product"] for r in top] == ["POSTAGE", "DISCOUNT"]
     assert top[0]["revenue_text"] == "$18.00"
+
+
+def test_ticket_monthly_keeps_a_country_without_invoices(spark):
+    """A country that has only lines without an invoice shows the global months (the reference's guard counts lines)."""
+    from mercato.plans import slicer
+    from mercato.plans.catalog import Retail
+    from mercato.plans.clean import clean
+    from mercato.schema import RAW
+
+    rows = [(None, "1", "box", 2, "1/2/2010 9:00", "5", "1", "Spain"), ("10", "1", "box", 4, "1/2/2010 9:00", "5", "1", "France"),
+            ("11", "1", "box", 6, "1/3/2010 9:00", "5", "1", "France")]
+    r = Retail.from_clean(spark, clean(spark.createDataFrame(rows, RAW)))
+    got = [tuple(x) for x in slicer.ticket_monthly(r.sales, country="Spain").collect()]
+    assert got == [("2010-02", None, 20.0), ("2010-03", None, 30.0)]
+    assert slicer.slicer_metrics(r.sales, country="Spain").first()["revenue"] == 10.0
+    assert slicer.ticket_monthly(r.sales, country="Italy").count() == 0

@@ -21,15 +21,17 @@ def test_parse_invoice_ts_edges(spark):
     got = one_col(spark, parse_invoice_ts, [
         "1/12/2009 7:45", "01/12/2009 07:45", "31/12/2010 23:59", "31/2/2010 10:00",
         "n/a", None, "1/12/2009", "01/12/2009 07:45:00", "1/12/2009  7:45", "x/12/2009 7:45",
+        "1/12/09 7:45", "1/12/20090 7:45", "1/12/-209 7:45", "+1/12/2009 7:45", "1/12/2009 7:45\n", "1/12/2009 7:+5", "001/12/2009 7:45",
     ])
     assert got[:3] == [dt.datetime(2009, 12, 1, 7, 45), dt.datetime(2009, 12, 1, 7, 45), dt.datetime(2010, 12, 31, 23, 59)]
-    assert got[3:] == [None] * 7
+    assert got[3:] == [None] * 14
 
 
 def test_parse_invoice_ts_strict_raises(spark):
-    df = spark.createDataFrame([("n/a",)], "x string")
-    with pytest.raises(Exception):
-        df.select(parse_invoice_ts("x", strict=True)).collect()
+    for text in ("n/a", "1/12/09 7:45"):
+        df = spark.createDataFrame([(text,)], "x string")
+        with pytest.raises(Exception, match="bad InvoiceDate"):
+            df.select(parse_invoice_ts("x", strict=True)).collect()
     ok = spark.createDataFrame([("1/1/2010 0:00",), (None,)], "x string")
     assert ok.select(parse_invoice_ts("x", strict=True)).count() == 2
 

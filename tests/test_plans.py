@@ -39,9 +39,8 @@ def test_top_k_is_take_ordered(retail):
 def test_geo_dimension_is_broadcast(spark, retail):
     df = geo.country_geo(spark, retail.sales)
     df.collect()
-    assert "BroadcastHashJoin" in plan(df) or "BroadcastHashJoin" in str(
-        df._jdf.queryExecution().executedPlan()
-    )
+    p = plan(df)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
 def test_no_python_udf_anywhere(spark, retail):
@@ -50,18 +49,62 @@ def test_no_python_udf_anywhere(spark, retail):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
+def _children(node):
+    kids = node.children()
+    return [kids.apply(i) for i in range(kids.size())]
+
+
+def _has(node, name):
+    return node.nodeName().startswith(name) or any(_has(c, name) for c in _children(node))
+
+
+def _windows(node):
+    found = [node] if node.nodeName() == "Window" else []
+    return found + [w for c in _children(node) for w in _windows(c)]
+
+
 def test_windows_only_over_aggregates(spark, retail):
     """Every Window operator must sit above an aggregate, never directly on the
     scanned fact rows (an un-partitioned window would pull them to one task)."""
     for df in (trends.monthly_trend(retail.sales), countries.country_pareto(retail.sales),
                hours.hourly_activity(retail.sales), slicer.ticket_monthly(retail.sales)):
-        df.collect()
-        p = df._jdf.queryExecution().executedPlan().toString()
-        lines = p.splitlines()
-        for i, line in enumerate(lines):
-            if "Window [" in line:
-                below = "\n".join(lines[i + 1:])
-                assert "HashAggregate" in below.split("FileScan")[0] or "AQEShuffleRead" in below, p
+        windows = _windows(df._jdf.queryExecution().sparkPlan())
+        assert windows and all(_has(w, "HashAggregate") for w in windows)
+
+
+def test_price_filter_is_below_the_aggregate(retail):
+    """Only lines above the threshold are aggregated to products."""
+    p = prices.high_price_products(retail.sales)._jdf.queryExecution().optimizedPlan().toString()
+    at_filter = [i for i, line in enumerate(p.splitlines()) if "Filter" in line and "scalar-subquery" in line]
+    at_aggregate = [i for i, line in enumerate(p.splitlines()) if "Aggregate [DescriptionCleaned" in line and "UnitPrice" in line]
+    assert at_filter and at_aggregate and min(at_filter) > min(at_aggregate)
+
+
+def test_months_are_grouped_as_numbers(retail):
+    """Month text is made after the aggregation, never per line."""
+    for df in (kpis.sales_time_attributes(retail.sales), trends.monthly_trend(retail.sales), slicer.slicer_periods(retail.sales),
+               slicer.slicer_defaults(retail.sales), slicer.ticket_monthly(retail.sales, country="Germany")):
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        lowest = [i for i, line in enumerate(p.splitlines()) if "Aggregate" in line][-1]
+        below = "\n".join(p.splitlines()[lowest + 1:])
+        assert "date_format" not in below and "format_string" not in below
+
+
+def test_sample_orders_few_rows(spark):
+    """The rows that are ordered for the sample do not grow with the number of tasks."""
+    from pyspark.sql import functions as F
+
+    sales_df = spark.range(0, 200_000, 1, 64).select(
+        F.col("id").cast("string").alias("row_key"), F.lit(1.0).alias("UnitPrice"), F.lit(1).alias("Quantity"),
+        F.lit("x").alias("DescriptionCleaned"), F.lit("y").alias("Country"), F.col("id").cast("string").alias("Invoice"))
+    got = {r["Invoice"] for r in prices.price_scatter_sample(sales_df, n=700).collect()}
+    want = {r["id"] for r in sales_df.select(F.col("row_key").alias("id"), prices.sample_key(sales_df).alias("k")).orderBy("k").limit(700).collect()}
+    assert got == want
+    keyed = sales_df.select(prices.sample_key(sales_df).alias("_k"))
+    first = prices._cut(keyed, 1, 700).first()
+    second = prices._cut(keyed.filter(prices._digits(1) == first["cut"]), 5, 700 - first["before"]).first()["cut"]
+    few = keyed.filter((prices._digits(1) < first["cut"]) | ((prices._digits(1) == first["cut"]) & (prices._digits(5) <= second)))
+    assert few.count() == 700
 
 
 def test_ticket_monthly_scans_sales_once(spark, retail):
@@ -80,12 +123,12 @@ def test_clean_is_one_projection(spark):
 
 @pytest.fixture(scope="module")
 def loaded(spark, retail):
-    """The typed table written once, as the registered queries and bench use it."""
-    from mercato.plans.sales import typed
+    """The typed table written once, as jobs and bench do it."""
+    from mercato.plans.sales import load_table
 
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated PushedFilters
     path = scratch_path(spark, "test-plans-typed")
-    write_parquet(typed(retail.clean), path)
+    write_parquet(load_table(retail.clean), path)
     return Retail.from_typed(spark, read_parquet(spark, path), retail.clean)
 
 
@@ -98,8 +141,6 @@ def test_period_range_reaches_the_scan(loaded):
 
 
 def test_period_filter_equals_text_comparison(retail):
-    from pyspark.sql import functions as F
-
     from mercato.plans.sales import year_month
 
     periods = [r["YearMonth"] for r in slicer.slicer_periods(retail.sales).collect()]
@@ -109,11 +150,17 @@ def test_period_filter_equals_text_comparison(retail):
         ym = year_month()
         slow = retail.sales.filter((ym >= lo) & (ym <= hi)).count()
         assert fast == slow and fast > 0
-    # malformed bounds fall back to the text comparison
-    year = periods[mid][:4]
-    assert slicer.period_filter(retail.sales, year, None).count() == retail.sales.filter(
-        year_month() >= year).count()
-    assert F is not None
+    with pytest.raises(ValueError, match="YYYY-MM"):
+        slicer.period_filter(retail.sales, periods[mid][:4], None)
+
+
+def test_loaded_table_is_laid_out_by_time(spark, loaded):
+    """Every file of the loaded table covers a stretch of time of its own."""
+    from pyspark.sql import functions as F
+
+    stretches = loaded.typed.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("InvoiceDate").alias("lo"), F.max("InvoiceDate").alias("hi")).orderBy("lo").collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(stretches, stretches[1:]))
 
 
 def test_sales_view_counts_same_with_written_typed_table(retail, loaded):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from mercato.session import ensure_checkpoint_dir, scratch_path, session_id
+from mercato.session import ensure_checkpoint_dir, scratch_path
 
 
 class _Conf:
@@ -32,14 +32,18 @@ def test_cluster_without_checkpoint_dir_is_an_error():
         ensure_checkpoint_dir(_ConnectLike({"spark.master": "yarn"}))
 
 
+@pytest.mark.parametrize("master", ["local-cluster[3,2,1024]", "spark://host:7077", ""])
+def test_no_local_folder_for_separate_executors(master):
+    with pytest.raises(ValueError, match="shared storage"):
+        ensure_checkpoint_dir(_ConnectLike({"spark.master": master}))
+
+
 def test_configured_folder_is_used_as_is():
     s = _ConnectLike({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/ckpt", "spark.app.id": "app-1"})
     assert ensure_checkpoint_dir(s) == "hdfs:///shared/ckpt"
     assert scratch_path(s, "x").startswith("hdfs:///shared/ckpt/mercato/x-")
-    assert session_id(s) == "app-1"
 
 
 def test_local_session_keeps_its_configured_folder(spark):
     folder = ensure_checkpoint_dir(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
-    assert session_id(spark) == spark.sparkContext.applicationId
