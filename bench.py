@@ -13,16 +13,20 @@ Timed, median of ``$BENCH_REPEAT`` runs after one warm-up (the same path as
   date parsing, incomplete lines dropped) -> Parquet, once, as the dashboard
   loads and caches its typed table;
 * every dashboard query over the typed table (``clean``-level reports over the
-  cleaned Parquet).
+  cleaned Parquet);
+* the three round trips (raw CSV, cleaned CSV, cleaned Parquet): write and
+  read back.
 
 Each query is executed with the ``noop`` sink (the whole plan runs, nothing
-is pulled to the driver). Prints one JSON line.
+is pulled to the driver). After timing, each report's rows are counted and the
+file scans of its executed plan (subqueries included). Prints one JSON line.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import statistics
 import sys
 import time
@@ -33,7 +37,14 @@ from mercato.plans.catalog import Retail, dashboard_queries, raw_queries  # noqa
 from mercato.plans.clean import clean  # noqa: E402
 from mercato.plans.sales import load_table  # noqa: E402
 from mercato.session import local_session, scratch_path  # noqa: E402
-from mercato.sources.files import read_parquet, read_raw_csv, write_parquet, write_raw_csv  # noqa: E402
+from mercato.sources.files import (  # noqa: E402
+    read_clean_csv,
+    read_parquet,
+    read_raw_csv,
+    write_clean_csv,
+    write_parquet,
+    write_raw_csv,
+)
 from mercato.sources.fixture import retail_raw_view  # noqa: E402
 
 
@@ -51,6 +62,13 @@ def timed(fn, repeat: int) -> float:
     return statistics.median(times)
 
 
+def scans(df) -> int:
+    """File scans of the plan that ran, without those of reused exchanges or subqueries."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(set(re.findall(r"FileScan \w+ \[[^\]]*\]", plan)))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,11 +79,18 @@ def main() -> None:
     raw_view = retail_raw_view(spark, sf_dir)
     write_raw_csv(raw_view.drop("row_key"), raw_csv)
     results: dict[str, float] = {}
+    detail: dict[str, dict[str, int]] = {}
+
+    def report(name: str, build) -> None:
+        results[name] = timed(lambda: run(build()), repeat)
+        df = build()
+        detail[name] = {"scans": scans(df), "rows": df.count()}
+
     raw_path = scratch_path(spark, "bench-raw")
     results["raw_ingest"] = timed(lambda: write_parquet(read_raw_csv(spark, raw_csv), raw_path), repeat)
     raw = read_parquet(spark, raw_path)
     for name, fn in raw_queries().items():
-        results[name] = timed(lambda fn=fn: run(fn(raw)), repeat)
+        report(name, lambda fn=fn: fn(raw))
 
     clean_path = scratch_path(spark, "bench-clean")
     results["clean_export"] = timed(lambda: write_parquet(clean(raw), clean_path), repeat)
@@ -76,7 +101,21 @@ def main() -> None:
 
     retail = Retail.from_typed(spark, read_parquet(spark, typed_path), cleaned, raw=raw)
     for name, fn in dashboard_queries().items():
-        results[name] = timed(lambda fn=fn: run(fn(retail)), repeat)
+        report(name, lambda fn=fn: fn(retail))
+
+    def round_trip(write, read, df, name: str) -> None:
+        path = scratch_path(spark, f"bench-{name}")
+
+        def go() -> None:
+            write(df, path)
+            run(read(spark, path))
+
+        results[name] = timed(go, repeat)
+        detail[name] = {"scans": 2, "rows": read(spark, path).count()}
+
+    round_trip(write_raw_csv, read_raw_csv, raw, "csv_roundtrip_raw")
+    round_trip(write_clean_csv, read_clean_csv, retail.clean_table, "csv_roundtrip_clean")
+    round_trip(write_parquet, read_parquet, retail.clean_table, "parquet_roundtrip")
 
     total = sum(results.values())
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
@@ -92,6 +131,7 @@ def main() -> None:
                 "spark": spark.version,
                 "repeat": repeat,
                 "n_queries": len(results),
+                "detail": detail,
             }
         )
     )

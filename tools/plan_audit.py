@@ -2,8 +2,7 @@
 
 Usage: python tools/plan_audit.py [sf_dir] > PLANS.md
 
-Runs each report over the written cleaned/typed tables (the registered-query
-path) and counts distinct operators in the final plan only: Parquet scans,
+Runs each report over written cleaned and typed tables and counts distinct operators in the final plan only: Parquet scans,
 shuffle exchanges, broadcast and sort-merge joins, window operators, reused
 subqueries and any Python evaluation node.
 """
@@ -16,7 +15,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mercato.plans.catalog import dashboard_queries, raw_queries, raw_table, retail_for  # noqa: E402
+from mercato.plans.catalog import Retail, dashboard_queries, raw_queries, raw_table  # noqa: E402
+from mercato.plans.clean import clean  # noqa: E402
+from mercato.plans.sales import load_table  # noqa: E402
+from mercato.operators.materialize import write_and_reread  # noqa: E402
 from mercato.session import local_session  # noqa: E402
 
 
@@ -64,10 +66,11 @@ def main(argv: list[str]) -> None:
     print("| report | parquet scans | key shuffles | single-partition exchanges | broadcast joins "
           "| sort-merge joins | windows | reused subqueries | python nodes |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    raw = raw_table(spark, sf_dir)
+    raw = write_and_reread(spark, raw_table(spark, sf_dir), "audit-raw")
     for name, fn in raw_queries().items():
         print(row(name, final_plan(fn(raw))))
-    r = retail_for(spark, sf_dir)
+    cleaned = write_and_reread(spark, clean(raw, keep=["row_key"]), "audit-clean")
+    r = Retail.from_typed(spark, write_and_reread(spark, load_table(cleaned), "audit-typed"), cleaned)
     for name, fn in dashboard_queries().items():
         print(row(name, final_plan(fn(r))))
 
