@@ -2,11 +2,42 @@
 
 from __future__ import annotations
 
+from .disclosure import CARD, EMAIL, IP, PHONE
 from .licenses import TEMPLATES
 
 #: Words of a text: runs of characters other than ASCII white space.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP1 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d, text FROM documents
+), lines AS (
+  SELECT r, d, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d
+), split AS (
+  SELECT r, d, i, regexp_extract_all(line, '[^ \\t\\x0b\\x0c\\r]+') AS own FROM lines
+), masked AS (
+  SELECT *, list_transform(own, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS m FROM split
+), tokens AS (
+  SELECT r, d, i, CASE WHEN 2 * len(list_filter(m, lambda w: w = '<*>')) <= len(m) THEN m ELSE own END AS t FROM masked WHERE len(own) >= 5
+), parts AS (
+  SELECT r, d, i, len(t) AS n, array_to_string(t[1:3], ' ') AS lead,
+    [array_to_string(t[4 + (((len(t) - 3) * j) >> 2):3 + (((len(t) - 3) * (j + 1)) >> 2)], ' ') FOR j IN [0, 1, 2, 3]] AS p FROM tokens
+), keys AS (
+  SELECT r, d, i, unnest(CASE WHEN n >= 8 THEN [
+    concat_ws(chr(1), n, lead, -1, p[1], p[2], p[3], p[4]), concat_ws(chr(1), n, lead, 0, p[2], p[3], p[4]),
+    concat_ws(chr(1), n, lead, 1, p[1], p[3], p[4]), concat_ws(chr(1), n, lead, 2, p[1], p[2], p[4]),
+    concat_ws(chr(1), n, lead, 3, p[1], p[2], p[3])] ELSE [concat_ws(chr(1), n, lead, -1, p[1], p[2], p[3], p[4])] END) AS k FROM parts
+), gone AS (
+  SELECT DISTINCT r, i FROM (SELECT r, d, i, min(d) OVER (PARTITION BY k) AS first_doc FROM keys) WHERE first_doc < d
+), kept AS (
+  SELECT l.r, count(*) AS n_lines, count(g.r) AS n_dropped,
+    coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.r IS NULL), '') AS kept
+  FROM lines l LEFT JOIN gone g ON l.r = g.r AND l.i = g.i GROUP BY l.r
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 OP2 = f"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents
@@ -27,6 +58,69 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 FROM w LEFT JOIN kept USING (r)
 """
 
+_KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+
+
+def _spans(text: str, kind: str) -> str:
+    """List of (start, end, value) of the valid matches of one kind."""
+    pattern = _KINDS[kind]
+    found, between = f"regexp_extract_all({text}, '{pattern}')", f"string_split_regex({text}, '{pattern}')"
+    digits = "regexp_replace(x.v, '[^0-9]', '', 'g')"
+    worth = f"[CASE WHEN j % 2 = 0 THEN {digits}[len({digits}) - j]::INT ELSE {digits}[len({digits}) - j]::INT * 2 - CASE WHEN {digits}[len({digits}) - j]::INT > 4 THEN 9 ELSE 0 END END FOR j IN range(0, len({digits}))]"
+    valid = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(x.v, '.'), lambda q: q::DOUBLE > 255)) = 0",
+        "card": f"len({digits}) BETWEEN 16 AND 19 AND list_sum({worth}) % 10 = 0",
+        "phone": f"len({digits}) BETWEEN 8 AND 15",
+    }[kind]
+    at = "coalesce(list_sum([len(q) FOR q IN b[1:i]]), 0) + coalesce(list_sum([len(q) FOR q IN f[1:i - 1]]), 0)"
+    return (
+        f"(SELECT coalesce(list({{'a': a, 'v': v}} ORDER BY a), []) FROM (SELECT f[i] AS v, ({at})::BIGINT AS a FROM "
+        f"(SELECT {found} AS f, {between} AS b, unnest(range(1, len({found}) + 1)) AS i)) x WHERE {valid})"
+    )
+
+
+_ALL_SPANS = ", ".join(f"{_spans('t', k)} AS {k}" for k in _KINDS)
+_SAME = {"email": "lower(x.v)", "ip": "x.v", "card": "regexp_replace(x.v, '[^0-9]', '', 'g')", "phone": "regexp_replace(x.v, '[^0-9]', '', 'g')"}
+_ENTITIES = " || ".join(f"[concat('{k}:', {same}) FOR x IN {k}]" for k, same in _SAME.items())
+_SPAN_TEXT = " || ".join(f"[concat('{k}:', x.a, ':', x.a + len(x.v)) FOR x IN {k}]" for k in _KINDS)
+_PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
+
+OP3 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), base AS (
+  SELECT r, doc_id, t, {_ALL_SPANS} FROM d
+), lines AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS t FROM (SELECT row_number() OVER () AS r, text FROM documents) WHERE text IS NOT NULL
+), terms AS (
+  SELECT r, t, list_distinct([trim(w, '{_PUNCTUATION}') FOR w IN string_split_regex(lower(t), '[\x20\t\x0b\x0c\r]')] || ['']) AS ws FROM lines
+), mention AS (
+  SELECT t, ws, unnest(list_distinct({_ENTITIES})) AS e FROM (SELECT t, ws, {_ALL_SPANS} FROM terms WHERE regexp_matches(t, '[0-9@]'))
+), n_e AS (
+  SELECT e, count(*) AS n_e FROM mention GROUP BY e
+), meet AS (
+  SELECT e, w, count(*) AS n_both FROM (SELECT e, t, unnest(ws) AS w FROM mention)
+  WHERE w <> '' AND NOT regexp_matches(w, '[0-9@]') GROUP BY e, w HAVING count(DISTINCT t) >= 3
+), n_w AS (
+  SELECT w, count(*) AS n_w FROM (SELECT unnest(ws) AS w FROM terms) GROUP BY w
+), total AS (
+  SELECT count(*)::DOUBLE AS n FROM lines
+), found AS (
+  SELECT w FROM meet JOIN n_e USING (e) JOIN n_w USING (w), total
+  GROUP BY w HAVING max(log2(n_both * total.n / (n_w * n_e)) / nullif(log2(total.n / n_e), 0)) >= 0.6
+), hit AS (
+  SELECT r, list(concat('term:', a, ':', a + len(x)) ORDER BY a) AS term FROM (
+    SELECT r, x, trim(lower(x), '{_PUNCTUATION}') AS w,
+      (sum(len(x) + 1) OVER (PARTITION BY r ORDER BY i) - len(x) - 1)::BIGINT AS a
+    FROM (SELECT r, unnest(string_split_regex(t, '[\x20\x09-\x0D]')) AS x, generate_subscripts(string_split_regex(t, '[\x20\x09-\x0D]'), 1) AS i FROM d))
+  WHERE w IN (SELECT w FROM found) GROUP BY r
+)
+SELECT doc_id, len(email)::BIGINT AS n_email, len(ip)::BIGINT AS n_ip, len(card)::BIGINT AS n_card, len(phone)::BIGINT AS n_phone,
+  sha256(array_to_string({_SPAN_TEXT}, ',')) AS base_sha256, array_to_string({_SPAN_TEXT} || coalesce(term, []), ',') AS spans
+FROM base LEFT JOIN hit USING (r)
+"""
+
 OP4 = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -133,6 +227,28 @@ SELECT f.path, f.doc_id, coalesce(f.license, g.license) AS license,
 FROM files f LEFT JOIN given g USING (directory)
 """
 
+OP9 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    [translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR w IN {_WORDS}] AS ws FROM documents
+), sets AS (
+  SELECT r, doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct([concat(ws[i], ' ', ws[i + 1], ' ', ws[i + 2]) FOR i IN range(1, len(ws) - 1)])
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS s FROM d
+), grams AS (
+  SELECT r, len(s) AS n, unnest(s) AS g FROM sets
+), pairs AS (
+  SELECT a.r AS a, b.r AS b FROM grams a JOIN grams b ON a.g = b.g AND a.r < b.r AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), low AS (
+  SELECT reach.a AS r, min(sets.doc_id) AS low FROM reach JOIN sets ON reach.b = sets.r GROUP BY reach.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, low) AS component_id FROM sets LEFT JOIN low USING (r)
+"""
+
 OP10 = f"""
 WITH w AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents
@@ -185,4 +301,13 @@ FROM f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2, "op4_warc": OP4, "op7_mixing": OP7, "op8_licenses": OP8, "op10_quality_rules": OP10}
+    return {
+        "op1_line_dedup": OP1,
+        "op2_substring_dedup": OP2,
+        "op3_pii": OP3,
+        "op4_warc": OP4,
+        "op7_mixing": OP7,
+        "op8_licenses": OP8,
+        "op9_jaccard_join": OP9,
+        "op10_quality_rules": OP10,
+    }
