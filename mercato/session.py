@@ -78,5 +78,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/mercato/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table that this library wrote under the checkpoint folder.
+
+    Results that still read one (a DataFrame that was not written or collected
+    yet) need them, so this is for the end of a job.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/mercato")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

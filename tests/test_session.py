@@ -1,8 +1,10 @@
 """Scratch-folder rules: shared folder required on clusters, Connect-safe."""
 
+import os
+
 import pytest
 
-from mercato.session import ensure_checkpoint_dir, scratch_path
+from mercato.session import ensure_checkpoint_dir, remove_scratch, scratch_path
 
 
 class _Conf:
@@ -44,6 +46,19 @@ def test_configured_folder_is_used_as_is():
     assert scratch_path(s, "x").startswith("hdfs:///shared/ckpt/mercato/x-")
 
 
+def test_scratch_is_removed(spark, tmp_path):
+    old = spark.conf.get("spark.checkpoint.dir")
+    try:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+        path = scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path)
+        remove_scratch(spark)
+        assert not os.path.exists(path) and os.path.isdir(tmp_path)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", old)
+
+
 def test_local_session_keeps_its_configured_folder(spark):
     folder = ensure_checkpoint_dir(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
