@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from mercato import session
 from mercato.session import ensure_checkpoint_dir, remove_scratch, scratch_path
 
 
@@ -46,17 +47,13 @@ def test_configured_folder_is_used_as_is():
     assert scratch_path(s, "x").startswith("hdfs:///shared/ckpt/mercato/x-")
 
 
-def test_scratch_is_removed(spark, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir")
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-        path = scratch_path(spark, "x")
-        spark.range(3).write.parquet(path)
-        assert os.path.isdir(path)
-        remove_scratch(spark)
-        assert not os.path.exists(path) and os.path.isdir(tmp_path)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old)
+def test_scratch_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path)
+    remove_scratch(spark)
+    assert not os.path.exists(path) and os.path.isdir(tmp_path)
 
 
 def test_local_session_keeps_its_configured_folder(spark):
