@@ -10,9 +10,9 @@ early (see exchange.py); the others connect classes to candidate groups.
 
 Within a candidate group (in blocks of ``block`` classes) a T-occurrence search
 over the group's inverted lists finds the links: of the lists of a set's
-shingles the longest are set aside, the short ones are merged by counting, and
-classes that reach the remaining threshold are probed for in the long lists
-(DivideSkip). Pairs already connected are not searched again. A group of more
+shingles the longest are set aside, the short ones are merged with a heap, and
+classes that reach the remaining threshold are looked up in the long lists by
+binary search (DivideSkip). Pairs already connected are not searched again. A group of more
 than one block is first searched block by block, each with the group's first
 class; only if that leaves it unconnected are its blocks paired, so a large
 group of copies around one original costs a linear pass, and no link is lost in
@@ -31,6 +31,9 @@ empty result. Only id, text and the columns in ``keep`` are read.
 
 from __future__ import annotations
 
+import heapq
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -154,9 +157,10 @@ def t_occurrence(sets: list[np.ndarray], labels: list[int], pct: int) -> list[tu
     _, token = np.unique(np.concatenate(sets), return_inverse=True)
     at = starts_of(size)
     lists = np.sort(token * c + owner)  # the inverted lists one after another, each sorted by set
+    held = lists % c
     length = np.bincount(token)
     begin = starts_of(length)
-    links, seen = [], 0
+    links = []
     order = np.argsort(size, kind="stable")
     rank = np.empty(c, np.int64)
     rank[order] = np.arange(c)
@@ -170,16 +174,17 @@ def t_occurrence(sets: list[np.ndarray], labels: list[int], pct: int) -> list[tu
         mine = mine[np.argsort(length[mine], kind="stable")]
         aside = min(int(need / (0.0085 * np.log2(float(length[mine[-1]])) + 1)), need - 1)
         short, long = mine[: len(mine) - aside], mine[len(mine) - aside:]
-        run = length[short]
-        entry = np.arange(int(run.sum())) + np.repeat(begin[short] - starts_of(run)[:-1], run)
-        count = np.bincount(lists[entry] % c, minlength=c)
-        for y in np.flatnonzero((count >= need - aside) & (rank < rank[q]) & (size * 100 >= n * pct)).tolist():
+        fits = (rank < rank[q]) & (size * 100 >= n * pct)
+        for y, run in groupby(heapq.merge(*[held[begin[t]: begin[t + 1]].tolist() for t in short.tolist()])):
+            count = sum(1 for _ in run)
+            if count < need - aside or not fits[y]:
+                continue
             a, b = find(q), find(y)
             if a == b:
                 continue
             probe = long * c + y
             spot = np.minimum(np.searchsorted(lists, probe), len(lists) - 1)
-            common = int(count[y]) + int((lists[spot] == probe).sum())
+            common = count + int((lists[spot] == probe).sum())
             if common * 100 >= pct * (n + int(size[y]) - common):
                 links.append((q, y))
                 top[a] = b
