@@ -8,6 +8,7 @@ exactly these six bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,41 @@ def tokenise(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return ids, list(known), lens
 
 
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256).astype(np.uint64)  # a random number for each byte
+_BYTE[_SPACE] = 0
+
+
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse modulo 2**64, from the 0th on."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(size, base, np.uint64)
+        x[:1] = 1
+        out.append(np.cumprod(x, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """All words of the texts at once: their 64-bit hashes, where they start and end in the joined text, words per
+    text, and the joined text. The hash is a polynomial over the word's bytes, taken from one running sum."""
+    joined = b" ".join(texts)
+    raw = np.frombuffer(joined, np.uint8)
+    word = ~_SPACE[raw]
+    edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0, append=0))
+    start, end = edge[::2], edge[1::2]
+    power, inverse = _powers(1 << max(21, len(raw).bit_length()))
+    run = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * inverse[: len(raw)], out=run[1:])
+    value = mixed((run[end] - run[start]) * power[start] + (end - start).astype(np.uint64))
+    text_end = np.cumsum([len(t) + 1 for t in texts])
+    lens = np.diff(np.searchsorted(start, text_end), prepend=0)
+    return value, start, end, lens, joined
+
+
 def hashes(keys: list[bytes], seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each key."""
     one = xxhash.xxh3_64_intdigest
