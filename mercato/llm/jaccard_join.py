@@ -45,7 +45,7 @@ from ..session import scratch_path
 from .components import components
 from .exchange import mark_repeated
 from .tables import settled
-from .words import hashes, mixed, starts_of, tokenise
+from .words import hashed_words, mixed, starts_of
 
 _M = np.uint64
 _STEP = 4  # size bands in a group of sizes that are cut alike
@@ -54,8 +54,8 @@ _NO_ID = (1 << 63) - 1
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    ids, uniq, lens = tokenise([t.lower() for t in texts])
-    word, at, out = hashes(uniq)[ids], starts_of(lens), []
+    word, _, _, lens, _ = hashed_words([t.lower() for t in texts])
+    at, out = starts_of(lens), []
     whole = np.zeros(max(len(word) - k + 1, 0), _M)
     for j in range(k):
         whole = whole * _M(0x9E3779B97F4A7C15) + word[j: j + len(whole)]

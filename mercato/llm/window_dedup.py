@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .exchange import mark_repeated
-from .words import hashes, mixed, starts_of, tokenise
+from .words import hashed_words, mixed, starts_of
 
 _M = np.uint64
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses modulo 2**64
@@ -45,13 +45,12 @@ def _rolling(x: np.ndarray, window: int, base: int) -> np.ndarray:
 
 def window_hashes(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words per text, the first word of each window, and the two parts of its hash."""
-    ids, uniq, lens = tokenise(texts)
-    if len(ids) < window:
+    word, _, _, lens, _ = hashed_words(texts)
+    if len(word) < window:
         none = np.zeros(0, _M)
         return lens, np.zeros(0, np.int64), none, none.astype(np.uint32)
-    word = hashes(uniq)[ids]
     doc = np.repeat(np.arange(len(lens)), lens)
-    start = np.flatnonzero(doc[: len(ids) - window + 1] == doc[window - 1:])
+    start = np.flatnonzero(doc[: len(word) - window + 1] == doc[window - 1:])
     one = _rolling(word, window, _BASE[0])[start]
     two = _rolling(mixed(word + _M(1)), window, _BASE[1])[start] >> _M(40)
     return lens, start, one, two.astype(np.uint32)

@@ -406,3 +406,22 @@ def test_quality_keeps_columns_and_handles_odd_rows(clashing, no_docs, corpus):
     assert host_rules.filter_documents(no_docs).count() == 0
     measured = host_rules.measure(clashing, doc_id=F.col("doc_id"), host=F.col("source"))
     assert host_rules.judge(measured).count() == len(corpus)
+
+
+# words
+
+
+def test_hashed_words_cut_and_tell_words_apart():
+    from mercato.llm.words import hashed_words
+
+    texts_ = [b"", b" a  b\tc\x0b\x0cd\r\ne ", "é x \x1cy\x85 ".encode(), b"a", b"   ", b"ab ba aab aba", b"x" * 5000]
+    value, start, end, lens, joined = hashed_words(texts_)
+    words = [joined[a:b] for a, b in zip(start, end)]
+    assert words == [w for t in texts_ for w in t.split()]
+    assert lens.tolist() == [len(t.split()) for t in texts_]
+    assert len(set(value.tolist())) == len(set(words))
+    rng = np.random.default_rng(9)
+    many = [bytes(x) for x in rng.integers(97, 100, (3000, 9)).astype(np.uint8)] + [bytes(x) for x in rng.integers(33, 127, (3000, 3)).astype(np.uint8)]
+    value = hashed_words([b" ".join(many)])[0]
+    assert len(set(value.tolist())) == len(set(many))
+    assert hashed_words([])[0].size == 0
