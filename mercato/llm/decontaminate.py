@@ -194,7 +194,7 @@ def search(texts: list[bytes], index: Index, pct: int) -> list[tuple[int, int, f
 def blocks(benchmark: DataFrame, k: int, block_items: int, item_id: str = "item_id", text: str = "text") -> Iterator[Index]:
     """The benchmark in blocks of about ``block_items`` items, dealt by a hash of the text."""
     n = max(1, -(-benchmark.count() // block_items))
-    items = benchmark.select(F.col(f"`{item_id}`"), F.col(f"`{text}`"))
+    items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text"))
     for b in range(n):
         own = items.where(F.pmod(F.xxhash64(*items.columns), F.lit(n)) == b).orderBy(*items.columns).collect()
         yield build_index([(r[0], r[1]) for r in own], k)
@@ -216,7 +216,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, pct: int = 8
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and item that match: doc_id, item_id, similarity, first_word, n_words."""
     schema = T.StructType([
-        docs.select(F.col(f"`{doc_id}`").alias("doc_id")).schema[0], benchmark.select(F.col("item_id")).schema[0],
+        docs.select(F.col(f"`{doc_id}`").alias("doc_id")).schema[0], T.StructField("item_id", T.LongType()),
         T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType()),
     ])
     out = None
