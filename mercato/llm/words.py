@@ -68,6 +68,7 @@ def tokenise(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_REACH = 1 << 21
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256).astype(np.uint64)  # a random number for each byte
@@ -93,10 +94,16 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     word = ~_SPACE[raw]
     edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0, append=0))
     start, end = edge[::2], edge[1::2]
-    power, inverse = _powers(1 << max(21, len(raw).bit_length()))
-    run = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * inverse[: len(raw)], out=run[1:])
-    value = mixed((run[end] - run[start]) * power[start] + (end - start).astype(np.uint64))
+    value, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):  # as many words at a time as the powers at hand reach for, one at least
+        j = max(i + 1, int(np.searchsorted(end, start[i] + _REACH, "right")))
+        first, size = start[i], int(end[j - 1] - start[i])
+        power, inverse = _powers(max(_REACH, size) + 1)
+        run = np.zeros(size + 1, np.uint64)
+        np.cumsum(_BYTE[raw[first: first + size]] * inverse[:size], out=run[1:])
+        a, b = start[i:j] - first, end[i:j] - first
+        value[i:j] = mixed((run[b] - run[a]) * power[a] + (b - a).astype(np.uint64))
+        i = j
     text_end = np.cumsum([len(t) + 1 for t in texts])
     lens = np.diff(np.searchsorted(start, text_end), prepend=0)
     return value, start, end, lens, joined

@@ -425,3 +425,6 @@ def test_hashed_words_cut_and_tell_words_apart():
     value = hashed_words([b" ".join(many)])[0]
     assert len(set(value.tolist())) == len(set(many))
     assert hashed_words([])[0].size == 0
+    long = b" ".join([b"word"] * 1_000_000 + [b"y" * 3_000_000, b"word", b"end"])
+    value = hashed_words([long])[0]
+    assert len(value) == 1_000_003 and len(set(value.tolist())) == 3 and value[0] == value[-2] == hashed_words([b"word"])[0][0]
