@@ -44,12 +44,13 @@ def exact_quantile(df: DataFrame, col: str, q: float, weight: str | None = None)
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     w = F.col(weight) if weight else F.lit(1)
-    hist = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(F.col(col).cast("double").alias("_v"))
-        .agg(F.sum(w).cast("bigint").alias("_w"))
-        .filter(F.col("_w") > 0)
-        .withColumn("_b", value_bucket(F.col("_v")))
+    # Missing values weigh nothing and lie in a bucket of their own. Filtering them out instead would be pushed
+    # into only one of the two uses of the histogram, and it would be scanned for each.
+    v = F.col("_v")
+    hist = df.groupBy(F.col(col).cast("double").alias("_v")).agg(F.sum(w).cast("bigint").alias("_s")).select(
+        "_v",
+        F.when(v.isNull() | F.col("_s").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("_s")).alias("_w"),
+        F.coalesce(value_bucket(v), F.lit(-(1 << 62))).alias("_b"),
     )
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hist.groupBy("_b").agg(F.sum("_w").alias("_bw")).select(

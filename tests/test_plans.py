@@ -1,5 +1,8 @@
 """Plan-shape checks: the physical plans we rely on at scale."""
 
+import os
+import sys
+
 import pytest
 
 from conftest import SF_SMALL
@@ -9,6 +12,8 @@ from mercato.plans.clean import clean
 from mercato.session import scratch_path
 from mercato.sources.files import read_parquet, write_parquet
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
 
 @pytest.fixture(scope="module")
 def retail(spark):
@@ -170,3 +175,10 @@ def test_sales_view_counts_same_with_written_typed_table(retail, loaded):
     from_table = quality.sales_view_counts(loaded.clean, loaded.typed).first()
     assert tuple(inline) == tuple(from_table)
     assert "try_make_timestamp_ntz" not in plan(quality.sales_view_counts(loaded.clean, loaded.typed))
+
+
+def test_price_summary_scans_once(loaded):
+    """The quantile and the summary share one price histogram."""
+    from plan_audit import final_plan
+
+    assert final_plan(prices.price_outlier_summary(loaded.sales)).count("FileScan parquet") == 1
