@@ -26,12 +26,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import statistics
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tools"))
+
+from plan_audit import final_plan  # noqa: E402
 
 from mercato.plans.catalog import Retail, dashboard_queries, raw_queries  # noqa: E402
 from mercato.plans.clean import clean  # noqa: E402
@@ -64,9 +66,8 @@ def timed(fn, repeat: int) -> float:
 
 def scans(df) -> int:
     """File scans of the plan that ran, without those of reused exchanges or subqueries."""
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    return len(set(re.findall(r"FileScan \w+ \[[^\]]*\]", plan)))
+    lines = {line.strip(" :+-") for line in final_plan(df).splitlines() if "FileScan" in line}
+    return len(lines)
 
 
 def main() -> None:
