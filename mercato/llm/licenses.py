@@ -6,6 +6,11 @@ counted over all segments of the corpus, and a term of no template has that of
 a term seen nowhere. The best template with a cosine of ``min_cosine`` or more
 is the segment's license.
 
+An SPDX header is read as such, before texts are cut: the first identifier of its
+expression that is listed (in any case, with or without ``-only``, ``-or-later``
+or ``+``) is a license found with cosine 1. Headers take no part in the search
+for templates, so one with other identifiers only gives no license.
+
 A segment that has no anchor term cannot reach that cosine: anchors are all
 template terms but those lightest ones whose share of a template's length stays
 below it. So only segments with an anchor are turned into vectors.
@@ -58,6 +63,9 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 
+_ID = r"[a-z0-9]++(?:[.+-]++[a-z0-9]++)*+\+?+"
+#: The tag of an SPDX header; its expression, if there is one, is the group.
+HEADER = rf"(?i)SPDX-License-Identifier(?:[ \t]*+:[ \t]*+(\(*+{_ID}\)*+(?:[ \t]++(?:AND|OR|WITH)[ \t]++\(*+{_ID}\)*+)*+)?+)?+"
 SEGMENT_END = r"\n|[.!?;:][ \t]+"
 _MARKS = "".join(chr(i) for i in [*range(1, 48), *range(58, 65), *range(91, 97), *range(123, 128)])
 
@@ -84,13 +92,27 @@ def anchor_terms(templates: list[Counter], idf: dict[str, float], min_cosine: fl
     return sorted(set(idf) - light)
 
 
+def declared(files: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
+    """(path, version, segment_no, n_terms, template, cosine) of the SPDX headers with a listed identifier.
+    Segment numbers are negative, as headers are no segments."""
+    names = F.array(*[F.lit(spdx.lower()) for spdx, _ in templates])
+    headers = files.where(F.col("text").rlike(HEADER)).select(
+        "path", "version", F.posexplode(F.regexp_extract_all("text", F.lit(HEADER), F.lit(1))).alias("nth", "expression"))
+    ids = F.transform(F.regexp_extract_all(F.lower("expression"), F.lit(_ID), F.lit(0)), lambda x: F.regexp_replace(x, r"(-only|-or-later|\+)$", ""))
+    first = F.get(F.filter(ids, lambda x: F.array_contains(names, x)), F.lit(0))
+    tag = len(template_terms("SPDX-License-Identifier"))
+    return headers.select("path", "version", (-1 - F.col("nth")).alias("segment_no"), (F.size(terms(F.col("expression"))) + tag).alias("n_terms"),
+                          (F.array_position(names, first) - 1).cast("int").alias("template"), F.lit(1.0).alias("cosine")).where("template >= 0")
+
+
 def licensed_segments(files: DataFrame, templates: list[tuple[str, str]], min_cosine: float) -> DataFrame:
-    """(path, version, segment_no, n_terms, template, cosine): the best template of each segment that reaches one.
-    ``files``: path, version, text."""
+    """(path, version, segment_no, n_terms, template, cosine): the best template of each segment that reaches one,
+    and the SPDX headers with a listed identifier. ``files``: path, version, text."""
     spark = files.sparkSession
     bags = [template_terms(t) for _, t in templates]
     vocabulary = sorted(set().union(*bags))
-    segments = files.select("path", "version", F.posexplode(F.split("text", SEGMENT_END, -1)).alias("segment_no", "segment"))
+    plain = F.when(F.col("text").rlike(HEADER), F.regexp_replace("text", HEADER, "")).otherwise(F.col("text"))
+    segments = files.select("path", "version", F.posexplode(F.split(plain, SEGMENT_END, -1)).alias("segment_no", "segment"))
     segments = segments.select("path", "version", "segment_no", terms(F.col("segment")).alias("terms")).where(F.size("terms") > 0)
 
     listed = F.array(*[F.lit(t) for t in vocabulary])
@@ -117,7 +139,7 @@ def licensed_segments(files: DataFrame, templates: list[tuple[str, str]], min_co
         "dots", lambda d, i: F.struct(F.round(d / F.col("norm"), 6).alias("cosine"), (-i).alias("minus")))).alias("best"))
     found = found.where(F.col("best.cosine") >= min_cosine).select(
         "path", "version", "segment_no", "n_terms", (-F.col("best.minus")).alias("template"), F.col("best.cosine").alias("cosine"))
-    return settled(found, "license_segments")
+    return settled(found.unionAll(declared(files, templates)), "license_segments")
 
 
 def scan(files: DataFrame, path: Column, text: Column, templates: list[tuple[str, str]] = TEMPLATES, min_cosine: float = 0.6,

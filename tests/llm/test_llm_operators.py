@@ -337,6 +337,19 @@ def test_licenses_own_and_inherited(spark):
         ("z", None, None, None), ("", None, None, None), ("q/r", None, None, None)])
 
 
+def test_spdx_headers_name_their_license(spark):
+    tag = "SPDX-License-Identifier"
+    listed = sorted({spdx for spdx, _ in licenses.TEMPLATES})
+    rows = [(f"{spdx}/f", f"// {tag}: {spdx}\nint main words here", spdx) for spdx in listed]
+    rows += [("or-later/f", f"# {tag}: GPL-3.0-or-later\nwords", "GPL-3.0"), ("only/f", f"/* {tag}: LGPL-3.0-only */ words", "LGPL-3.0"),
+             ("plus/f", f"{tag}:agpl-3.0+. More words", "AGPL-3.0"), ("either/f", f"<!-- {tag}: (ISC OR Apache-2.0) AND MIT -->", "Apache-2.0"),
+             ("other/f", f"# {tag}: ISC\nint x", None), ("prose/f", f"an {tag}", None), ("open/f", f"{tag}: \nint x", None),
+             ("both/f", f"# {tag}: ISC\n// released under the MIT license\nint x", "MIT"), ("long/f", f"{tag}: " + "a-" * 50_000, None)]
+    files = spark.createDataFrame([r[:2] for r in rows], "path string, text string")
+    got = {r["path"]: r["license"] for r in licenses.scan(files, F.col("path"), F.col("text")).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
 def test_licenses_on_odd_rows(clashing, corpus, no_docs):
     assert licenses.scan(clashing, F.col("source"), F.col("text")).count() == len(corpus)
     assert licenses.scan(no_docs, F.col("source"), F.col("text")).count() == 0
