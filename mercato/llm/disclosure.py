@@ -2,20 +2,22 @@
 
 Protected entities are the personal data that patterns find: e-mail addresses,
 IP addresses, card numbers and phone numbers (the base spans). Which other terms
-give an entity away is learnt from the corpus: over all its lines, a term t
+give an entity away is learnt from the corpus: over all its areas, a term t
 discloses the share PMI(t; e) / IC(e) of an entity's information, where
-IC(e) = -log2 p(e) and PMI(t; e) = log2 p(t, e) / (p(t) p(e)). A term that meets
-an entity on ``min_lines`` different lines or more and discloses
+IC(e) = -log2 p(e) and PMI(t; e) = log2 p(t, e) / (p(t) p(e)). An area is a
+document or, in one of more than 32 lines, each run of 32 lines that starts 16
+lines after the last, so terms and entities meet across line ends. A term that
+meets an entity in ``min_lines`` different areas or more and discloses
 ``remove_share`` of it is removed where it occurs, one that discloses
-``generalise_share`` is generalised. Copies of one line are not different, so
-repeated documents disclose nothing by themselves.
+``generalise_share`` is generalised. Copies of one area are not different, so
+repeated documents disclose nothing by themselves. Words that overlap a base
+span are no terms there; all others are, with digits or without.
 
-Counts are pre-aggregated per task. The terms to be counted, and then the
-disclosing ones, are written before they are joined with all words, so Spark
-knows their size; what is shuffled of the words is a count per term and task,
-and the documents with a disclosing term.
+The terms of each area are written once. Counts are pre-aggregated per task. The
+entities that can have a disclosing term, the terms to be counted, and then the
+disclosing ones, are written before they are joined, so Spark knows their size.
 
-A pattern cannot match a line feed, so lines hold the same spans as the text.
+A pattern cannot match a line feed, so areas hold the same spans as the text.
 
 Defined results: a null text is empty; empty texts have no spans; repeated rows
 have the same spans; an empty table gives an empty result; ties cannot occur
@@ -52,6 +54,7 @@ _SEARCH = {
 }
 _MAY_HAVE = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_RUN = 32  # lines
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -104,14 +107,14 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.filter(found, lambda x: _valid(kind, x["value"]))
 
 
-def _entities(line: Column, kind: str) -> Column:
+def _entities(spans: Column, kind: str) -> Column:
     """The entities of one kind, written alike wherever they occur."""
 
     def entity(x: Column) -> Column:
         same = F.lower(x["value"]) if kind == "email" else x["value"] if kind == "ip" else F.regexp_replace(x["value"], "[^0-9]", "")
         return F.concat(F.lit(f"{kind}:"), same)
 
-    return F.transform(base_spans(line, kind), entity)
+    return F.transform(spans, entity)
 
 
 def term_of(word: Column) -> Column:
@@ -119,41 +122,65 @@ def term_of(word: Column) -> Column:
     return F.btrim(word, F.lit(_PUNCTUATION))
 
 
-def _terms(line: Column) -> Column:
-    """The distinct terms of a line, the empty one among them (so that it counts lines)."""
-    words = F.split(F.lower(line), r"[\x20\t\x0b\x0c\r]")
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with spaces for its white space and a line feed for each base span."""
+    spaced = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        gap = F.substring(spaced, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
+        out = F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(gap)))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+
+    def join(acc: Column) -> Column:
+        return F.array_join(F.concat(acc["out"], F.array(F.substring(spaced, (acc["at"] + 1).cast("int"), F.length(spaced)))), "\n")
+
+    return F.when(F.size(spans) == 0, spaced).otherwise(F.aggregate(F.array_sort(spans), start, step, join))
+
+
+def _terms(outside: Column) -> Column:
+    """The distinct terms, without the words that overlap a base span, and the empty one (so that it counts areas)."""
+    words = F.filter(F.split(F.lower(outside), " "), lambda w: ~F.contains(w, F.lit("\n")))
     return F.array_distinct(F.concat(F.transform(words, term_of), F.array(F.lit(""))))
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    content = F.col(f"`{text}`")
-    hashed = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(content).alias("version"), F.split(content, "\n").alias("lines"))
-    return hashed.select("doc", "version", F.explode("lines").alias("line")).withColumn("line_hash", F.xxhash64("line"))
+def _areas(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, version, area_hash, area): the document, or if it is longer overlapping runs of ``_RUN`` lines."""
+    content, lines = F.col(f"`{text}`"), F.col("lines")
+    split = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(content).alias("version"), F.split(content, "\n", -1).alias("lines"))
+    last = F.greatest(F.lit(0), F.ceil((F.size(lines) - _RUN) / (_RUN // 2)).cast("int"))
+    runs = split.where(lines.isNotNull()).withColumn("run", F.explode(F.sequence(F.lit(0), last)))
+    area = F.array_join(F.slice(lines, F.col("run") * (_RUN // 2) + 1, F.lit(_RUN)), "\n")
+    return runs.select("doc", "version", area.alias("area")).withColumn("area_hash", F.xxhash64("area"))
 
 
 def disclosing_terms(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str = "doc_id",
                      text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(term, share) of the terms over the lower threshold, and (doc, version, term) where they occur."""
     spark = docs.sparkSession
-    lines = _lines(docs, doc_id, text)
-    entities = F.concat(*[_entities(F.col("line"), k) for k in KINDS])
-    mentions = lines.where(F.col("line").rlike("[0-9@]")).select("line_hash", "line", F.array_distinct(entities).alias("entities"))
-    mentions = mentions.where(F.size("entities") > 0).select("line_hash", F.explode("entities").alias("entity"), _terms(F.col("line")).alias("terms"))
-    mentions = write_and_reread(spark, mentions, "pii_mentions")
-
-    n_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    meet = mentions.select("entity", "line_hash", F.explode("terms").alias("term")).where("term <> '' and not term rlike '[0-9@]'")
-    meet = meet.groupBy("entity", "term", "line_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
+    areas = _areas(docs, doc_id, text).withColumns({k: base_spans(F.col("area"), k) for k in KINDS})
+    areas = areas.select("doc", "version", "area_hash", F.array_distinct(F.concat(*[_entities(F.col(k), k) for k in KINDS])).alias("entities"),
+                         _terms(_outside(F.col("area"), F.concat(*KINDS))).alias("terms"))
+    areas = write_and_reread(spark, areas, "pii_areas")
+
+    # An entity in fewer different areas than a term has to meet it in has no disclosing term.
+    mentions = areas.select("area_hash", "terms", F.explode("entities").alias("entity"))
+    n_entity = mentions.groupBy("entity", "area_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("areas")).where(F.col("areas") >= limits.min_lines).drop("areas")
+    n_entity = settled(n_entity, "pii_entities")
+    known = mentions.join(n_entity.select(F.col("entity").alias("__entity")), F.col("entity") == F.col("__entity"))
+    meet = known.select("entity", "area_hash", F.explode("terms").alias("term")).where("term <> ''")
+    meet = meet.groupBy("entity", "term", "area_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
         F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= limits.min_lines)
     meet = settled(meet.join(n_entity, "entity"), "pii_pairs")
 
-    words = lines.select("doc", "version", F.explode(_terms(F.col("line"))).alias("term"))
+    words = areas.select("doc", "version", F.explode("terms").alias("term"))
     asked = meet.select(F.col("term").alias("__term")).unionAll(spark.createDataFrame([("",)], "__term string")).distinct()
     asked = settled(asked, "pii_terms")
     n_term = words.join(asked, F.col("term") == F.col("__term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     n_term = settled(n_term, "pii_term_counts")
-    lines_row = n_term.where("term = ''").first()
-    total = float(lines_row["n_term"]) if lines_row else 0.0
+    areas_row = n_term.where("term = ''").first()
+    total = float(areas_row["n_term"]) if areas_row else 0.0
 
     pmi = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
     share = F.try_divide(pmi, F.log2(F.lit(total) / F.col("n_entity")))
@@ -188,7 +215,10 @@ def find_spans(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str =
 
     words = F.split(F.col("text"), r"[\x20\x09-\x0D]", -1)
     term = F.when(F.col("__terms").isNull(), F.array().cast(_SPANS)).otherwise(F.aggregate(words, start, step, lambda acc: acc["out"]))
-    return rows.select("doc_id", *keep, *[base_spans(F.col("text"), k).alias(k) for k in KINDS], term.alias("term"), "text")
+    spans = rows.select("doc_id", *keep, *[base_spans(F.col("text"), k).alias(k) for k in KINDS], term.alias("term"), "text")
+    base = F.concat(*KINDS)
+    clear = F.filter("term", lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    return spans.withColumn("term", F.when(F.size("term") > 0, clear).otherwise(F.col("term")))
 
 
 def spans_text(kinds: list[str]) -> Column:

@@ -105,6 +105,17 @@ def test_disclosing_terms_are_removed(spark):
     assert disclosure.find_spans(none).count() == 0
 
 
+def test_disclosing_terms_with_digits_and_on_other_lines(spark):
+    body = ["alpha", "beta", "gamma", "delta"]
+    rows = [(i, f"{w} thanks\nCase-4711 user_77\nZorblax\nmail jane.doe@corp.example.org now {w}") for i, w in enumerate(body)]
+    rows += [(10 + i, f"{w} call +49 30 1234567 or 30") for i, w in enumerate(body)]
+    rows += [(20, "\n".join(["other words"] * 40 + ["Zorblax"]))] + [(100 + i, f"thanks mail now call or plain {i}") for i in range(60)]
+    spans = disclosure.find_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["text"] for r in disclosure.sanitised(spans).collect()}
+    assert got[0] == "alpha thanks\n \n\nmail <email> now alpha"
+    assert got[10] == "alpha call <phone> or " and got[20].endswith("words\n") and got[100] == rows[-60][1]
+
+
 # 4 archive
 
 
