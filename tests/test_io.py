@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import EDGE_ROWS
+from retail_rows import EDGE_ROWS
 from mercato.plans.clean import clean
 from mercato.schema import CLEAN_COLUMNS, RAW
 from mercato.session import scratch_path

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import EDGE_ROWS
+from retail_rows import EDGE_ROWS
 from mercato.plans.jobs import cleaning_job, dashboard
 from mercato.schema import CLEAN_COLUMNS, RAW
 from mercato.session import scratch_path

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from retail_rows import SF_SMALL  # noqa: E402
 
 from mercato import oracle  # noqa: E402
 from mercato.plans import catalog  # noqa: E402

@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import SF_SMALL
+from retail_rows import SF_SMALL
 from mercato.plans import countries, geo, hours, kpis, prices, slicer, trends
 from mercato.plans.catalog import Retail, dashboard_queries
 from mercato.plans.clean import clean

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from retail_rows import SF_SMALL
 from mercato.functions.money import half_even_div
 from mercato.functions.text import pct_text, signed_pct_text
 from mercato.plans import countries, hours, kpis, prices, quality
