@@ -46,7 +46,3 @@ def clashing(docs):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def ordered(rows):
-    return sorted((tuple(r) for r in rows), key=lambda r: tuple((x is not None, x if x is not None else 0) for x in r))

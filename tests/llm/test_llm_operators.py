@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import ordered
+from corpus_rows import ordered
 from mercato.llm import (curriculum, decontaminate, disclosure, host_rules, jaccard_join, licenses, line_templates,
                          pitman_yor, warc_store, window_dedup)
 from mercato.session import scratch_path

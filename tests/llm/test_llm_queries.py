@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from conftest import ordered  # noqa: E402
+from corpus_rows import ordered  # noqa: E402
 from mercato.llm import oracle, queries  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
