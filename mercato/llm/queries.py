@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,21 @@ from pyspark.sql import functions as F
 
 from ..operators.materialize import write_and_reread
 from ..session import scratch_path
-from . import curriculum, decontaminate, disclosure, host_rules, jaccard_join, licenses, line_templates, pitman_yor, warc_store, window_dedup
+from . import (
+    bpe,
+    curriculum,
+    decontaminate,
+    disclosure,
+    host_rules,
+    jaccard_join,
+    licenses,
+    line_templates,
+    pitman_yor,
+    runs,
+    warc_store,
+    whitening,
+    window_dedup,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +97,45 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again; the digests are of the packed ids and the decoded text."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), doc_id=F.col("doc_id"))
+    decoded = bpe.decode(encoded.withColumn("ids_sha256", F.sha2("ids", 256)))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), vec_id=F.col("vec_id"))
+    return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def planted_period(columns: dict) -> runs.Rewrite:
+    """The contract's periodic texts: for one in ten hashes of the id, words from number a on repeat with period p."""
+    ids = columns["doc_id"]
+
+    def change(row: int, words: list[bytes]) -> list[bytes]:
+        h = 1 if ids[row] is None else zlib.crc32(str(ids[row]).encode())
+        if h % 10 or not words:
+            return words
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+    return change
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), rewrite=planted_period, doc_id=F.col("doc_id"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -94,4 +148,7 @@ def queries() -> dict[str, QueryFn]:
         "op8_licenses": op8_licenses,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
+        "op11_bpe": op11_bpe,
+        "op12_whitening": op12_whitening,
+        "op13_periodic_runs": op13_periodic_runs,
     }
