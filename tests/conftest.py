@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from mercato.schema import RAW  # noqa: E402
 from retail_rows import EDGE_ROWS  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
