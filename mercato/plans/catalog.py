@@ -29,6 +29,7 @@ from ..sources.files import (
 from ..sources.fixture import retail_raw_view
 from . import countries, geo, hours, kpis, prices, quality, slicer, trends
 from .clean import clean
+from .rollup import Rollups
 from .sales import sales, typed
 
 ROW_KEY = "row_key"
@@ -42,6 +43,7 @@ class Retail:
     typed: DataFrame
     sales: DataFrame
     typed_written: bool = False
+    rollups: Rollups | None = None
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Retail":
@@ -57,11 +59,28 @@ class Retail:
 
     @classmethod
     def from_typed(
-        cls, spark: SparkSession, typed_df: DataFrame, clean_df: DataFrame, raw: DataFrame | None = None
+        cls, spark: SparkSession, typed_df: DataFrame, clean_df: DataFrame, raw: DataFrame | None = None,
+        rollups: Rollups | None = None,
     ) -> "Retail":
         """Start from an already written typed table (the dashboard's loaded,
-        typed frame), so reports skip the per-row text and date handling."""
-        return cls(spark, raw, clean_df, typed_df, sales(typed_df), typed_written=True)
+        typed frame), so reports skip the per-row text and date handling, and
+        from rollups of its sales lines, which the reports read where they can."""
+        return cls(spark, raw, clean_df, typed_df, sales(typed_df), typed_written=True, rollups=rollups)
+
+    @property
+    def activity(self) -> DataFrame:
+        """What reports by country and time add up."""
+        return self.sales if self.rollups is None else self.rollups.activity
+
+    @property
+    def by_product(self) -> DataFrame:
+        """What reports by product add up."""
+        return self.sales if self.rollups is None else self.rollups.products
+
+    @property
+    def by_invoice(self) -> DataFrame:
+        """What reports per invoice add up."""
+        return self.sales if self.rollups is None else self.rollups.tickets
 
     @property
     def clean_table(self) -> DataFrame:
@@ -108,46 +127,46 @@ def dashboard_queries() -> dict[str, Callable[[Retail], DataFrame]]:
     return {
         "clean_retail": lambda r: r.clean_table,
         "sales_view_counts": lambda r: quality.sales_view_counts(r.clean, r.typed if r.typed_written else None),
-        "kpi_headline": lambda r: kpis.kpi_headline(r.sales),
+        "kpi_headline": lambda r: kpis.kpi_headline(r.sales, r.activity, r.by_invoice),
         "kpi_secondary": lambda r: kpis.kpi_secondary(r.typed),
-        "sales_time_attributes": lambda r: kpis.sales_time_attributes(r.sales),
-        "daily_revenue": lambda r: kpis.daily_revenue(r.sales),
-        "top_countries": lambda r: countries.top_countries(r.sales),
-        "top_products": lambda r: kpis.top_products(r.sales),
+        "sales_time_attributes": lambda r: kpis.sales_time_attributes(r.activity),
+        "daily_revenue": lambda r: kpis.daily_revenue(r.activity),
+        "top_countries": lambda r: countries.top_countries(r.activity),
+        "top_products": lambda r: kpis.top_products(r.by_product),
         "returns_summary": lambda r: quality.returns_summary(r.clean),
         "returns_impact": lambda r: quality.returns_impact(r.clean),
         "customer_coverage": lambda r: quality.customer_coverage(r.clean),
         "customer_sales_share": lambda r: quality.customer_sales_share(r.clean),
         "category_distribution": lambda r: quality.category_distribution(r.clean),
-        "monthly_trend": lambda r: trends.monthly_trend(r.sales),
-        "monthly_extremes": lambda r: trends.monthly_extremes(r.sales),
-        "country_pareto": lambda r: countries.country_pareto(r.sales),
-        "pareto_summary": lambda r: countries.pareto_summary(r.sales),
-        "pareto_table": lambda r: countries.pareto_table(r.sales),
+        "monthly_trend": lambda r: trends.monthly_trend(r.by_invoice),
+        "monthly_extremes": lambda r: trends.monthly_extremes(r.activity),
+        "country_pareto": lambda r: countries.country_pareto(r.activity),
+        "pareto_summary": lambda r: countries.pareto_summary(r.activity),
+        "pareto_table": lambda r: countries.pareto_table(r.activity),
         "price_outlier_summary": lambda r: prices.price_outlier_summary(r.sales),
         "zero_price_products": lambda r: prices.zero_price_products(r.sales),
         "high_price_products": lambda r: prices.high_price_products(r.sales),
         "price_scatter_sample": lambda r: prices.price_scatter_sample(r.sales),
-        "geo_dimension_present": lambda r: geo.geo_dimension_present(r.spark, r.sales),
-        "country_geo": lambda r: geo.country_geo(r.spark, r.sales),
-        "geo_international": lambda r: geo.geo_international(r.spark, r.sales),
-        "geo_top3": lambda r: geo.geo_top3(r.spark, r.sales),
-        "geo_top3_names": lambda r: geo.geo_top3_names(r.spark, r.sales),
-        "hourly_activity": lambda r: hours.hourly_activity(r.sales),
-        "day_part_summary": lambda r: hours.day_part_summary(r.sales),
-        "peak_hour": lambda r: hours.peak_hour(r.sales),
-        "slicer_countries": lambda r: slicer.slicer_countries(r.sales),
-        "slicer_periods": lambda r: slicer.slicer_periods(r.sales),
-        "slicer_defaults": lambda r: slicer.slicer_defaults(r.sales),
-        "slicer_metrics": lambda r: slicer.slicer_metrics(r.sales),
-        "ticket_monthly": lambda r: slicer.ticket_monthly(r.sales),
-        "slicer_top_products": lambda r: slicer.slicer_top_products(r.sales),
+        "geo_dimension_present": lambda r: geo.geo_dimension_present(r.spark, r.activity),
+        "country_geo": lambda r: geo.country_geo(r.spark, r.activity),
+        "geo_international": lambda r: geo.geo_international(r.spark, r.activity),
+        "geo_top3": lambda r: geo.geo_top3(r.spark, r.activity),
+        "geo_top3_names": lambda r: geo.geo_top3_names(r.spark, r.activity),
+        "hourly_activity": lambda r: hours.hourly_activity(r.by_invoice),
+        "day_part_summary": lambda r: hours.day_part_summary(r.by_invoice),
+        "peak_hour": lambda r: hours.peak_hour(r.by_invoice),
+        "slicer_countries": lambda r: slicer.slicer_countries(r.activity),
+        "slicer_periods": lambda r: slicer.slicer_periods(r.activity),
+        "slicer_defaults": lambda r: slicer.slicer_defaults(r.activity),
+        "slicer_metrics": lambda r: slicer.slicer_metrics(r.by_invoice, default_from=r.activity),
+        "ticket_monthly": lambda r: slicer.ticket_monthly(r.by_invoice, default_from=r.activity),
+        "slicer_top_products": lambda r: slicer.slicer_top_products(r.by_product, default_from=r.activity),
         "slicer_metrics_period": lambda r: slicer.slicer_metrics(
-            r.sales, country="Germany", period_from="1994-03", period_to="1996-06", products_only=False),
+            r.by_invoice, country="Germany", period_from="1994-03", period_to="1996-06", products_only=False),
         "ticket_monthly_period": lambda r: slicer.ticket_monthly(
-            r.sales, country="France", period_from="1993-07", period_to="1997-02"),
+            r.by_invoice, country="France", period_from="1993-07", period_to="1997-02"),
         "slicer_top_products_all": lambda r: slicer.slicer_top_products(
-            r.sales, country="United Kingdom", period_from="1995-01", products_only=False),
+            r.by_product, country="United Kingdom", period_from="1995-01", products_only=False),
         "raw_rows": lambda r: kpis.raw_rows(r.sales),
     }
 

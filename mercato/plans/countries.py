@@ -12,19 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import MONEY_SCALE, half_even_div, share, sum_units, units_to_money
+from ..functions.money import MONEY_SCALE, half_even_div, share, units_to_money
 from ..functions.text import money_text, pct_text, thousands_text
 from ..operators.ranking import over_all, running_sum, top_k
 from ..schema import PARETO_THRESHOLD, PARETO_TOP_N
+from .rollup import revenue
 
 
 def revenue_by_country(sales_df: DataFrame) -> DataFrame:
     """Exact revenue units per country (missing countries dropped)."""
-    return (
-        sales_df.filter(F.col("Country").isNotNull())
-        .groupBy("Country")
-        .agg(sum_units("TotalSales").alias("revenue_units"))
-    )
+    return sales_df.filter(F.col("Country").isNotNull()).groupBy("Country").agg(revenue(sales_df).alias("revenue_units"))
 
 
 def rank_order() -> list:

@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import before_paren, day_part
-from ..functions.money import sum_units, units_to_money
+from ..functions.money import units_to_money
 from ..operators.ranking import max_over_all
+from .rollup import revenue
 
 
 def hourly(sales_df: DataFrame) -> DataFrame:
     """hour, distinct invoices, revenue (exact units), units sold, day part."""
     h = sales_df.groupBy(F.hour("InvoiceDate").alias("hour")).agg(
         F.countDistinct("Invoice").alias("invoices"),
-        sum_units("TotalSales").alias("revenue_units"),
+        revenue(sales_df).alias("revenue_units"),
         F.sum("Quantity").alias("units"),
     )
     return h.select("*", day_part("hour").alias("day_part"))
@@ -53,15 +54,12 @@ def peak_hour(sales_df: DataFrame) -> DataFrame:
     part (full and short label), its invoices, and how many of the hours
     present have no invoice at all."""
     h = hourly(sales_df)
+    order = F.col("invoices") * 24 + (23 - F.col("hour"))  # one number: more invoices first, then the earlier hour
     agg = h.agg(
-        F.min_by(F.struct("hour", "invoices", "day_part"), F.struct(-F.col("invoices"), F.col("hour"))).alias("p"),
+        F.max_by("hour", order).alias("hour"),
+        F.max("invoices").alias("invoices"),
         F.count_if(F.col("invoices") == 0).alias("inactive_hours"),
         F.count(F.lit(1)).alias("hours"),
     ).filter(F.col("hours") > 0)
-    return agg.select(
-        F.col("p.hour").alias("hour"),
-        F.col("p.day_part").alias("day_part"),
-        before_paren(F.col("p.day_part")).alias("day_part_short"),
-        F.col("p.invoices").alias("invoices"),
-        "inactive_hours",
-    )
+    part = day_part("hour")
+    return agg.select("hour", part.alias("day_part"), before_paren(part).alias("day_part_short"), "invoices", "inactive_hours")

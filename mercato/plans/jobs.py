@@ -5,7 +5,7 @@
   Parquet), so every report afterwards reads columns instead of re-parsing
   text; the original ran 17 separate actions over the CSV.
 * ``dashboard``: cleaned table -> typed table written once (the dashboard's
-  load) -> every report as a lazy DataFrame, with the slicer parameters.
+  load) -> rollups written once (``plans.rollup``) -> every report as a lazy DataFrame, with the slicer parameters.
 
 Run the cleaning job from a shell with
 ``python -m mercato.plans.jobs <raw.csv> <output_dir>``.
@@ -14,15 +14,17 @@ Run the cleaning job from a shell with
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.materialize import write_and_reread
 from ..sources.files import read_parquet, read_raw_csv, write_clean_csv, write_parquet
-from . import countries, geo, hours, kpis, prices, quality, slicer, trends
-from .catalog import Retail
+from . import countries, quality, slicer
+from .catalog import Retail, dashboard_queries
 from .clean import clean
-from .sales import load_table
+from .rollup import write_rollups
+from .sales import load_table, sales
 
 
 def cleaning_job(
@@ -64,46 +66,27 @@ def dashboard(
     period_to: str | None = None,
     products_only: bool = True,
     top_n: int = 10,
+    rollup_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Every dashboard report over ``cleaned``; the typed table is written
-    once to ``load_path`` (as the dashboard loads and caches it)."""
+    once to ``load_path`` (as the dashboard loads and caches it), the rollups
+    that most reports share once under ``rollup_path`` (beside it if not given,
+    under a new name: a table of the catalog refers to them)."""
     typed_df = write_and_reread(spark, load_table(cleaned), "typed", load_path)
-    r = Retail.from_typed(spark, typed_df, cleaned)
-    s = r.sales
-    sel = dict(country=country, period_from=period_from, period_to=period_to, products_only=products_only)
-    return {
-        "sales_view_counts": quality.sales_view_counts(cleaned, typed_df),
-        "kpi_headline": kpis.kpi_headline(s),
-        "kpi_secondary": kpis.kpi_secondary(r.typed),
-        "sales_time_attributes": kpis.sales_time_attributes(s),
-        "daily_revenue": kpis.daily_revenue(s),
-        "top_countries": countries.top_countries(s),
-        "top_products": kpis.top_products(s),
-        "price_outlier_summary": prices.price_outlier_summary(s),
-        "price_scatter_sample": prices.price_scatter_sample(s),
-        "zero_price_products": prices.zero_price_products(s),
-        "high_price_products": prices.high_price_products(s),
-        "country_pareto": countries.country_pareto(s, top_n),
-        "pareto_summary": countries.pareto_summary(s, top_n),
-        "pareto_table": countries.pareto_table(s, top_n),
-        "monthly_trend": trends.monthly_trend(s),
-        "monthly_extremes": trends.monthly_extremes(s),
-        "geo_dimension_present": geo.geo_dimension_present(spark, s),
-        "country_geo": geo.country_geo(spark, s),
-        "geo_international": geo.geo_international(spark, s),
-        "geo_top3": geo.geo_top3(spark, s),
-        "geo_top3_names": geo.geo_top3_names(spark, s),
-        "hourly_activity": hours.hourly_activity(s),
-        "day_part_summary": hours.day_part_summary(s),
-        "peak_hour": hours.peak_hour(s),
-        "slicer_countries": slicer.slicer_countries(s),
-        "slicer_periods": slicer.slicer_periods(s),
-        "slicer_defaults": slicer.slicer_defaults(s),
-        "slicer_metrics": slicer.slicer_metrics(s, **sel),
-        "ticket_monthly": slicer.ticket_monthly(s, **sel),
-        "slicer_top_products": slicer.slicer_top_products(s, **sel),
-        "raw_rows": kpis.raw_rows(s),
+    rollups = write_rollups(spark, sales(typed_df), rollup_path or f"{load_path.rstrip('/')}-rollups-{uuid.uuid4().hex[:12]}")
+    r = Retail.from_typed(spark, typed_df, cleaned, rollups=rollups)
+    sel = dict(country=country, period_from=period_from, period_to=period_to, products_only=products_only, default_from=r.activity)
+    reports = {name: fn for name, fn in dashboard_queries().items() if not name.startswith(("slicer_metrics", "ticket_monthly", "slicer_top_products"))}
+    own = {
+        "country_pareto": countries.country_pareto(r.activity, top_n),
+        "pareto_summary": countries.pareto_summary(r.activity, top_n),
+        "pareto_table": countries.pareto_table(r.activity, top_n),
+        "slicer_metrics": slicer.slicer_metrics(r.by_invoice, **sel),
+        "ticket_monthly": slicer.ticket_monthly(r.by_invoice, **sel),
+        "slicer_top_products": slicer.slicer_top_products(r.by_product, **sel),
     }
+    skip = {"clean_retail", "returns_summary", "returns_impact", "customer_coverage", "customer_sales_share", "category_distribution", *own}
+    return {name: fn(r) for name, fn in reports.items() if name not in skip} | own
 
 
 def main(argv: list[str]) -> None:

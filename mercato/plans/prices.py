@@ -10,11 +10,12 @@ shipped to every task as a value; no cross join. ``approx=True`` uses
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import price_class
-from ..functions.money import mean_money, money_units
+from ..functions.money import mean_money, sum_units
+from ..operators.materialize import write_and_reread
 from ..operators.quantile import exact_quantile
 from ..operators.ranking import top_k
 from ..schema import PRICE_QUANTILE, SAMPLE_SEED, SAMPLE_SIZE
@@ -79,7 +80,7 @@ def high_price_products(sales_df: DataFrame, n: int = 15, q: float = PRICE_QUANT
     above = sales_df.filter((F.col("UnitPrice") > thr) & F.col(PRODUCT).isNotNull())
     agg = price_histogram(above, PRODUCT).groupBy(F.col(PRODUCT).alias("product")).agg(
         F.max("UnitPrice").alias("mx"),
-        F.sum(money_units("UnitPrice") * F.col("lines")).alias("price_units"),
+        sum_units("UnitPrice", weight="lines").alias("price_units"),
         F.sum("lines").alias("priced"),
         F.sum("invoice_lines").alias("lines"),
     )
@@ -103,17 +104,10 @@ def sample_key(df: DataFrame, seed: int = SAMPLE_SEED, order_key: str = "row_key
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in parts]))
 
 
-def _digits(at: int) -> Column:
-    return F.substring("_k", at, 4)
-
-
-def _cut(keyed: DataFrame, at: int, wanted: Column | int) -> DataFrame:
-    """One row: the last value (``cut``) of the four key digits at ``at`` that is needed
-    to reach ``wanted`` rows, and the rows before it. At most 65,536 counts are ordered."""
-    before = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy(_digits(at).alias("digits")).agg(F.count(F.lit(1)).alias("rows"))
-    counts = counts.select("digits", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
-    return counts.filter(F.col("before") < wanted).agg(F.max("digits").alias("cut"), F.max("before").alias("before"))
+def key_bound(wanted: int, rows: int) -> str | None:
+    """A hex bound under which about ``wanted`` of ``rows`` md5 keys lie, with slack for chance; None for no bound."""
+    share = (wanted + 8 * wanted**0.5 + 32) / max(rows, 1)
+    return None if share >= 1 else f"{int(share * 2**52):013x}"
 
 
 def price_scatter_sample(
@@ -122,22 +116,36 @@ def price_scatter_sample(
 ) -> DataFrame:
     """Up to ``n`` sales lines in seeded hash order, with their price class.
 
-    Two counts over key digits (four, then the next four) give a bound that
-    about ``n`` lines in all lie under, whatever the number of tasks; only those
-    are ordered and cut to ``n``.
+    Of the N lines (counted on the column of the price histogram, which the
+    quantile needs too) about ``n`` have a key in the first n/N of the key
+    space. One scan makes the keys and keeps the lines below that bound, a
+    little widened; they are written, and counted there. Only if they are too
+    few (equal lines share a key) is the bound moved up eightfold and the scan
+    repeated. Whatever the number of tasks, about ``n`` lines are then ordered
+    and cut to ``n``. The scans run when the report is built.
     """
-    keyed_only = sales_df.select(sample_key(sales_df, seed).alias("_k"))
-    first = _cut(keyed_only, 1, n)
-    cut, before = first.select("cut").scalar(), first.select("before").scalar()
-    second = _cut(keyed_only.filter(_digits(1) == cut), 5, F.lit(n) - before).select("cut").scalar()
-    thr = price_threshold(sales_df, q, approx=approx)
-    keyed = sales_df.select("*", sample_key(sales_df, seed).alias("_k"))
-    keyed = keyed.filter((_digits(1) < cut) | ((_digits(1) == cut) & (_digits(5) <= second)))
-    return top_k(keyed, n, ["_k"]).select(
+    spark = sales_df.sparkSession
+    thr, total = _threshold_and_rows(sales_df, q, approx)
+    keyed = sales_df.select("UnitPrice", "Quantity", "DescriptionCleaned", "Country", "Invoice", sample_key(sales_df, seed).alias("_k"))
+    wanted = n
+    while True:
+        bound = key_bound(wanted, total)
+        found = write_and_reread(spark, keyed if bound is None else keyed.filter(F.col("_k") < bound), "price_sample")
+        if bound is None or found.count() >= min(n, total):
+            break
+        wanted *= 8
+    return top_k(found, n, ["_k"]).select(
         "UnitPrice",
         "Quantity",
-        price_class("UnitPrice", thr).alias("price_class"),
+        price_class("UnitPrice", F.lit(thr).cast("double")).alias("price_class"),
         "DescriptionCleaned",
         "Country",
         "Invoice",
     )
+
+
+def _threshold_and_rows(sales_df: DataFrame, q: float, approx: bool) -> tuple[float | None, int]:
+    """The price threshold and the number of lines, from one scan of the price column."""
+    rows = price_lines(sales_df).agg(F.sum("lines").alias("rows"))
+    row = rows.select("rows", price_threshold(sales_df, q, approx=approx).alias("thr")).first()
+    return row["thr"], row["rows"] or 0

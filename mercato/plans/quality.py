@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import money_units, units_to_money
+from ..functions.money import sum_units, units_to_money
 from ..operators.profile import describe_columns, null_counts
 from ..operators.ranking import top_k
 from ..schema import ISSUE_MARKERS, RAW_COLUMNS
@@ -55,10 +55,9 @@ def returns_summary(clean_df: DataFrame) -> DataFrame:
 def returns_impact(clean_df: DataFrame) -> DataFrame:
     """Revenue with returns (all lines), without (``Quantity > 0``), and the
     difference. Exact unit sums; NULL when there is nothing to sum."""
-    units = money_units("TotalSales")
     agg = clean_df.agg(
-        F.sum(units).alias("w"),
-        F.sum(F.when(F.col("Quantity") > 0, units)).alias("wo"),
+        sum_units("TotalSales").alias("w"),
+        sum_units(F.when(F.col("Quantity") > 0, F.col("TotalSales"))).alias("wo"),
     )
     return agg.select(
         units_to_money("w").alias("revenue_with_returns"),
@@ -83,10 +82,9 @@ def customer_coverage(clean_df: DataFrame) -> DataFrame:
 
 def customer_sales_share(clean_df: DataFrame) -> DataFrame:
     positive = F.col("Quantity") > 0
-    units = money_units("TotalSales")
     agg = clean_df.agg(
-        F.sum(F.when(F.col("HasCustomerID") & positive, units)).alias("w"),
-        F.sum(F.when(~F.col("HasCustomerID") & positive, units)).alias("wo"),
+        sum_units(F.when(F.col("HasCustomerID") & positive, F.col("TotalSales"))).alias("w"),
+        sum_units(F.when(~F.col("HasCustomerID") & positive, F.col("TotalSales"))).alias("wo"),
     )
     both = F.col("w") + F.col("wo")
     return agg.select(

@@ -6,8 +6,9 @@ if it sells, else the first country in order) through a scalar subquery.
 
 Ticket = mean over invoices of the invoice total. Both the country and the
 global ticket come from **one** aggregate per invoice (one shuffle on
-Invoice; per-task partial sums first, so an invoice with many lines sends one
-row per task), carrying the invoice total and the part of it in the selected
+Invoice, none over the ``tickets`` rollup, which is bucketed by it; per-task
+partial sums first, so an invoice with many lines sends one row per task),
+carrying the invoice total and the part of it in the selected
 country. An empty country selection gives an empty result.
 """
 
@@ -19,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import pct_difference, verdict
-from ..functions.money import mean_money, money_units, share, units_to_money
+from ..functions.money import LIMBS, mean_money, share, sum_limbs, units_to_money
 from ..functions.text import money_text, signed_pct_text
 from ..operators.ranking import over_all, top_k
 from ..schema import DEFAULT_COUNTRY
+from .rollup import lines_of, priced, revenue, revenue_limbs
 from .sales import month_index, month_text, year_month
 
 
@@ -80,37 +82,40 @@ def selection(
     period_from: str | None = None,
     period_to: str | None = None,
     products_only: bool = True,
+    default_from: DataFrame | None = None,
 ) -> tuple[DataFrame, Column]:
     """The base rows (months inclusive; ``UnitPrice > 0`` when
-    ``products_only``) with their month index ``_m``, and the country predicate."""
+    ``products_only``) with their month index ``_m``, and the country predicate. The default
+    country comes from ``default_from`` (a smaller rollup of the same lines) if given."""
     base = period_filter(sales_df, period_from, period_to).select("*", month_index().alias("_m"))
     if products_only:
-        base = base.filter(F.col("UnitPrice") > 0)
-    target = F.lit(country) if country is not None else default_country(sales_df)
+        base = base.filter(priced(sales_df))
+    target = F.lit(country) if country is not None else default_country(sales_df if default_from is None else default_from)
     return base, F.coalesce(F.col("Country") == target, F.lit(False))
 
 
 def _per_invoice(base: DataFrame, in_country: Column, *keys: str) -> DataFrame:
-    units = money_units("TotalSales")
+    """Per invoice: the limbs of its total and of its part in the country, and the country's units and lines."""
+    own = revenue_limbs(base)
     return base.groupBy(*keys, "Invoice").agg(
-        F.sum(units).alias("inv_total"),
-        F.sum(F.when(in_country, units)).alias("inv_country"),
+        *[F.sum(own[i]).alias(f"total_{i}") for i in range(LIMBS)],
+        *[F.sum(F.when(in_country, own[i])).alias(f"country_{i}") for i in range(LIMBS)],
         F.sum(F.when(in_country, F.col("Quantity"))).alias("units_country"),
-        F.count_if(in_country).alias("lines_country"),
+        F.sum(F.when(in_country, lines_of(base)).otherwise(0)).alias("lines_country"),
     )
 
 
 def slicer_metrics(sales_df: DataFrame, country: str | None = None, period_from: str | None = None,
-                   period_to: str | None = None, products_only: bool = True) -> DataFrame:
-    base, in_country = selection(sales_df, country, period_from, period_to, products_only)
+                   period_to: str | None = None, products_only: bool = True, default_from: DataFrame | None = None) -> DataFrame:
+    base, in_country = selection(sales_df, country, period_from, period_to, products_only, default_from)
     inv = _per_invoice(base, in_country)
     has_inv = F.col("Invoice").isNotNull()
     in_c = has_inv & (F.col("lines_country") > 0)
     agg = inv.agg(
-        F.sum("inv_country").alias("rev"),
-        F.sum(F.when(in_c, F.col("inv_country"))).alias("tc_units"),
+        sum_limbs("country").alias("rev"),
+        sum_limbs("country", in_c).alias("tc_units"),
         F.count_if(in_c).alias("invoices"),
-        F.sum(F.when(has_inv, F.col("inv_total"))).alias("tg_units"),
+        sum_limbs("total", has_inv).alias("tg_units"),
         F.count_if(has_inv).alias("all_invoices"),
         F.sum("units_country").alias("units"),
         F.sum("lines_country").alias("lines"),
@@ -133,7 +138,7 @@ def slicer_metrics(sales_df: DataFrame, country: str | None = None, period_from:
 
 
 def ticket_monthly(sales_df: DataFrame, country: str | None = None, period_from: str | None = None,
-                   period_to: str | None = None, products_only: bool = True) -> DataFrame:
+                   period_to: str | None = None, products_only: bool = True, default_from: DataFrame | None = None) -> DataFrame:
     """Per month: mean invoice total in the country and globally, sorted by
     month; the country ticket is NULL in months without country invoices.
 
@@ -144,14 +149,14 @@ def ticket_monthly(sales_df: DataFrame, country: str | None = None, period_from:
     one per-month aggregate carrying both series. An empty country selection
     gives no rows.
     """
-    base, in_country = selection(sales_df, country, period_from, period_to, products_only)
+    base, in_country = selection(sales_df, country, period_from, period_to, products_only, default_from)
     inv = _per_invoice(base, in_country, "_m")
     has_inv = F.col("Invoice").isNotNull()
     has_country = has_inv & (F.col("lines_country") > 0)
     monthly = inv.groupBy("_m").agg(
-        F.sum(F.when(has_country, F.col("inv_country"))).alias("c_units"),
+        sum_limbs("country", has_country).alias("c_units"),
         F.count_if(has_country).alias("c_invoices"),
-        F.sum(F.when(has_inv, F.col("inv_total"))).alias("g_units"),
+        sum_limbs("total", has_inv).alias("g_units"),
         F.count_if(has_inv).alias("g_invoices"),
         F.sum("lines_country").alias("c_lines"),
     )
@@ -170,12 +175,13 @@ def ticket_monthly(sales_df: DataFrame, country: str | None = None, period_from:
 
 
 def slicer_top_products(sales_df: DataFrame, country: str | None = None, period_from: str | None = None,
-                        period_to: str | None = None, products_only: bool = True, n: int = 5) -> DataFrame:
-    base, in_country = selection(sales_df, country, period_from, period_to, products_only)
+                        period_to: str | None = None, products_only: bool = True, n: int = 5,
+                        default_from: DataFrame | None = None) -> DataFrame:
+    base, in_country = selection(sales_df, country, period_from, period_to, products_only, default_from)
     agg = (
         base.filter(in_country & F.col("DescriptionCleaned").isNotNull())
         .groupBy(F.col("DescriptionCleaned").alias("product"))
-        .agg(F.sum(money_units("TotalSales")).alias("rev"), F.sum("Quantity").alias("quantity"))
+        .agg(revenue(base).alias("rev"), F.sum("Quantity").alias("quantity"))
     )
     top = top_k(agg, n, [F.col("rev").desc()], ["product"])
     return top.select("product", money_text(units_to_money("rev")).alias("revenue_text"), "quantity")

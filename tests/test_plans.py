@@ -6,7 +6,7 @@ import sys
 import pytest
 
 from retail_rows import SF_SMALL
-from mercato.plans import countries, geo, hours, kpis, prices, slicer, trends
+from mercato.plans import countries, geo, hours, kpis, prices, rollup, slicer, trends
 from mercato.plans.catalog import Retail, dashboard_queries
 from mercato.plans.clean import clean
 from mercato.session import scratch_path
@@ -106,10 +106,47 @@ def test_sample_orders_few_rows(spark):
     want = {r["id"] for r in sales_df.select(F.col("row_key").alias("id"), prices.sample_key(sales_df).alias("k")).orderBy("k").limit(700).collect()}
     assert got == want
     keyed = sales_df.select(prices.sample_key(sales_df).alias("_k"))
-    first = prices._cut(keyed, 1, 700).first()
-    second = prices._cut(keyed.filter(prices._digits(1) == first["cut"]), 5, 700 - first["before"]).first()["cut"]
-    few = keyed.filter((prices._digits(1) < first["cut"]) | ((prices._digits(1) == first["cut"]) & (prices._digits(5) <= second)))
-    assert few.count() == 700
+    assert 700 <= keyed.filter(F.col("_k") < prices.key_bound(700, 200_000)).count() < 2 * 700
+    assert prices.key_bound(700, 800) is None and prices.key_bound(5, 0) is None
+
+
+def test_sample_widens_its_bound_when_equal_lines_share_a_key(spark):
+    """Nine tenths of the lines are one line, so a bound from the number of lines finds too few."""
+    from pyspark.sql import functions as F
+
+    sales_df = spark.range(40_000).select(
+        F.when(F.col("id") < 4_000, F.col("id")).otherwise(-1).cast("string").alias("row_key"), F.lit(1.0).alias("UnitPrice"),
+        F.lit(1).alias("Quantity"), F.lit("x").alias("DescriptionCleaned"), F.lit("y").alias("Country"),
+        F.when(F.col("id") < 4_000, F.col("id")).otherwise(-1).cast("string").alias("Invoice"))
+    got = sorted(r["Invoice"] for r in prices.price_scatter_sample(sales_df, n=300).collect())
+    want = sorted(r["id"] for r in sales_df.select(F.col("row_key").alias("id"), prices.sample_key(sales_df).alias("k")).orderBy("k").limit(300).collect())
+    assert got == want
+
+
+def test_distinct_counts_need_no_expand(retail):
+    for df in (kpis.kpi_headline(retail.sales), kpis.kpi_secondary(retail.typed)):
+        assert "Expand" not in plan(df)
+
+
+def test_invoice_sums_over_the_bucketed_rollup_need_no_shuffle(spark, retail):
+    """Below the first aggregate there is the scan alone."""
+    rolled = rollup.write_rollups(spark, retail.sales, scratch_path(spark, "test-rollups"), buckets=4)
+    for df in (slicer.slicer_metrics(rolled.tickets, country="Germany"), slicer.ticket_monthly(rolled.tickets, country="Germany"),
+               kpis.monthly_revenue(rolled.tickets), hours.hourly(rolled.tickets)):
+        lines = plan(df).splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line)
+        aggregates = [i for i, line in enumerate(lines[:scan]) if "Aggregate" in line]
+        assert "Bucketed: true" in lines[scan] and "SelectedBucketsCount" in lines[scan]
+        assert not any("Exchange" in line for line in lines[aggregates[-2]:scan]), plan(df)
+
+
+def test_load_samples_no_bounds(spark, retail):
+    """The layout follows from the lines per month: no range partitioning, whose bounds take a pass that parses every line."""
+    from mercato.plans.sales import load_table
+
+    p = plan(load_table(retail.clean))
+    assert "rangepartitioning" not in p and p.count("FileScan parquet") == 1
+    assert p.count("regexp_replace") == 1  # parsed once, not also in the filter
 
 
 def test_ticket_monthly_scans_sales_once(spark, retail):

@@ -126,6 +126,55 @@ def test_money_sums_lose_nothing_and_have_no_low_ceiling(spark):
     assert total([0.005, 0.015, 0.025])["mean"] == 0.02 and total([0.125])["mean"] == 0.12
 
 
+def test_money_at_its_limits(spark):
+    """Below 5e-11 a line counts as 0; from about 1e31 on it is an error, as is a sum over 1e28; nothing leaves a sum silently."""
+    from mercato.functions.money import money_units, sum_units, units_to_money
+
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(sum_units("x").alias("u")).select(units_to_money("u").alias("m")).first()["m"]
+
+    assert total([4e-11] * 1000) == 0.0 and total([6e-11] * 10) == 1e-9 and total([1e-10] * 1000) == 1e-7
+    assert total([]) is None and total([None, float("nan")]) is None and total([-0.0]) == 0.0
+    assert total([1e27, 5.0, -1e27]) == 5.0 and total([2.0**90, 0.25, -(2.0**90)]) == 0.25
+    assert total([1e15, 0.1, -1e15, 0.2]) == 0.3
+    for values in ([2e28, 5.0], [1e32], [-1e300], [6e27, 6e27]):
+        with pytest.raises(Exception, match="OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE|ARITHMETIC"):
+            total(values)
+    units = spark.createDataFrame([(6.95,), (-0.1,), (524287.1234567891,)], "x double").select(money_units("x").alias("u")).collect()
+    assert [int(r["u"]) for r in units] == [69500000000, -1000000000, 5242871234567891]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(min_value=-1e17, max_value=1e17), min_size=1, max_size=20))
+def test_money_sums_are_those_of_exact_fractions(spark, values):
+    """Each double rounded to ten decimals, summed as whole numbers."""
+    from fractions import Fraction
+
+    from mercato.functions.money import sum_units
+
+    got = spark.createDataFrame([(v,) for v in values], "x double").agg(sum_units("x").alias("u")).first()["u"]
+    want = sum(Fraction(v) * 10**10 for v in values)
+    assert abs(int(got) - want) <= Fraction(len(values), 2) + Fraction(len(values), 10**6)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(0, 40), st.integers(1, 10_000), min_size=1, max_size=12), st.integers(1, 12))
+def test_months_are_laid_out_in_order_and_evenly(rows, partitions):
+    from mercato.plans.sales import month_ranges
+
+    out = month_ranges(rows | {None: 5}, partitions)
+    assert [m for m, _, _ in out] == sorted(rows)
+    assert all(0 <= first and first + k <= partitions and k >= 1 for _, first, k in out)
+    assert all(a[1] + a[2] - 1 <= b[1] for a, b in zip(out, out[1:]))
+    load = [0.0] * partitions
+    for m, first, k in out:
+        for i in range(first, first + k):
+            load[i] += rows[m] / k
+    share = max(1.0, sum(rows.values()) / partitions)
+    assert max(load) <= 4 * share
+
+
 def test_replaced_input_changes_the_answer(spark, tmp_path):
     import os
     import shutil
