@@ -18,6 +18,10 @@ from mercato.llm.tables import settled
 from mercato.operators.materialize import write_and_reread
 
 
+#: Words of a shingle and percent of similarity from which on documents are near-duplicates.
+NEAR_WORDS, NEAR_PCT = 5, 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return host_rules.filter_documents(docs)
@@ -32,11 +36,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays (null last).
 
+    Near-duplicates are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
     A text without words is in no group and stays. Rows that share an id are
     told apart by their text; of equal rows one stays.
     """
     ident, version = F.coalesce("doc_id", F.lit(2**63 - 1)), F.xxhash64("text")
-    found = jaccard_join.near_duplicates(docs, version=version).where("group_id is not null")
+    found = jaccard_join.near_duplicates(docs, k=NEAR_WORDS, pct=NEAR_PCT, version=version).where("group_id is not null")
     lead = found.groupBy("group_id").agg(F.min(F.struct(ident.alias("__id"), F.col("version").alias("__text"))).alias("lead"))
     lead = settled(lead.select("lead.*"), "near_leads")
     rows = docs.select(F.struct(*docs.columns).alias("row"), ident.alias("id"), version.alias("version"),

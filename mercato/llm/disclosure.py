@@ -27,6 +27,7 @@ are an id of their own. Only the id, the text and the columns in ``keep`` are re
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,11 +46,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 # The same matches without backtracking, so that no text is too long for them: possessive, since no quantifier is
 # followed by a character that it takes, and anchored to the start of a run or the end of the last match, since a match
-# within a run would have started with it. A single digit counts as a card here; it fails the check of the length.
+# within a run would have started with it. For cards only runs of 16 to 19 digits are found: others fail the check of
+# the length, and a text of many numbers has few that pass it.
 _SEARCH = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": PHONE,
 }
 _MAY_HAVE = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
@@ -65,19 +67,51 @@ class Thresholds:
     remove_share: float = 0.85
 
 
+def _placed(items: Column, value: Callable[[Column], Column], join: Callable[[Column, Column], Column]) -> Column:
+    """Array of (at, item): ``at`` is what the BIGINT values of the items before make together, their sum or the
+    greatest, and 0 for none.
+
+    Items are taken in blocks of about the square root of their number, and then the blocks, so that a text of n items
+    copies n * sqrt(n) numbers and not n * n. The items are bound by a lambda, so that they are made once.
+    """
+
+    def walk(array: Column, one: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("now"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(array, start, lambda acc, x: F.struct(
+            join(acc["now"], one(x)).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out")))
+
+    def before(bound: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(bound))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(bound) / size).cast("int") - 1), lambda k: walk(F.slice(bound, k * size + 1, size), value))
+        return _let(blocks, lambda b: F.flatten(F.transform(
+            F.arrays_zip(b.alias("own"), walk(b, lambda block: block["now"])["out"].alias("ahead")),
+            lambda x: F.transform(x["own"]["out"], lambda own: join(x["ahead"], own)))))
+
+    def zipped(bound: Column) -> Column:
+        at = F.when(F.size(bound) == 0, F.array().cast("array<bigint>")).otherwise(before(bound))
+        return F.arrays_zip(at.alias("at"), bound.alias("item"))
+
+    return _let(items, zipped)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their code point offsets: what lies between them comes from split()."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), found.alias("value"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        a = acc["at"] + F.length(x["gap"])
-        b = a + F.length(x["value"])
-        one = F.struct(a.alias("start"), b.alias("end"), x["value"].alias("value"))
-        return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    return F.aggregate(both, start, step, lambda acc: acc["out"])
+    both = F.filter(F.arrays_zip(between.alias("gap"), found.alias("value")), lambda x: x["value"].isNotNull())
+    sized = F.transform(both, lambda x: F.struct(
+        F.length(x["gap"]).cast("bigint").alias("gap"), F.length(x["value"]).cast("bigint").alias("own"), x["value"].alias("value")))
+    start = lambda x: x["at"] + x["item"]["gap"]
+    return F.transform(_placed(sized, lambda x: x["gap"] + x["own"], _sum), lambda x: F.struct(
+        start(x).alias("start"), (start(x) + x["item"]["own"]).alias("end"), x["item"]["value"].alias("value")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -125,17 +159,11 @@ def term_of(word: Column) -> Column:
 def _outside(text: Column, spans: Column) -> Column:
     """The text with spaces for its white space and a line feed for each base span."""
     spaced = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(spaced, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        out = F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(gap)))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
-
-    def join(acc: Column) -> Column:
-        return F.array_join(F.concat(acc["out"], F.array(F.substring(spaced, (acc["at"] + 1).cast("int"), F.length(spaced)))), "\n")
-
-    return F.when(F.size(spans) == 0, spaced).otherwise(F.aggregate(F.array_sort(spans), start, step, join))
+    after = _placed(F.array_sort(spans), lambda x: x["end"], F.greatest)
+    gaps = F.transform(F.filter(after, lambda x: x["item"]["start"] >= x["at"]),
+                       lambda x: F.substring(spaced, (x["at"] + 1).cast("int"), (x["item"]["start"] - x["at"]).cast("int")))
+    rest = F.substring(spaced, (F.array_max(F.transform(spans, lambda x: x["end"])) + 1).cast("int"), F.length(spaced))
+    return F.when(F.size(spans) == 0, spaced).otherwise(F.array_join(F.concat(gaps, F.array(rest)), "\n"))
 
 
 def _terms(outside: Column) -> Column:
@@ -205,16 +233,11 @@ def find_spans(docs: DataFrame, limits: Thresholds = Thresholds(), doc_id: str =
     src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *[c.alias(n) for n, c in keep.items()], content.alias("text"),
                       F.xxhash64(F.col(f"`{text}`")).alias("__hash"))
     rows = src.join(per_doc, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(acc: Column, word: Column) -> Column:
-        end = acc["at"] + F.length(word)
-        to = F.try_element_at(F.col("__terms"), term_of(F.lower(word)))
-        one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), to.alias("value")))
-        return F.struct((end + 1).alias("at"), F.when(to.isNull(), acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
-
     words = F.split(F.col("text"), r"[\x20\x09-\x0D]", -1)
-    term = F.when(F.col("__terms").isNull(), F.array().cast(_SPANS)).otherwise(F.aggregate(words, start, step, lambda acc: acc["out"]))
+    to = lambda w: F.try_element_at(F.col("__terms"), term_of(F.lower(w)))
+    placed = F.filter(_placed(words, lambda w: F.length(w).cast("bigint") + 1, _sum), lambda x: to(x["item"]).isNotNull())
+    term = F.when(F.col("__terms").isNull(), F.array().cast(_SPANS)).otherwise(F.transform(placed, lambda x: F.struct(
+        x["at"].alias("start"), (x["at"] + F.length(x["item"])).alias("end"), to(x["item"]).alias("value"))))
     spans = rows.select("doc_id", *keep, *[base_spans(F.col("text"), k).alias(k) for k in KINDS], term.alias("term"), "text")
     base = F.concat(*KINDS)
     clear = F.filter("term", lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
@@ -233,21 +256,17 @@ def spans_text(kinds: list[str]) -> Column:
 def sanitised(spans: DataFrame) -> DataFrame:
     """``find_spans`` with the text in which base spans became ``<kind>`` and terms what they become.
 
-    Spans that overlap one that starts earlier (or, starting alike, ends later) are left out.
+    Of spans that overlap, the first (of those that start alike the longest) stands for all; the text under them goes.
     """
 
     def marked(kind: str) -> Column:
         return F.transform(F.col(kind), lambda x: F.struct(
             x["start"].alias("start"), (-x["end"]).alias("minus_end"), (x["value"] if kind == "term" else F.lit(f"<{kind}>")).alias("to")))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        new = F.struct((-x["minus_end"]).alias("at"), F.concat(acc["out"], F.array(gap, x["to"])).alias("out"))
-        return F.when(x["start"] < acc["at"], acc).otherwise(new)
-
-    def join(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text")))
-
-    return spans.withColumn("text", F.aggregate(F.array_sort(F.concat(*[marked(k) for k in [*KINDS, "term"]])), start, step, join))
+    marks = F.concat(*[marked(k) for k in [*KINDS, "term"]])
+    kept = F.filter(_placed(F.array_sort(marks), lambda x: -x["minus_end"], F.greatest), lambda x: x["item"]["start"] >= x["at"])
+    pieces = F.flatten(F.transform(kept, lambda x: F.array(
+        F.substring(F.col("text"), (x["at"] + 1).cast("int"), (x["item"]["start"] - x["at"]).cast("int")), x["item"]["to"])))
+    last = F.coalesce(F.array_max(F.transform(marks, lambda x: -x["minus_end"])), F.lit(0).cast("bigint"))
+    rest = F.substring(F.col("text"), (last + 1).cast("int"), F.length("text"))
+    return spans.withColumn("text", F.concat(F.array_join(pieces, ""), rest))

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.materialize import write_and_reread
 from .tables import settled
 from .words import per_run, steps, tokenise
 
@@ -161,7 +162,10 @@ def judge(measured: DataFrame, r: Rules = Rules(), host: str = "host") -> DataFr
 
 
 def filter_documents(docs: DataFrame, r: Rules = Rules(), text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns."""
+    """The documents that are kept, with all their columns.
+
+    They are written with their measures before they are judged: hosts and documents then read the same measures.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = judge(measure(docs, text, row=row, host=F.col(f"`{host}`")), r)
-    return judged.where("kept").select("row.*")
+    measured = write_and_reread(docs.sparkSession, measure(docs, text, row=row, host=F.col(f"`{host}`")), "measured_documents")
+    return judge(measured, r).where("kept").select("row.*")

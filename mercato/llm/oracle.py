@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .disclosure import CARD, EMAIL, IP, PHONE
 from .licenses import TEMPLATES
+from .warc_store import HTTP, REVISIT_PROFILE
 
 #: Words of a text: runs of characters other than ASCII white space.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -84,6 +85,7 @@ _ALL_SPANS = ", ".join(f"{_spans('t', k)} AS {k}" for k in _KINDS)
 _SAME = {"email": "lower(x.v)", "ip": "x.v", "card": "regexp_replace(x.v, '[^0-9]', '', 'g')", "phone": "regexp_replace(x.v, '[^0-9]', '', 'g')"}
 _ENTITIES = " || ".join(f"[concat('{k}:', {same}) FOR x IN {k}]" for k, same in _SAME.items())
 _SPAN_TEXT = " || ".join(f"[concat('{k}:', x.a, ':', x.a + len(x.v)) FOR x IN {k}]" for k in _KINDS)
+_ALL_PLACES = " || ".join(f"[{{'a': x.a, 'b': x.a + len(x.v)}} FOR x IN {k}]" for k in _KINDS)
 _PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
 
 OP3 = f"""
@@ -91,46 +93,78 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), base AS (
   SELECT r, doc_id, t, {_ALL_SPANS} FROM d
-), lines AS (
-  SELECT r, unnest(string_split(text, chr(10))) AS t FROM (SELECT row_number() OVER () AS r, text FROM documents) WHERE text IS NOT NULL
+), split AS (
+  SELECT r, string_split(text, chr(10)) AS ls FROM (SELECT row_number() OVER () AS r, text FROM documents) WHERE text IS NOT NULL
+), areas AS (
+  SELECT array_to_string(ls[run * 16 + 1:run * 16 + 32], chr(10)) AS t
+  FROM (SELECT ls, unnest(range(0, greatest(0, (len(ls) - 32 + 15) // 16) + 1)) AS run FROM split)
+), spanned AS (
+  SELECT t, {_ALL_SPANS} FROM areas
+), placed AS (
+  SELECT *, {_ALL_PLACES} AS bs,
+    list_transform(string_split_regex(t, '[\x20\x09-\x0D]'), lambda w: {{'w': w, 'n': len(w) + 1}}) AS xs FROM spanned
+), words AS (
+  SELECT *, CASE WHEN len(bs) = 0 THEN [x.w FOR x IN xs] ELSE (
+    SELECT list(w ORDER BY i) FROM (SELECT xs[i].w AS w, i, coalesce(sum(xs[i].n) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+      FROM (SELECT unnest(range(1, len(xs) + 1)) AS i))
+    WHERE len(list_filter(bs, lambda b: b.a < a + len(w) AND a < b.b)) = 0) END AS free FROM placed
 ), terms AS (
-  SELECT r, t, list_distinct([trim(w, '{_PUNCTUATION}') FOR w IN string_split_regex(lower(t), '[\x20\t\x0b\x0c\r]')] || ['']) AS ws FROM lines
+  SELECT t, email, ip, card, phone, list_distinct([trim(lower(w), '{_PUNCTUATION}') FOR w IN coalesce(free, [])] || ['']) AS ws FROM words
 ), mention AS (
-  SELECT t, ws, unnest(list_distinct({_ENTITIES})) AS e FROM (SELECT t, ws, {_ALL_SPANS} FROM terms WHERE regexp_matches(t, '[0-9@]'))
+  SELECT t, ws, unnest(list_distinct({_ENTITIES})) AS e FROM terms
 ), n_e AS (
   SELECT e, count(*) AS n_e FROM mention GROUP BY e
 ), meet AS (
   SELECT e, w, count(*) AS n_both FROM (SELECT e, t, unnest(ws) AS w FROM mention)
-  WHERE w <> '' AND NOT regexp_matches(w, '[0-9@]') GROUP BY e, w HAVING count(DISTINCT t) >= 3
+  WHERE w <> '' GROUP BY e, w HAVING count(DISTINCT t) >= 3
 ), n_w AS (
   SELECT w, count(*) AS n_w FROM (SELECT unnest(ws) AS w FROM terms) GROUP BY w
 ), total AS (
-  SELECT count(*)::DOUBLE AS n FROM lines
+  SELECT count(*)::DOUBLE AS n FROM areas
 ), found AS (
   SELECT w FROM meet JOIN n_e USING (e) JOIN n_w USING (w), total
   GROUP BY w HAVING max(log2(n_both * total.n / (n_w * n_e)) / nullif(log2(total.n / n_e), 0)) >= 0.6
 ), hit AS (
-  SELECT r, list(concat('term:', a, ':', a + len(x)) ORDER BY a) AS term FROM (
+  SELECT r, list({{'a': a, 'b': a + len(x)}} ORDER BY a) AS term FROM (
     SELECT r, x, trim(lower(x), '{_PUNCTUATION}') AS w,
       (sum(len(x) + 1) OVER (PARTITION BY r ORDER BY i) - len(x) - 1)::BIGINT AS a
     FROM (SELECT r, unnest(string_split_regex(t, '[\x20\x09-\x0D]')) AS x, generate_subscripts(string_split_regex(t, '[\x20\x09-\x0D]'), 1) AS i FROM d))
   WHERE w IN (SELECT w FROM found) GROUP BY r
+), clear AS (
+  SELECT r, list_filter(term, lambda x: len(list_filter({_ALL_PLACES}, lambda b: b.a < x.b AND x.a < b.b)) = 0) AS term FROM hit JOIN base USING (r)
 )
 SELECT doc_id, len(email)::BIGINT AS n_email, len(ip)::BIGINT AS n_ip, len(card)::BIGINT AS n_card, len(phone)::BIGINT AS n_phone,
-  sha256(array_to_string({_SPAN_TEXT}, ',')) AS base_sha256, array_to_string({_SPAN_TEXT} || coalesce(term, []), ',') AS spans
-FROM base LEFT JOIN hit USING (r)
+  sha256(array_to_string({_SPAN_TEXT}, ',')) AS base_sha256, array_to_string({_SPAN_TEXT} || [concat('term:', x.a, ':', x.b) FOR x IN coalesce(term, [])], ',') AS spans
+FROM base LEFT JOIN clear USING (r)
 """
 
-OP4 = """
+
+
+def _record_id(page: str, nth: str) -> str:
+    h = f"md5(concat_ws(':', payload_digest, coalesce({page}::VARCHAR, 'null'), {nth}))"
+    return f"concat('<urn:uuid:', {h}[1:8], '-', {h}[9:12], '-', {h}[13:16], '-', {h}[17:20], '-', {h}[21:32], '>')"
+
+
+_HTTP = "replace('" + HTTP.replace("\r\n", "|") + "', '|', chr(13) || chr(10))"
+_URL = "replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A')"
+
+OP4 = f"""
 WITH p AS (
-  SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest, chr(13) || chr(10) AS n FROM pages
 ), f AS (
-  SELECT *, octet_length(payload)::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM p
+  SELECT *, octet_length(encode(html))::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first_page,
+    row_number() OVER (PARTITION BY payload_digest, page_id ORDER BY url NULLS FIRST) AS nth FROM p
+), r AS (
+  SELECT *, payload_bytes >= 100 AND NOT (page_id IS NOT DISTINCT FROM first_page AND nth = 1) AS again, {_HTTP} || payload_bytes || n || n AS http FROM f
 )
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
-FROM f
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first_page END AS refers_to,
+  sha256(concat('WARC/1.1', n, 'WARC-Type: ', CASE WHEN again THEN 'revisit' ELSE 'response' END, n, 'WARC-Record-ID: ', {_record_id('page_id', 'nth')}, n,
+    'WARC-Target-URI: ', {_URL}, n, 'WARC-Date: 1970-01-01T00:00:00Z', n, 'WARC-Payload-Digest: sha256:', payload_digest,
+    CASE WHEN again THEN concat(n, 'WARC-Profile: {REVISIT_PROFILE}', n, 'WARC-Refers-To: ', {_record_id('first_page', '1')}) ELSE '' END, n,
+    'Content-Type: application/http; msgtype=response', n, 'Content-Length: ', len(http) + CASE WHEN again THEN 0 ELSE payload_bytes END, n, n, http,
+    CASE WHEN again THEN '' ELSE html END, n, n)) AS record_sha256
+FROM r
 """
 
 OP7 = f"""

@@ -55,9 +55,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through the archive; ``record_sha256`` is of the whole record, rebuilt from header and payload."""
     path = scratch_path(spark, "warc")
     warc_store.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc_store.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc_store.read_archive(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.sha2("record", 256).alias("record_sha256")
+    )
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

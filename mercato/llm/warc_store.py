@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .words import steps
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,6 +69,9 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
     spark = pages.sparkSession
     src = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
     hashed = src.mapInArrow(_digest, "page_id long, url string, payload_digest string, payload_bytes long, packed binary")
+    staged = scratch_path(spark, "warc_digests")  # each payload is digested and packed once
+    hashed.write.option("compression", "uncompressed").parquet(staged)
+    hashed = spark.read.parquet(staged)
     hashed.groupBy("payload_digest").agg(
         F.first("payload_bytes").alias("payload_bytes"), F.min("page_id").alias("first_page"), F.first("packed").alias("packed")
     ).write.option("compression", "uncompressed").parquet(f"{path}/payloads")

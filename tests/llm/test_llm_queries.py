@@ -58,12 +58,18 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert ordered((r[0], r[1]) for r in lines) == ordered(cut)
     assert all(r[4] == len(r[1]) for r in lines) and len(lines) == len(kept)
 
-    more = [*kept, (500, kept[0][1], "en", "s9", 1), (None, kept[1][1], "en", "s9", 1), kept[2], (501, "", "en", "s9", 0), (501, "", "en", "s9", 0)]
+    words = [f"w{i * 7919 % 1000}" for i in range(200)]
+    near_copy = [w if i not in (20, 70, 120, 170) else "changed" for i, w in enumerate(words)]  # 176 of 216 shingles of five words: 0.815
+    far_copy = [w if i not in (20, 60, 100, 140, 180) else "changed" for i, w in enumerate(words)]  # 171 of 221: 0.774
+    planted = [(600, " ".join(words), "en", "s1", 1), (601, " ".join(near_copy), "en", "s1", 1), (602, " ".join(far_copy[::-1] + ["x"]), "en", "s1", 1),
+               (603, " ".join(words[::-1]), "en", "s1", 1), (604, " ".join([*words, *[f"more{i}" for i in range(48)]]), "en", "s2", 1)]  # 196 of 244: 0.803
+    more = [*kept, *planted, (500, kept[0][1], "en", "s9", 1), (None, kept[1][1], "en", "s9", 1), kept[2], (501, "", "en", "s9", 0), (501, "", "en", "s9", 0)]
     left = [tuple(r) for r in near(spark, spark.createDataFrame(more, schema), str(tmp_path)).collect()]
     label = {}
-    for r, (_, n, c) in zip(more, brute.jaccard_components([(r[0], r[1]) for r in more])):
+    for r, (_, n, c) in zip(more, brute.jaccard_components([(r[0], r[1]) for r in more], 5, 80)):
         label[r] = ("own", r[1]) if c is None else c if n else r
     assert {label[r] for r in left} == {label[r] for r in more}
+    assert {r[0] for r in left} & set(range(600, 605)) == {600, 602, 603}
     words = [r for r in left if brute.words(r[1])]
     assert len(words) == len({label[r] for r in words})
     assert all(label[r] == r[0] for r in words if r[0] is not None)
