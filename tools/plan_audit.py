@@ -2,7 +2,8 @@
 
 Usage: python tools/plan_audit.py [sf_dir] > PLANS.md
 
-Runs each report over written cleaned and typed tables and counts distinct operators in the final plan only: Parquet scans,
+Runs each report over written cleaned and typed tables and rollups and counts distinct operators in the final plan only: Parquet scans
+(of them those of the lines, not of a rollup),
 shuffle exchanges, broadcast and sort-merge joins, window operators, reused
 subqueries and any Python evaluation node.
 """
@@ -17,9 +18,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from mercato.plans.catalog import Retail, dashboard_queries, raw_queries, raw_table  # noqa: E402
 from mercato.plans.clean import clean  # noqa: E402
-from mercato.plans.sales import load_table  # noqa: E402
+from mercato.plans.rollup import write_rollups  # noqa: E402
+from mercato.plans.sales import load_table, sales  # noqa: E402
 from mercato.operators.materialize import write_and_reread  # noqa: E402
-from mercato.session import local_session  # noqa: E402
+from mercato.session import local_session, scratch_path  # noqa: E402
 
 
 def _indent(line: str) -> int:
@@ -53,7 +55,7 @@ def row(name: str, plan: str) -> str:
     ops = {line.strip(" :+-") for line in plan.splitlines() if line.strip(" :+-")}
     count = lambda pat: sum(1 for op in ops if re.search(pat, op))
     return (
-        f"| {name} | {count(r'FileScan parquet')} | {count(r'Exchange (hashpartitioning|rangepartitioning)')} "
+        f"| {name} | {count(r'FileScan parquet')} | {count(r'FileScan parquet(?!.*audit-rollups)')} | {count(r'Exchange (hashpartitioning|rangepartitioning)')} "
         f"| {count(r'Exchange SinglePartition')} | {count(r'BroadcastHashJoin')} | {count(r'SortMergeJoin')} "
         f"| {count(r'Window \[')} | {count(r'ReusedSubquery')} | {count(r'Python')} |"
     )
@@ -63,14 +65,16 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    print("| report | parquet scans | key shuffles | single-partition exchanges | broadcast joins "
+    print("| report | parquet scans | of the lines | key shuffles | single-partition exchanges | broadcast joins "
           "| sort-merge joins | windows | reused subqueries | python nodes |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     raw = write_and_reread(spark, raw_table(spark, sf_dir), "audit-raw")
     for name, fn in raw_queries().items():
         print(row(name, final_plan(fn(raw))))
     cleaned = write_and_reread(spark, clean(raw, keep=["row_key"]), "audit-clean")
-    r = Retail.from_typed(spark, write_and_reread(spark, load_table(cleaned), "audit-typed"), cleaned)
+    typed_df = write_and_reread(spark, load_table(cleaned), "audit-typed")
+    rollups = write_rollups(spark, sales(typed_df), scratch_path(spark, "audit-rollups"))
+    r = Retail.from_typed(spark, typed_df, cleaned, rollups=rollups)
     for name, fn in dashboard_queries().items():
         print(row(name, final_plan(fn(r))))
 
