@@ -381,17 +381,48 @@ def test_jaccard_join_empty(no_docs):
     assert jaccard_join.near_duplicates(no_docs).count() == 0
 
 
-def test_linked_sets_share_a_segment():
+@pytest.mark.parametrize("pct", [80, 90])
+def test_linked_sets_share_a_prefix(spark, pct):
     rng = np.random.default_rng(6)
-    for n in [*range(1, 60), 100, 333, 1000, 4000]:
-        bounds = jaccard_join.size_bands(2 * n, 90)
-        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
-        for _ in range(20):
-            drop, add = rng.integers(0, n // 10 + 2), rng.integers(0, n // 10 + 2)
-            b = np.union1d(rng.choice(a, max(n - drop, 1), replace=False), rng.integers(0, 1 << 63, add).astype(np.uint64))
-            common = len(np.intersect1d(a, b))
-            if common * 100 >= 90 * (len(a) + len(b) - common) and len(a) + len(b) > 2 * common:
-                assert np.intersect1d(jaccard_join.segment_hashes(a, 90, bounds), jaccard_join.segment_hashes(b, 90, bounds)).size
+    sets = []
+    for n in [*range(1, 30), 100, 333]:
+        base = rng.integers(0, 1 << 60, n)
+        for _ in range(6):
+            drop, add = rng.integers(0, n // 8 + 2), rng.integers(0, n // 8 + 2)
+            sets.append(set(rng.choice(base, max(n - drop, 1), replace=False).tolist()) | set(rng.integers(0, 1 << 60, add).tolist()))
+    sets = [set(x) for x in {frozenset(s) for s in sets}]
+    members = spark.createDataFrame([(i, len(s), sorted(s)) for i, s in enumerate(sets)], "class long, n long, shingles array<long>")
+    frequent = members.selectExpr("explode(shingles) as __shingle").groupBy("__shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = {r["class"]: r for r in jaccard_join.ranked_sets(members, frequent, pct).collect()}
+    linked = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b, common = sets[j], len(a & sets[j])
+            if common * 100 >= pct * (len(a) + len(b) - common):
+                linked += 1
+                assert set(ranked[i]["prefix"]) & set(ranked[j]["prefix"])
+                assert ranked[min((len(a), i), (len(b), j))[1]]["rich"]
+    assert linked > 10 and any(not r["rich"] for r in ranked.values())
+
+
+@pytest.mark.parametrize("block", [128, 8])
+def test_jaccard_join_chains_and_boilerplate(spark, block):
+    """Chains of near copies (only neighbours are linked), documents that share 85 percent but are not linked, and
+    two originals with copies of their own that share most words: at 5 words / 0.8, over several blocks."""
+    rows, rest = [], " ".join(f"b{i}" for i in range(170))
+    for i in range(30):
+        rows.append((1000 + i, rest + " " + " ".join(f"own{i}x{j}" for j in range(30))))
+    for i in range(40):
+        rows.append((2000 + i, " ".join(f"c{j}" for j in range(6 * i, 6 * i + 100))))
+    for i in range(40):
+        words = [f"d{j}" for j in range(100)] + [f"e{i % 2}x{j}" for j in range(60)]
+        rows.append((3000 + i, " ".join(words + [f"tail{i}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).persist()
+    got = jaccard_join.near_duplicates(docs, k=5, pct=80, block=block).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute.jaccard_components(rows, 5, 80)
+    assert ordered(got) == ordered(want)
+    assert len({r[2] for r in want}) == 33
+    docs.unpersist()
 
 
 def test_t_occurrence_finds_what_pairs_do():
