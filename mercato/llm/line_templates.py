@@ -1,26 +1,31 @@
 """Line dedup by a log-template tree (operator 1), DataFrame functions only.
 
 Each line walks a tree of fixed depth: first its token count, then its first
-``depth`` tokens, tokens with a digit counting as the wildcard ``<*>``. The rest
-of the line is cut into four stretches of tokens; in its leaf a line belongs to
-the template of all four and, from ``min_wild`` tokens on, to the four templates
-in which one stretch is a wildcard. So lines of one template differ only in
-variable fields: tokens with digits, and one stretch of the line.
+``depth`` tokens, tokens with a digit counting as the wildcard ``<*>``. A line has
+the template of its whole wording (its tokens with those wildcards), and one
+learnt in its leaf: there each distinct wording counts once, and a token is
+literal if two wordings or more have it at its place, and at least half
+(one ``rare``-th) as many as have the median token of the line. The other tokens are variable fields and become wildcards too. So which places vary, and how many, is
+taken from the corpus, for short lines as for long ones. A learnt template needs
+three literal tokens that make up two thirds of the line.
 
 A template that occurs in two documents or more is recurring. Its lines stay in
 the document with the smallest id and are dropped from all others.
 
-Templates are 64-bit hashes, written once for all lines. Their smallest and
-largest document are pre-aggregated per task; the recurring ones are written
-before they are joined back, so Spark knows their size and splits hot
-templates.
-
-Defined results: a null text stays null; lines with fewer than ``min_tokens``
-tokens always stay; a line whose tokens are mostly wildcards is taken literally;
-null ids count as one document after all others; repeated rows are one document
-and get the same lines; a document that loses all lines stays with an empty
-text; an empty table gives an empty result. ``drop_recurring`` carries all other
-columns in one struct, so their names cannot clash.
+Lines are written once as 64-bit hashes of wording and leaf. Wordings are
+pre-aggregated per task, so copies of a line weigh as one; only distinct wordings
+of leaves that hold two or more, in two documents or more, are looked at token by
+token. No leaf is gathered anywhere: tokens are counted by leaf, place and token.
+What is joined back is written first, so Spark knows its size, and splits hot
+keys.
+
+Defined results: a null text stays null; lines with fewer than two tokens always
+stay; a line whose tokens are mostly wildcards is taken literally; a field among
+the first ``depth`` tokens varies only by its digits; null ids count as one
+document after all others; repeated rows are one document and get the same lines;
+a document that loses all lines stays with an empty text; an empty table gives an
+empty result. ``drop_recurring`` carries all other columns in one struct, so their
+names cannot clash.
 """
 
 from __future__ import annotations
@@ -33,7 +38,6 @@ from .tables import settled
 
 WILDCARD = "<*>"
 _NO_ID = (1 << 63) - 1
-_PARTS = 4
 
 
 def _tokens(spaced: Column) -> Column:
@@ -53,36 +57,59 @@ def generalised(lines: DataFrame) -> DataFrame:
     return split.select(*rest, F.when(wild * 2 <= F.size("masked"), F.col("masked")).otherwise(F.col("plain")).alias("tokens"))
 
 
-def template_keys(lines: DataFrame, depth: int, min_tokens: int, min_wild: int) -> DataFrame:
-    """``lines`` with a row for each ``template`` of its ``tokens``, which go."""
-    rest = [c for c in lines.columns if c != "tokens"]
+def leaves(lines: DataFrame, depth: int) -> DataFrame:
+    """``lines`` of two tokens or more with their ``leaf`` and ``wording``."""
     n = F.size("tokens")
-    cuts = [F.shiftright((n - depth) * i, 2) for i in range(_PARTS + 1)]
-    parts = [F.xxhash64(F.slice("tokens", cuts[i] + depth + 1, cuts[i + 1] - cuts[i])) for i in range(_PARTS)]
-    hashed = lines.select(*rest, n.alias("n"), F.when(n >= min_tokens, F.array(F.xxhash64(n, F.slice("tokens", 1, depth)), *parts)).alias("h"))
-    leaf, stretch = F.get("h", F.lit(0)), [F.get("h", F.lit(i + 1)) for i in range(_PARTS)]
-    whole = F.xxhash64(leaf, F.lit(-1), *stretch)
-    open_ = [F.xxhash64(leaf, F.lit(i), *[s for j, s in enumerate(stretch) if j != i]) for i in range(_PARTS)]
-    keys = F.when(F.col("n") >= min_wild, F.array(whole, *open_)).when(F.col("n") >= min_tokens, F.array(whole))
-    return hashed.select(*rest, F.explode(keys).alias("template"))
-
-
-def dropped_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 5, min_wild: int = 8, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+    return lines.where(n >= 2).select("*", F.xxhash64(n, F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("wording"))
+
+
+def learnt_templates(wordings: DataFrame, rare: int) -> DataFrame:
+    """(__wording, template) of those ``wordings`` (wording, leaf, tokens as hashes) that have a learnt template."""
+    places = wordings.select("wording", "leaf", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token"))
+    places = places.withColumn("key", F.xxhash64("leaf", "place", "token"))
+    frequent = places.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    frequent = settled(frequent.withColumnRenamed("key", "__key"), "line_tokens")
+    common = places.join(frequent, F.col("key") == F.col("__key")).groupBy("wording", "leaf", "n").agg(
+        F.collect_list(F.struct("place", "token", "held")).alias("common"))
+    # tokens of one wording only are the smallest counts, and too few here to hold the median
+    middle = F.floor(F.col("n") / 2).cast("int") - F.col("n") + F.size("common")
+    median = F.get(F.sort_array(F.col("common.held")), middle)
+    common = common.where(F.size("common") * 3 >= F.col("n") * 2).withColumn("median", median)
+    literal = F.filter("common", lambda x: (x["held"] * rare >= F.col("median")) & (x["token"] != F.xxhash64(F.lit(WILDCARD))))
+    named = common.select("wording", "leaf", "n", F.transform(F.sort_array(literal), lambda x: F.struct(x["place"], x["token"])).alias("literal"))
+    return named.where((F.size("literal") >= 3) & (F.size("literal") * 3 >= F.col("n") * 2)).select(
+        F.col("wording").alias("__wording"), F.xxhash64("leaf", "literal").alias("template"))
+
+
+def dropped_lines(docs: DataFrame, depth: int = 2, rare: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, version, lines): line numbers (from 0) to drop, per document (id, null last) and text hash."""
-    if min_tokens <= depth:
-        raise ValueError("min_tokens must exceed depth")
     spark = docs.sparkSession
     content = F.col(f"`{text}`")
     hashed = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(content).alias("version"),
                          F.split(content, "\n", -1).alias("lines"))
     lines = hashed.select("doc", "version", F.posexplode("lines").alias("line_no", "line"))
-    keys = write_and_reread(spark, template_keys(generalised(lines), depth, min_tokens, min_wild), "line_templates")
-    recurring = keys.groupBy("template").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
-    recurring = settled(recurring.select(F.col("template").alias("__template"), "first_doc"), "recurring_templates")
-    hits = keys.join(recurring, F.col("template") == F.col("__template")).where("doc > first_doc")
-    found = hits.groupBy("doc", "version").agg(F.collect_set("line_no").alias("lines"))
-    return settled(found, "dropped_lines")
+    keys = write_and_reread(spark, leaves(generalised(lines), depth).drop("tokens"), "line_wordings")
+    wordings = keys.groupBy("wording").agg(F.first("leaf").alias("leaf"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    wordings = settled(wordings, "wordings")
+
+    shared = wordings.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("first_doc").alias("lo"), F.max("last_doc").alias("hi"))
+    shared = settled(shared.where("n > 1 and lo < hi").select(F.col("leaf").alias("__leaf")), "shared_leaves")
+    again = leaves(generalised(hashed.select(F.explode("lines").alias("line"))), depth)
+    again = again.join(shared, F.col("leaf") == F.col("__leaf"), "left_semi").groupBy("wording").agg(
+        F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
+    again = again.select("wording", "leaf", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"))
+    learnt = settled(learnt_templates(settled(again, "shared_wordings"), rare), "learnt_templates")
+
+    learnt = wordings.join(learnt, F.col("wording") == F.col("__wording")).select("wording", "template", "first_doc", "last_doc")
+    learnt = settled(learnt, "learnt_wordings")
+    found = learnt.groupBy("template").agg(F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")).where("first_doc < last_doc")
+    found = settled(found.select(F.col("template").alias("__template"), "first_doc"), "recurring_templates")
+    firsts = learnt.select("wording", "template").join(found, F.col("template") == F.col("__template")).select("wording", "first_doc")
+    firsts = wordings.where("first_doc < last_doc").select("wording", "first_doc").unionAll(firsts)
+    firsts = settled(firsts.groupBy(F.col("wording").alias("__wording")).agg(F.min("first_doc").alias("first_doc")), "recurring_wordings")
+    hits = keys.drop("leaf").join(firsts, F.col("wording") == F.col("__wording")).where("doc > first_doc")
+    gone = hits.groupBy("doc", "version").agg(F.collect_set("line_no").alias("lines"))
+    return settled(gone, "dropped_lines")
 
 
 def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:

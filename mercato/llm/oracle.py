@@ -19,17 +19,26 @@ WITH d AS (
 ), masked AS (
   SELECT *, list_transform(own, lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS m FROM split
 ), tokens AS (
-  SELECT r, d, i, CASE WHEN 2 * len(list_filter(m, lambda w: w = '<*>')) <= len(m) THEN m ELSE own END AS t FROM masked WHERE len(own) >= 5
-), parts AS (
-  SELECT r, d, i, len(t) AS n, array_to_string(t[1:3], ' ') AS lead,
-    [array_to_string(t[4 + (((len(t) - 3) * j) >> 2):3 + (((len(t) - 3) * (j + 1)) >> 2)], ' ') FOR j IN [0, 1, 2, 3]] AS p FROM tokens
-), keys AS (
-  SELECT r, d, i, unnest(CASE WHEN n >= 8 THEN [
-    concat_ws(chr(1), n, lead, -1, p[1], p[2], p[3], p[4]), concat_ws(chr(1), n, lead, 0, p[2], p[3], p[4]),
-    concat_ws(chr(1), n, lead, 1, p[1], p[3], p[4]), concat_ws(chr(1), n, lead, 2, p[1], p[2], p[4]),
-    concat_ws(chr(1), n, lead, 3, p[1], p[2], p[3])] ELSE [concat_ws(chr(1), n, lead, -1, p[1], p[2], p[3], p[4])] END) AS k FROM parts
+  SELECT r, d, i, CASE WHEN 2 * len(list_filter(m, lambda w: w = '<*>')) <= len(m) THEN m ELSE own END AS t FROM masked WHERE len(own) >= 2
+), wordings AS (
+  SELECT t, len(t) AS n, t[1:2] AS lead, min(d) AS lo, max(d) AS hi FROM tokens GROUP BY t
+), shared AS (
+  SELECT n, lead FROM wordings GROUP BY n, lead HAVING count(*) > 1 AND min(lo) < max(hi)
+), places AS (
+  SELECT t, n, lead, lo, hi, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM wordings SEMI JOIN shared USING (n, lead)
+), counted AS (
+  SELECT *, count(*) OVER (PARTITION BY n, lead, place, token) AS held FROM places
+), middle AS (
+  SELECT *, list_sort(list(held) OVER (PARTITION BY t))[n // 2 + 1] AS median FROM counted
+), learnt AS (
+  SELECT t, n, lo, hi, string_agg(CASE WHEN literal THEN token ELSE '<*>' END, ' ' ORDER BY place) AS k
+  FROM (SELECT *, held > 1 AND 2 * held >= median AND token <> '<*>' AS literal FROM middle)
+  GROUP BY t, n, lead, lo, hi HAVING count(*) FILTER (literal) >= 3 AND 3 * count(*) FILTER (literal) >= 2 * n
+), firsts AS (
+  SELECT t, min(lo) AS first_doc FROM (
+    SELECT t, lo FROM wordings UNION ALL SELECT t, min(lo) OVER (PARTITION BY n, k) FROM learnt) GROUP BY t
 ), gone AS (
-  SELECT DISTINCT r, i FROM (SELECT r, d, i, min(d) OVER (PARTITION BY k) AS first_doc FROM keys) WHERE first_doc < d
+  SELECT r, i FROM tokens JOIN firsts USING (t) WHERE first_doc < d
 ), kept AS (
   SELECT l.r, count(*) AS n_lines, count(g.r) AS n_dropped,
     coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.r IS NULL), '') AS kept

@@ -111,29 +111,36 @@ def unigram_scores(rows):
     return [(d, out, len(ws), sum(w in c for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for d, out, ws in held]
 
 
-def dropped_lines(rows, depth=3, min_tokens=5, min_wild=8):
+def dropped_lines(rows, depth=2, rare=2):
     """(id, lines that stay) under the template rules."""
+    big = float("inf")
+
     def tokens(line):
         own = [w for w in re.split(r"[ \t\x0b\x0c\r]+", line) if w]
         masked = ["<*>" if re.search("[0-9]", w) else w for w in own]
-        return own if sum(w == "<*>" for w in masked) * 2 > len(own) else masked
-
-    def keys(line):
-        t = tokens(line)
-        if len(t) < min_tokens:
-            return []
-        rest, lead = t[depth:], (len(t), *t[:depth])
-        cut = [len(rest) * i >> 2 for i in range(5)]
-        parts = [tuple(rest[cut[i]:cut[i + 1]]) for i in range(4)]
-        out = [(lead, None, *parts)]
-        if len(t) >= min_wild:
-            out += [(lead, i, *[p for j, p in enumerate(parts) if j != i]) for i in range(4)]
-        return out
+        return tuple(own if sum(w == "<*>" for w in masked) * 2 > len(own) else masked)
 
-    big = float("inf")
-    first = {}
+    seen = defaultdict(set)
     for d, t in rows:
         for line in (t or "").split("\n"):
-            for k in keys(line):
-                first[k] = min(first.get(k, big), big if d is None else d)
-    return [(d, None if t is None else "\n".join(x for x in t.split("\n") if not any(first[k] < (big if d is None else d) for k in keys(x)))) for d, t in rows]
+            if len(tokens(line)) >= 2:
+                seen[tokens(line)].add(big if d is None else d)
+    leaves = defaultdict(list)
+    for t in seen:
+        leaves[len(t), t[:depth]].append(t)
+    templates = defaultdict(list)
+    for leaf, own in leaves.items():
+        held = Counter((i, w) for t in own for i, w in enumerate(t))
+        for t in own:
+            counts = [held[i, w] for i, w in enumerate(t)]
+            median = sorted(counts)[len(t) // 2]
+            literal = tuple((i, w) for (i, w), c in zip(enumerate(t), counts) if c > 1 and c * rare >= median and w != "<*>")
+            if len(literal) >= 3 and 3 * len(literal) >= 2 * len(t):
+                templates[leaf, literal].append(t)
+    first = {t: min(ds) for t, ds in seen.items()}
+    for own in templates.values():
+        low = min(min(seen[t]) for t in own)
+        for t in own:
+            first[t] = min(first[t], low)
+    return [(d, None if t is None else "\n".join(x for x in t.split("\n") if first.get(tokens(x), big) >= (big if d is None else d)))
+            for d, t in rows]

@@ -41,6 +41,23 @@ def test_line_templates_variable_fields(spark):
     assert [got[i]["text"] for i in (4, 5, 6, 7)] == [r[1] for r in rows[3:]]
 
 
+def test_line_templates_learn_fields(spark, corpus):
+    names = ["anna", "boris", "carla", "dmitri", "emma", "farid"]
+    towns = ["Rome", "Oslo", "Lima", "Bonn", "Kyiv", "Cork"]
+    own = ["", "Good morning", "it was cold", "the hen sat on eggs", "we left", "three men went home at last"]
+    rows = [(1000 + i, f"All rights reserved\nPosted by {n} in News\n{x}\nThe user {n} has logged in today from {t} again")
+            for i, (n, t, x) in enumerate(zip(names, towns, own))]
+    many = [(1100 + i, f"Posted by {n} in News") for i, n in enumerate(["anna"] * 9 + names)]  # a frequent name is a field all the same
+    mixed = [(1200 + i, f"Posted by {a} {b} {c}") for i, (a, b, c) in enumerate(zip(names, towns[::-1], own[3].split() + ["end"]))]
+    texts_ = [*rows, *many, *mixed, *rows[:2], *texts(corpus)]
+    docs = spark.createDataFrame(texts_, "doc_id long, text string").repartition(5)
+    got = [(r[0], r[1]) for r in line_templates.drop_recurring(docs).select("doc_id", "text").collect()]
+    assert ordered(got) == ordered(brute.dropped_lines(texts_))
+    held = dict(got)
+    assert held[1000] == rows[0][1] and [held[1000 + i] for i in range(1, 6)] == own[1:]
+    assert all(held[i] == "" for i, _ in many) and all(held[i] == x for i, x in mixed)
+
+
 def test_line_templates_empty(no_docs):
     assert line_templates.drop_recurring(no_docs).count() == 0
 
