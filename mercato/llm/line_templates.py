@@ -14,8 +14,8 @@ the document with the smallest id and are dropped from all others.
 
 Lines are written once as 64-bit hashes of wording and leaf. Wordings are
 pre-aggregated per task, so copies of a line weigh as one; only distinct wordings
-of leaves that hold two or more, in two documents or more, are looked at token by
-token. No leaf is gathered anywhere: tokens are counted by leaf, place and token.
+of leaves that hold two or more, in two documents or more, are read again (each
+from one document) and looked at token by token. No leaf is gathered anywhere: tokens are counted by leaf, place and token.
 What is joined back is written first, so Spark knows its size, and splits hot
 keys.
 
@@ -40,6 +40,12 @@ WILDCARD = "<*>"
 _NO_ID = (1 << 63) - 1
 
 
+def _once(df: DataFrame, **made: Column) -> DataFrame:
+    """``df`` with the columns ``made``, computed once a row even if a lambda refers to them: a projection would be
+    inlined there and computed for each element, a generator is not."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
 def _tokens(spaced: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
@@ -74,9 +80,9 @@ def learnt_templates(wordings: DataFrame, rare: int) -> DataFrame:
     # tokens of one wording only are the smallest counts, and too few here to hold the median
     middle = F.floor(F.col("n") / 2).cast("int") - F.col("n") + F.size("common")
     median = F.get(F.sort_array(F.col("common.held")), middle)
-    common = common.where(F.size("common") * 3 >= F.col("n") * 2).withColumn("median", median)
+    common = _once(common.where(F.size("common") * 3 >= F.col("n") * 2), median=median)
     literal = F.filter("common", lambda x: (x["held"] * rare >= F.col("median")) & (x["token"] != F.xxhash64(F.lit(WILDCARD))))
-    named = common.select("wording", "leaf", "n", F.transform(F.sort_array(literal), lambda x: F.struct(x["place"], x["token"])).alias("literal"))
+    named = _once(common, literal=F.transform(F.sort_array(literal), lambda x: F.struct(x["place"], x["token"])))
     return named.where((F.size("literal") >= 3) & (F.size("literal") * 3 >= F.col("n") * 2)).select(
         F.col("wording").alias("__wording"), F.xxhash64("leaf", "literal").alias("template"))
 
@@ -89,14 +95,20 @@ def dropped_lines(docs: DataFrame, depth: int = 2, rare: int = 2, doc_id: str =
                          F.split(content, "\n", -1).alias("lines"))
     lines = hashed.select("doc", "version", F.posexplode("lines").alias("line_no", "line"))
     keys = write_and_reread(spark, leaves(generalised(lines), depth).drop("tokens"), "line_wordings")
-    wordings = keys.groupBy("wording").agg(F.first("leaf").alias("leaf"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    wordings = keys.groupBy("wording").agg(*[F.first(c).alias(c) for c in ("leaf", "doc", "version", "line_no")],  # of one row
+                                           F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
     wordings = settled(wordings, "wordings")
 
     shared = wordings.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("first_doc").alias("lo"), F.max("last_doc").alias("hi"))
     shared = settled(shared.where("n > 1 and lo < hi").select(F.col("leaf").alias("__leaf")), "shared_leaves")
-    again = leaves(generalised(hashed.select(F.explode("lines").alias("line"))), depth)
-    again = again.join(shared, F.col("leaf") == F.col("__leaf"), "left_semi").groupBy("wording").agg(
-        F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
+    picked = wordings.join(shared, F.col("leaf") == F.col("__leaf")).groupBy(F.col("doc").alias("__doc"), F.col("version").alias("__version")).agg(
+        F.collect_list(F.struct("wording", "leaf", "line_no")).alias("picked"))
+    picked = settled(picked, "picked_lines")
+    again = _once(docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(content).alias("version"),
+                              content.alias("text")).join(picked, (F.col("doc") == F.col("__doc")) & (F.col("version") == F.col("__version"))),
+                  lines=F.split("text", "\n", -1))
+    again = again.select(F.inline(F.transform("picked", lambda x: F.struct(x["wording"], x["leaf"], F.get("lines", x["line_no"]).alias("line")))))
+    again = generalised(again).groupBy("wording").agg(F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))  # repeated rows
     again = again.select("wording", "leaf", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"))
     learnt = settled(learnt_templates(settled(again, "shared_wordings"), rare), "learnt_templates")
 
@@ -123,7 +135,7 @@ def drop_recurring(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_NO_ID)).alias("__id"), F.xxhash64(F.col(f"`{text}`")).alias("__hash"),
     ).join(gone, (F.col("__id") == F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
     old = F.col("__row")[text]
-    lines = F.split(old, "\n", -1)
+    rows, lines = _once(rows, __split=F.split(old, "\n", -1)), F.col("__split")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines"))
     new = F.when(F.col("__lines").isNull(), old).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     report = F.struct(
