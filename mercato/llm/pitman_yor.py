@@ -1,10 +1,10 @@
 """Language model scores from a hierarchical Pitman-Yor process (operator 6).
 
 Tokens are the words of a text (lower-cased A-Z) and one end. The restaurant of
-a token is chosen by the last two bytes of the word before it; its parent is
-the restaurant of the last byte, whose parent is the root. So context
-restaurants share parents, and there are at most 65536 + 256 of them, whatever
-the corpus. Under the root, a word never seen in training is one event.
+a token is that of the two words before it, whole (the end stands for words
+before the first); its parent is the restaurant of the one word before, whose
+parent is the root. There are as many restaurants as the corpus has contexts.
+Under the root, a word never seen in training is one event.
 
 Seating follows the Chinese restaurant process. In a Gibbs sweep all customers
 of each dish leave their restaurant and are seated again one after another,
@@ -14,12 +14,16 @@ binomial draw each.) After ``burn_in`` sweeps, the predictive probabilities of
 ``samples`` sweeps are averaged.
 
 Words are dealt to owners by a hash. A batch of texts (see exchange.py) sends
-each owner its distinct words with their contexts and counts; the owner merges
-them to its part of the model, a written table. Sweeps run owner by owner; what
-they share are the tables and customers per restaurant, which are summed in
-Spark and sent to the next sweep (bounded as above). To score, the batches send
-their words again and get back one probability per word and context; no
-vocabulary is gathered in one place.
+each owner its distinct words, and the owner answers with their numbers and
+training counts; from then on a batch is a row of numbers. Its distinct
+trigrams go to shards by the word before, so that a shard has whole restaurants
+of one and of two words. A word before that is frequent is split over more
+shards by the word that follows, so that no shard grows with it. What crosses
+shards is added up by key in a table of totals: the customers of each word at
+the root, and customers and tables of the restaurants of split words. Sweeps
+run shard by shard; between them shards send their sums and get the totals. To
+score, the batches ask the shards for their trigrams and the totals for their
+words; no vocabulary and no table of restaurants is gathered in one place.
 
 Defined results: a null text is empty and has the end only; a null id counts as
 training; repeated rows are all counted and scored; without training tokens
@@ -30,7 +34,7 @@ are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +44,17 @@ from pyspark.sql import functions as F
 
 from .exchange import batches, held_batches, opened
 from .tables import settled
-from .words import hashed_words, starts_of
+from .words import hashed_words, mixed, starts_of
 
 _END = b""  # the end of a text: no word is empty
-_CONTEXTS, _PARENTS = 1 << 16, 1 << 8
 _ONE_BY_ONE = 256
 _RUNS = 32
+_WORD, _ONE = -1, -2  # second part of a total's key: a word at the root, a restaurant of one word
 
 
 @dataclass(frozen=True)
 class Prior:
-    """Discount and strength of the root, the last-byte and the last-two-byte restaurants."""
+    """Discount and strength of the root, the one-word and the two-word restaurants."""
 
     discount: tuple[float, float, float] = (0.75, 0.75, 0.75)
     strength: tuple[float, float, float] = (1.0, 1.0, 1.0)
@@ -61,27 +65,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7, F.lit(0)) == 2
 
 
-def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """Word id and context of each token, the words (the end is the last one), their hashes, and tokens per text."""
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Word id of each token, the words (the end is the last one), their hashes, and tokens per text."""
     value, start, end, lens, joined = hashed_words([t.lower() for t in texts])
     known, first, ids = np.unique(value, return_index=True, return_inverse=True)
-    start, end, raw = start[first], end[first], np.frombuffer(joined, np.uint8)
-    uniq = [joined[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-    at = starts_of(lens)
-    spot = at[1:] + np.arange(len(lens))  # where the ends go
+    uniq = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+    spot = starts_of(lens)[1:] + np.arange(len(lens))  # where the ends go
     token = np.empty(len(ids) + len(lens), np.int64)
     is_end = np.zeros(len(token), bool)
     is_end[spot] = True
     token[~is_end], token[is_end] = ids, len(uniq)
-    last, before = raw[end - 1].astype(np.int64), np.where(end - start > 1, raw[end - 2], 0)
-    ending = np.append(last * 256 + before, 0)
-    context = np.zeros(len(token), np.int64)
-    context[1:] = ending[token[:-1]]  # after an end, and at the start: 0
-    return token, context, [*uniq, _END], np.append(known, np.uint64(0)), lens + 1
+    return token, [*uniq, _END], np.append(known, np.uint64(0)), lens + 1
 
 
-def _pack(*arrays: np.ndarray, words: list[bytes]) -> bytes:
-    parts = [b"\n".join(words), *[a.tobytes() for a in arrays]]
+def _before(token: np.ndarray, lens: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word one and two places before each token; before the first word of a text there are ends."""
+    one = np.concatenate([[end], token[:-1]])
+    two = np.concatenate([[end, end], token[:-2]])[:len(token)]
+    two[starts_of(lens)[:-1]] = end
+    return one, two
+
+
+def _pack(*arrays: np.ndarray, words: list[bytes] = ()) -> bytes:
+    """Words and arrays, each array byte plane by byte plane."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
+    parts = [b"\n".join(words), *planes]
     head = np.array([len(words), *[len(p) for p in parts]], "<u8").tobytes()
     return zstandard.compress(head + b"".join(parts), 1)
 
@@ -93,51 +101,65 @@ def _unpack(body: bytes, *types: str) -> tuple[list[bytes], list[np.ndarray]]:
     for n in head[1:]:
         parts.append(flat[at: at + n])
         at += n
-    return (parts[0].split(b"\n") if head[0] else []), [np.frombuffer(p, t) for p, t in zip(parts[1:], types, strict=True)]
-
+    arrays = [np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(np.dtype(t).itemsize, -1).T).view(t).ravel()
+              for p, t in zip(parts[1:], types, strict=True)]
+    return (parts[0].split(b"\n") if head[0] else []), arrays
 
-@dataclass
-class _Pairs:
-    """The distinct (word, context) of a batch in the order in which owners are asked for them."""
 
-    words: list[bytes]  # by owner
-    owner_at: np.ndarray  # first word of each owner, with the end
-    keys: np.ndarray  # (place of the word in ``words``) * contexts + context, sorted
-    times: np.ndarray
-    of_token: np.ndarray | None  # the pair of each token, if asked for
+def _owner(x: np.ndarray, n: int) -> np.ndarray:
+    """One of n owners for each hash."""
+    return (((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
-def _pairs(token: np.ndarray, context: np.ndarray, uniq: list[bytes], known: np.ndarray, n: int, used: np.ndarray | None = None,
-           per_token: bool = False) -> _Pairs:
-    owner = ((known >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+def _dealt(owner: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each owner that has something, with the places of what it has in their order."""
     order = np.argsort(owner, kind="stable")
-    place = np.empty(len(uniq), np.int64)
-    place[order] = np.arange(len(uniq))
-    key = place[token] * _CONTEXTS + context
-    if used is not None:
-        key = key[used]
-    of_token = None
-    if per_token:
-        keys, of_token, times = np.unique(key, return_inverse=True, return_counts=True)
-    else:  # sorting alone is much cheaper
-        keys, times = np.unique(key, return_counts=True)
-    return _Pairs([uniq[i] for i in order.tolist()], np.searchsorted(owner[order], np.arange(n + 1)), keys, times, of_token)
-
-
-def _questions(p: _Pairs, n: int) -> Iterator[tuple[int, bytes, np.ndarray]]:
-    """(owner, packed words, pairs per word, contexts and times, which pairs these are)."""
-    at = np.searchsorted(p.keys, p.owner_at * _CONTEXTS)
+    at = np.searchsorted(owner[order], np.arange(n + 1))
     for k in range(n):
-        mine = p.keys[at[k]: at[k + 1]]
-        if len(mine):
-            word = mine // _CONTEXTS
-            each = np.bincount(word - p.owner_at[k], minlength=int(p.owner_at[k + 1] - p.owner_at[k]))
-            has = np.flatnonzero(each)
-            words = [p.words[int(p.owner_at[k]) + i] for i in has.tolist()]
-            yield k, _pack(each[has].astype("<u4"), (mine % _CONTEXTS).astype("<u2"), p.times[at[k]: at[k + 1]].astype("<u4"), words=words), np.arange(at[k], at[k + 1])
+        if at[k] < at[k + 1]:
+            yield k, order[at[k]: at[k + 1]]
+
+
+def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted key is, or the place after the last one."""
+    if not len(sorted_keys):
+        return np.zeros(len(wanted), np.int64)
+    near = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
+    return np.where(sorted_keys[near] == wanted, near, len(sorted_keys))
+
+
+def _pair_keys(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of two columns, sorted, and where each row is among them."""
+    xs, xi = np.unique(x, return_inverse=True)
+    ys, yi = np.unique(y, return_inverse=True)
+    keys, at = np.unique(xi * max(len(ys), 1) + yi, return_inverse=True)
+    return xs[keys // max(len(ys), 1)], ys[keys % max(len(ys), 1)], at
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Whether each number differs from the one before."""
+    return np.concatenate([[True], x[1:] != x[:-1]])[:len(x)]
+
+
+_GRAM = ("<i8", "<u1", "<u4", "<i8", "<u4", "<i8", "<u8")
 
 
-_ASKED = ("<u4", "<u2", "<u4")
+def _pack_grams(b: np.ndarray, w: np.ndarray, a: np.ndarray, times: np.ndarray, split: np.ndarray) -> bytes:
+    """Trigrams (a, b, w) with equal (b, w) in sequence and equal b in sequence; ``split`` tells of b."""
+    new_b = _firsts(b)
+    new = new_b | _firsts(w)
+    pair_at, b_at = np.flatnonzero(new), np.flatnonzero(new_b)
+    per_pair = np.diff(pair_at, append=len(b))
+    per_b = np.diff(np.searchsorted(pair_at, b_at), append=len(pair_at))
+    return _pack(b[b_at].astype("<i8"), split[b_at].astype("<u1"), per_b.astype("<u4"), w[pair_at].astype("<i8"),
+                 per_pair.astype("<u4"), a.astype("<i8"), times.astype("<u8"))
+
+
+def _unpack_grams(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    b, split, per_b, w, per_pair, a, times = _unpack(body, *_GRAM)[1]
+    pair = np.repeat(np.arange(len(w)), per_pair)
+    of_pair = np.repeat(np.arange(len(b)), per_b)
+    return b[of_pair][pair], w[pair], a, times.astype(np.int64), split[of_pair][pair].astype(bool)
 
 
 def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -166,25 +188,19 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
 
 @dataclass
 class _Part:
-    """An owner's words and what was counted for them."""
+    """Words and what was counted for them; context c has the parent ``parent_of[c]``."""
 
-    words: list[bytes]
+    words: list[bytes] | np.ndarray
     keys: np.ndarray  # word * contexts + context, sorted
     count: np.ndarray
+    parent_of: np.ndarray = field(default_factory=lambda: np.arange(1 << 16) // 256)
 
     def __post_init__(self) -> None:
-        self.word, self.context = self.keys // _CONTEXTS, self.keys % _CONTEXTS
-        self.parent_keys, self.parent = np.unique(self.word * _PARENTS + self.context // 256, return_inverse=True)
-        self.parent_word, self.parent_context = self.parent_keys // _PARENTS, self.parent_keys % _PARENTS
-
-    def body(self) -> bytes:
-        each = np.bincount(self.word, minlength=len(self.words))
-        return _pack(each.astype("<u4"), self.context.astype("<u2"), self.count.astype("<u8"), words=self.words)
-
-    @classmethod
-    def read(cls, body: bytes) -> _Part:
-        words, (each, context, count) = _unpack(body, "<u4", "<u2", "<u8")
-        return cls(words, np.repeat(np.arange(len(words)), each) * _CONTEXTS + context.astype(np.int64), count.astype(np.int64))
+        n = max(len(self.parent_of), 1)
+        self.n_parents = int(self.parent_of.max(initial=0)) + 1
+        self.word, self.context = self.keys // n, self.keys % n
+        self.parent_keys, self.parent = np.unique(self.word * self.n_parents + self.parent_of[self.context], return_inverse=True)
+        self.parent_word, self.parent_context = self.parent_keys // self.n_parents, self.parent_keys % self.n_parents
 
 
 @dataclass
@@ -195,14 +211,14 @@ class _Totals:
     tables: np.ndarray
     parent_tables: np.ndarray
     words: int
+    parent_customers: np.ndarray | None = None  # if not given: every context is there, in order of the parents
+    root_customers: float | None = None
 
-    @property
-    def parent_customers(self) -> np.ndarray:
-        return self.tables.reshape(_PARENTS, 256).sum(1)
-
-    @property
-    def root_customers(self) -> float:
-        return float(self.parent_tables.sum())
+    def __post_init__(self) -> None:
+        if self.parent_customers is None:
+            self.parent_customers = self.tables.reshape(len(self.parent_tables), -1).sum(1)
+        if self.root_customers is None:
+            self.root_customers = float(self.parent_tables.sum())
 
 
 def _predict(x: _Totals, prior: Prior, root: np.ndarray, parent: tuple[np.ndarray, np.ndarray], parent_context: np.ndarray,
@@ -216,13 +232,17 @@ def _predict(x: _Totals, prior: Prior, root: np.ndarray, parent: tuple[np.ndarra
 
 
 def _sweep(part: _Part, tables: np.ndarray | None, parent_tables: np.ndarray | None, x: _Totals, prior: Prior,
-           rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of each (word, context) and each (word, parent) after all customers were seated again."""
+           rng: np.random.Generator, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of each (word, context) and each (word, parent) after all customers were seated again.
+
+    ``root``: customers of each word at the root, if the part has not all of them.
+    """
     (d0, d1, d2), (s0, s1, s2) = prior.discount, prior.strength
     if tables is None:  # before the first sweep each dish has one table everywhere
         tables, parent_tables = np.ones(len(part.keys)), np.ones(len(part.parent_keys))
     customers = np.bincount(part.parent, tables, len(part.parent_keys))
-    root = np.bincount(part.parent_word, parent_tables, len(part.words))
+    if root is None:
+        root = np.bincount(part.parent_word, parent_tables, len(part.words))
     p = ((root - d0) / (s0 + x.root_customers))[part.parent_word]
     in_parent = (customers - d1 * parent_tables + (s1 + d1 * x.parent_tables[part.parent_context]) * p) / (s1 + x.parent_customers[part.parent_context])
     new = seat(part.count, (s2 + d2 * x.tables[part.context]) * in_parent[part.parent], d2, rng)
@@ -230,160 +250,350 @@ def _sweep(part: _Part, tables: np.ndarray | None, parent_tables: np.ndarray | N
     return new, seat(customers, (s1 + d1 * x.parent_tables[part.parent_context]) * p, d1, rng)
 
 
-def _totals(table: DataFrame, columns: list[str]) -> list[np.ndarray]:
-    """Sum each array column of (context, number) over the owners; there are 65536 contexts at most."""
-    out = []
-    for c in columns:
-        got = np.zeros(_CONTEXTS)
-        for r in table.select(F.explode(c).alias("x")).groupBy("x.at").agg(F.sum("x.n").alias("n")).collect():
-            got[r["at"]] = r["n"]
-        out.append(got)
-    return out
-
-
-_SUMS = "array<struct<at:int,n:double>>"
-
-
-def _sums(at: np.ndarray, n: np.ndarray) -> pa.Array:
-    total = np.bincount(at, n, _CONTEXTS)
-    return pa.array([[{"at": int(i), "n": float(total[i])} for i in np.flatnonzero(total)]], pa.list_(pa.struct([("at", pa.int32()), ("n", pa.float64())])))
+_SUM = ("<i8", "<i8", "<u8", "<u8")
+
+
+def _key_owner(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    return _owner(mixed(mixed(x.astype(np.uint64)) + y.astype(np.uint64)), n)
+
+
+class _Shard:
+    """The trigrams of a shard: dishes of two-word restaurants (``part``), and which sums other shards share."""
+
+    def __init__(self, body: bytes) -> None:
+        b, w, a, count, split = _unpack_grams(body)
+        self.words, word = np.unique(w, return_inverse=True)
+        self.ones, first, one = np.unique(b, return_index=True, return_inverse=True)
+        parent_of, two, context = _pair_keys(one, a)
+        self.befores, at = np.unique(two, return_inverse=True)
+        self.context_keys = parent_of * len(self.befores) + at  # sorted
+        keys = word * len(parent_of) + context
+        order = np.argsort(keys)
+        self.part = _Part(self.words, keys[order], count[order], parent_of)
+        self.split = split[first]
+        self.split_two = self.split[parent_of]
+        self.x = np.concatenate([self.words, self.ones[self.split], two[self.split_two]])
+        self.y = np.concatenate([np.full(len(self.words), _WORD), np.full(int(self.split.sum()), _ONE), self.ones[parent_of[self.split_two]]])
+
+    def sums(self, own: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Customers and tables of the two-word and the one-word restaurants, and customers of words at the root."""
+        p = self.part
+        tables = np.bincount(p.context, own, len(p.parent_of))
+        return (np.bincount(p.context, p.count, len(p.parent_of)), tables, np.bincount(p.parent_of, tables, p.n_parents),
+                np.bincount(p.parent_context, parent, p.n_parents), np.bincount(p.parent_word, parent, len(self.words)))
+
+    def crossing(self, own: np.ndarray, parent: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:
+        """(owner, body) of the sums to be added to those of other shards."""
+        c, t, pc, pt, root = self.sums(own, parent)
+        customers = np.concatenate([root, pc[self.split], c[self.split_two]])
+        tables = np.concatenate([np.zeros(len(root)), pt[self.split], t[self.split_two]])
+        for j, at in _dealt(_key_owner(self.x, self.y, n), n):
+            yield j, _pack(self.x[at].astype("<i8"), self.y[at].astype("<i8"), customers[at].astype("<u8"), tables[at].astype("<u8"))
+
+    def totals(self, own: np.ndarray, parent: np.ndarray, added: dict[int, bytes], n: int, n_words: int, root_customers: float) -> tuple[_Totals, np.ndarray]:
+        """Totals of the restaurants and customers of the words at the root, over all shards."""
+        c, t, pc, pt, root = self.sums(own, parent)
+        customers, tables = np.zeros(len(self.x)), np.zeros(len(self.x))
+        for j, at in _dealt(_key_owner(self.x, self.y, n), n):
+            customers[at], tables[at] = _unpack(added[j], "<u8", "<u8")[1]
+        i, j = len(root), len(root) + int(self.split.sum())
+        pc[self.split], pt[self.split] = customers[i:j], tables[i:j]
+        c[self.split_two], t[self.split_two] = customers[j:], tables[j:]
+        return _Totals(c, t, pt, n_words, pc, root_customers), customers[:i]
+
+    def places(self, b: np.ndarray, w: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where trigrams are: dish, context, parent's dish and parent; the place after the last if not there."""
+        p = self.part
+        n, m = len(p.parent_of), len(self.befores)
+        one, word, two = _find(self.ones, b), _find(self.words, w), _find(self.befores, a)
+        context = _find(self.context_keys, np.where((one < len(self.ones)) & (two < m), one * m + two, -1))
+        dish = _find(p.keys, np.where((word < len(self.words)) & (context < n), word * n + context, -1))
+        up = _find(p.parent_keys, np.where((word < len(self.words)) & (one < len(self.ones)), word * p.n_parents + one, -1))
+        return dish, context, up, one
+
+
+class _Batch:
+    """The distinct trigrams of an encoded batch, and the totals it needs."""
+
+    def __init__(self, body: bytes, n: int, split_at: int, used: np.ndarray | None = None) -> None:
+        token, self.lens, ids, count = [a.astype(np.int64) for a in _unpack(body, "<u4", "<u4", "<u8", "<u8")[1]]
+        self.count_of_token = count[token]
+        size = len(ids)
+        one, two = _before(token, self.lens, size - 1)  # the end is the last word of a batch
+        if used is not None:
+            token, one, two = token[used], one[used], two[used]
+        pairs, at = np.unique(one * size + token, return_inverse=True)
+        grams, self.of_token, self.times = np.unique(at * size + two, return_inverse=True, return_counts=True)
+        self.pair, before = grams // size, grams % size
+        first, self.pair_word = pairs // size, pairs % size
+        self.b, self.w, self.a = ids[first], ids[self.pair_word], ids[before]
+        slots = (1 + count[first] // split_at).astype(np.uint64)
+        self.split = slots > 1
+        self.shard = _owner(mixed(mixed(self.b.astype(np.uint64)) + mixed(self.w.astype(np.uint64)) % slots), n)
+        # totals: all words, split words before, contexts of split words
+        split_gram = self.split[self.pair]
+        ones, self.one_at = np.unique(first[self.split], return_inverse=True)
+        twos, self.two_at = np.unique((first[self.pair] * size + before)[split_gram], return_inverse=True)
+        self.split_gram, self.n_words, self.n_ones = split_gram, size, len(ones)
+        self.x = np.concatenate([ids, ids[ones], ids[twos % size]])
+        self.y = np.concatenate([np.full(size, _WORD), np.full(len(ones), _ONE), ids[twos // size]])
+        self.n = n
+
+    def to_shards(self) -> Iterator[tuple[int, np.ndarray]]:
+        return _dealt(self.shard[self.pair], self.n)
+
+    def question(self, at: np.ndarray) -> bytes:
+        pair = self.pair[at]
+        return _pack_grams(self.b[pair], self.w[pair], self.a[at], self.times[at], self.split[pair])
+
+    def to_totals(self) -> Iterator[tuple[int, np.ndarray]]:
+        return _dealt(_key_owner(self.x, self.y, self.n), self.n)
+
+
+def _rows(schema: list[tuple[str, pa.DataType]], *columns: list) -> pa.Table:
+    return pa.table({name: pa.array(c, t) for (name, t), c in zip(schema, columns, strict=True)})
+
+
+_ASKED = [("batch", pa.string()), ("owner", pa.int32()), ("body", pa.binary())]
+_ASKED_SQL = "batch string, owner int, body binary"
+_PARTS = [("shard", pa.int32()), ("kind", pa.int32()), ("owner", pa.int32()), ("body", pa.binary())]
+_PARTS_SQL = "shard int, kind int, owner int, body binary"
+_MODEL, _SEATS, _CROSSING = 0, 1, 2
 
 
 def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: int = 2, seed: int = 17, doc_id: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
+           text: str = "text", split_at: int = 1 << 20) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
+
+    A word is split over one more shard for every ``split_at`` times it occurs in training.
+    """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ident = F.col(f"`{doc_id}`")
     src = docs.select(F.col(f"`{text}`").alias("text"), ident.alias("doc_id"), held_out(ident).alias("held_out"))
-    names = ["batch", "owner", "body"]
-    asked = "batch string, owner int, body binary"
-
-    def ask(training: bool):
-        def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for name, rows, texts in batches(stream):
-                token, context, uniq, known, lens = _tokens(texts)
-                used = ~np.repeat(rows.column(2).to_numpy(zero_copy_only=False), lens) if training else None
-                got = [(k, body) for k, body, _ in _questions(_pairs(token, context, uniq, known, n, used), n)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(got), pa.string()), pa.array([k for k, _ in got], pa.int32()),
-                                                  pa.array([b for _, b in got], pa.binary())], names)
 
-        return src.mapInArrow(send, asked)
+    def send_words(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, rows, texts in batches(stream):
+            token, uniq, known, lens = _tokens(texts)
+            used = ~np.repeat(rows.column(2).to_numpy(zero_copy_only=False), lens)
+            count = np.bincount(token[used], minlength=len(uniq)).astype("<u4")
+            got = [(k, _pack(count[at], words=[uniq[i] for i in at.tolist()])) for k, at in _dealt(_owner(known, n), n)]
+            yield from _rows(_ASKED, [name] * len(got), [k for k, _ in got], [b for _, b in got]).to_batches()
 
-    def merge(group: pa.Table) -> pa.Table:
+    def number(group: pa.Table) -> pa.Table:
         place: dict[bytes, int] = {}
-        keys, times = [], []
+        asked, counts = [], []
         for body in group["body"].to_pylist():
-            words, (each, context, count) = _unpack(body, *_ASKED)
+            words, (count,) = _unpack(body, "<u4")
             for w in words:
                 place.setdefault(w, len(place))
-            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            keys.append(np.repeat(at, each) * _CONTEXTS + context)
-            times.append(count.astype(np.int64))
-        words = sorted(place)
-        rank = np.empty(len(words), np.int64)
-        rank[np.fromiter(map(place.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
-        key = np.concatenate(keys)
-        key, which = np.unique(rank[key // _CONTEXTS] * _CONTEXTS + key % _CONTEXTS, return_inverse=True)
-        part = _Part(words, key, np.bincount(which, np.concatenate(times)).astype(np.int64))
+            asked.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+            counts.append(count)
+        total = np.bincount(np.concatenate(asked), np.concatenate(counts), len(place)).astype("<u8")
+        ids = np.empty(len(place), "<u8")  # in the order of the words, so that reruns agree
+        ids[np.fromiter(map(place.__getitem__, sorted(place)), np.int64, len(place))] = np.arange(len(place)) * n + group["owner"][0].as_py()
+        return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), [_pack(ids[at], total[at]) for at in asked])
+
+    def encode(held: pa.Table, answered: pa.Table) -> pa.Table:
+        rows, texts, changed = opened(held, answered)
+        bodies = dict(zip(answered["owner"].to_pylist(), answered["body"].to_pylist(), strict=True))
+        token, uniq, known, lens = _tokens(texts)
+        ids, count = np.empty(len(uniq), "<u8"), np.empty(len(uniq), "<u8")
+        for k, at in _dealt(_owner(known, n), n):
+            if k not in bodies:
+                raise changed
+            ids[at], count[at] = _unpack(bodies[k], "<u8", "<u8")[1]
+        kept, sink = rows.select([1, 2]), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, kept.schema) as writer:
+            writer.write_batch(kept)
+        training = int(lens[~rows.column(2).to_numpy(zero_copy_only=False)].sum())
         return pa.table({
-            "owner": group["owner"].slice(0, 1), "body": pa.array([part.body()], pa.binary()), "words": pa.array([len(words)], pa.int64()),
-            "customers": _sums(part.context, part.count), "tables": _sums(part.context, np.ones(len(key))),
-            "parent_tables": _sums(part.parent_context, np.ones(len(part.parent_keys))),
+            "batch": held["batch"], "training": pa.array([training], pa.int64()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            "body": pa.array([_pack(token.astype("<u4"), lens.astype("<u4"), ids, count)], pa.binary()),
         })
 
-    model = ask(True).groupBy("owner").applyInArrow(
-        merge, f"owner int, body binary, words long, customers {_SUMS}, tables {_SUMS}, parent_tables {_SUMS}")
-    model = settled(model, "pitman_yor_model")
-    n_words = model.agg(F.sum("words").alias("n")).first()["n"] or 0
-    customers, tables, parents = _totals(model, ["customers", "tables", "parent_tables"])
-    totals = [_Totals(customers, tables, parents[:_PARENTS], n_words)]
-    n_train = int(customers.sum())
+    numbers = src.mapInArrow(send_words, _ASKED_SQL).groupBy("owner").applyInArrow(number, _ASKED_SQL)
+    encoded = held_batches(src).groupBy("batch").cogroup(numbers.groupBy("batch")).applyInArrow(
+        encode, "batch string, training long, rows binary, body binary")
+    encoded = settled(encoded, "pitman_yor_batches")
+    n_train = encoded.agg(F.sum("training").alias("n")).first()["n"] or 0
 
-    seatings: list[DataFrame] = []
+    def ident_rows(body: bytes) -> pa.RecordBatch:
+        return pa.ipc.open_stream(body).read_all().combine_chunks().to_batches()[0]
+
+    def ask(which: str):
+        def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for found in stream:
+                for r in found.to_pylist():
+                    used = None
+                    if which == "training":
+                        rows = ident_rows(r["rows"])
+                        used = ~np.repeat(rows.column(1).to_numpy(zero_copy_only=False), _unpack(r["body"], "<u4", "<u4", "<u8", "<u8")[1][1])
+                    batch = _Batch(r["body"], n, split_at, used)
+                    if which == "totals":
+                        got = [(k, _pack(batch.x[at].astype("<i8"), batch.y[at].astype("<i8"))) for k, at in batch.to_totals()]
+                    else:
+                        got = [(k, batch.question(at)) for k, at in batch.to_shards()]
+                    yield from _rows(_ASKED, [r["batch"]] * len(got), [k for k, _ in got], [b for _, b in got]).to_batches()
+
+        return encoded.select("batch", "rows", "body").mapInArrow(send, _ASKED_SQL)
+
+    def parts_of(k: int, shard: _Shard, own: np.ndarray, parent: np.ndarray, kind: int, body: bytes) -> pa.Table:
+        sums = list(shard.crossing(own, parent, n))
+        return _rows(_PARTS, [k] * (1 + len(sums)), [kind] + [_CROSSING] * len(sums), [-1] + [j for j, _ in sums], [body] + [s for _, s in sums])
+
+    def merge(group: pa.Table) -> pa.Table:
+        b, w, a, times, split = [np.concatenate(c) for c in zip(*map(_unpack_grams, group["body"].to_pylist()), strict=True)]
+        pair_b, pair_w, at = _pair_keys(b, w)
+        pair_split = np.zeros(len(pair_b), bool)
+        pair_split[at] = split
+        pair, a, at = _pair_keys(at, a)
+        count = np.bincount(at, times, len(pair)).astype(np.int64)
+        body = _pack_grams(pair_b[pair], pair_w[pair], a, count, pair_split[pair])
+        shard = _Shard(body)
+        return parts_of(group["owner"][0].as_py(), shard, np.ones(len(shard.part.keys)), np.ones(len(shard.part.parent_keys)), _MODEL, body)
+
+    def add(group: pa.Table) -> pa.Table:
+        got = [_unpack(body, *_SUM)[1] for body in group["body"].to_pylist()]
+        x, y, customers, tables = [np.concatenate(c) for c in zip(*got, strict=True)]
+        x, y, at = _pair_keys(x, y)
+        c, t = np.bincount(at, customers, len(x)).astype("<u8"), np.bincount(at, tables, len(x)).astype("<u8")
+        bodies = [_pack(c[i], t[i]) for i in np.split(at, np.cumsum([len(g[0]) for g in got])[:-1])]
+        word, k = y == _WORD, len(got)
+        return _rows(_PARTS, [*group["shard"].to_pylist(), -1], [_CROSSING] * (k + 1), [*group["owner"].to_pylist(), group["owner"][0].as_py()],
+                     [*bodies, _pack(x.astype("<i8"), y.astype("<i8"), c, t)]).append_column(
+            "root", pa.array([0] * k + [int(c[word].sum())], pa.int64())).append_column("words", pa.array([0] * k + [int(word.sum())], pa.int64()))
+
+    def added(parts: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+        """The totals, as answers to the shards and (shard -1) by owner, with the root's customers and words."""
+        got = parts.where(F.col("kind") == _CROSSING).groupBy("owner").applyInArrow(add, _PARTS_SQL + ", root long, words long")
+        got = settled(got, name)
+        total = got.agg(F.sum("root").alias("root"), F.sum("words").alias("words")).first()
+        return got, total["root"] or 0, total["words"] or 0
+
+    model = settled(ask("training").groupBy("owner").applyInArrow(merge, _PARTS_SQL), "pitman_yor_model")
+    totals, root_customers, n_words = added(model, "pitman_yor_totals")
+    model = model.where(F.col("kind") == _MODEL)
+
+    def sweep(s: int, root_customers: int):
+        def run(group: pa.Table) -> pa.Table:
+            rows = group.to_pylist()
+            body = {r["kind"]: r["body"] for r in rows}
+            shard, k = _Shard(body[_MODEL]), rows[0]["shard"]
+            if s:
+                own, parent = [x.astype(float) for x in _unpack(body[_SEATS], "<u4", "<u4")[1]]
+            else:
+                own, parent = np.ones(len(shard.part.keys)), np.ones(len(shard.part.parent_keys))
+            sums = {r["owner"]: r["body"] for r in rows if r["kind"] == _CROSSING}
+            x, root = shard.totals(own, parent, sums, n, n_words, float(root_customers))
+            own, parent = _sweep(shard.part, own, parent, x, prior, np.random.default_rng([seed, s, k]), root)
+            return parts_of(k, shard, own, parent, _SEATS, _pack(own.astype("<u4"), parent.astype("<u4")))
+
+        return run
+
+    kept: list[tuple[DataFrame, DataFrame, int]] = []
+    seats = None
     for s in range(burn_in + samples):
-        def run(stream: Iterator[pa.RecordBatch], s: int = s, x: _Totals = totals[-1]) -> Iterator[pa.RecordBatch]:
-            for rows in stream:
-                for r in rows.to_pylist():
-                    part = _Part.read(r["body"])
-                    old = _unpack(r["seats"], "<u4", "<u4")[1] if s else [None, None]
-                    own, parent = _sweep(part, *[o if o is None else o.astype(float) for o in old], x, prior, np.random.default_rng([seed, s, r["owner"]]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["owner"]], pa.int32()), pa.array([_pack(own.astype("<u4"), parent.astype("<u4"), words=[])], pa.binary()),
-                         _sums(part.context, own), _sums(part.parent_context, parent)], ["owner", "seats", "tables", "parent_tables"])
-
-        given = model.select("owner", "body")
-        if s:
-            given = given.join(seatings[-1].select("owner", "seats"), "owner")
-        made = given.mapInArrow(run, f"owner int, seats binary, tables {_SUMS}, parent_tables {_SUMS}")
-        seatings.append(settled(made, f"pitman_yor_sweep{s}"))
-        tables, parents = _totals(seatings[-1], ["tables", "parent_tables"])
-        totals.append(_Totals(customers, tables, parents[:_PARENTS], n_words))
-    kept, kept_totals = seatings[burn_in:], totals[burn_in + 1:]
+        given = model.unionAll(totals.where("shard >= 0").select(*model.columns))
+        if seats is not None:
+            given = given.unionAll(seats)
+        made = settled(given.groupBy("shard").applyInArrow(sweep(s, root_customers), _PARTS_SQL), f"pitman_yor_sweep{s}")
+        seats = made.where(F.col("kind") == _SEATS)
+        totals, root_customers, _ = added(made, f"pitman_yor_totals{s}")
+        if s >= burn_in:
+            kept.append((seats, totals.where("shard < 0"), root_customers))
+    root_sums = [float(r) for _, _, r in kept]
 
     def answer(group: pa.Table, owned: pa.Table) -> pa.Table:
         held = dict(zip(owned["nth"].to_pylist(), owned["body"].to_pylist(), strict=True))
-        part = _Part.read(held.pop(0)) if held else _Part([], np.zeros(0, np.int64), np.zeros(0, np.int64))
-        place = {w: i for i, w in enumerate(part.words)}
-        counts = np.append(np.bincount(part.word, part.count, len(part.words)), 0)
-        seats = []
-        for i, body in sorted(held.items()):
-            own, parent = [y.astype(float) for y in _unpack(body, "<u4", "<u4")[1]]
-            in_parent = np.bincount(part.parent, own, len(part.parent_keys))
-            root = np.append(np.bincount(part.parent_word, parent, len(part.words)), 0)
-            seats.append((kept_totals[i - 1], np.append(own, 0), np.append(parent, 0), np.append(in_parent, 0), root))
-        if not held:
-            seats = [(x, np.zeros(1), np.zeros(1), np.zeros(1), np.zeros(1)) for x in kept_totals]
-
-        def find(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-            """Where each wanted key is, or the place after the last one."""
-            spot = np.searchsorted(sorted_keys, wanted)
-            near = np.minimum(spot, max(len(sorted_keys) - 1, 0))
-            return np.where(sorted_keys[near] == wanted, near, len(sorted_keys)) if len(sorted_keys) else spot
-
-        own_count = np.append(part.count, 0)
+        shard = _Shard(held.pop(0)) if held else None
+        known = []
+        for _, body in sorted(held.items()):
+            own, parent = [x.astype(float) for x in _unpack(body, "<u4", "<u4")[1]]
+            c, t, pc, pt, _ = shard.sums(own, parent)
+            known.append([np.append(x, 0) for x in (own, t, np.bincount(shard.part.parent, own, len(parent)), parent, pc, pt)])
         bodies = []
         for body in group["body"].to_pylist():
-            words, (each, context, _) = _unpack(body, *_ASKED)
-            word = np.fromiter((place.get(w, len(part.words)) for w in words), np.int64, len(words))
-            context = context.astype(np.int64)
-            w = np.repeat(word, each)
-            at = find(part.keys, w * _CONTEXTS + context)
-            up = find(part.parent_keys, w * _PARENTS + context // 256)
-            p = sum(_predict(x, prior, root[w], (in_parent[up], parent[up]), context // 256, (own_count[at], own[at]), context)
-                    for x, own, parent, in_parent, root in seats) / len(seats)
-            bodies.append(_pack(np.log10(p).astype("<f4"), counts[word].astype("<u8"), words=[]))
-        return pa.table({"batch": group["batch"], "owner": group["owner"], "body": pa.array(bodies, pa.binary())})
-
-    parts = model.select("owner", F.lit(0).alias("nth"), "body")
-    for i, seating in enumerate(kept):
-        parts = parts.unionAll(seating.select("owner", F.lit(i + 1).alias("nth"), F.col("seats").alias("body")))
-    answers = ask(False).groupBy("owner").cogroup(parts.groupBy("owner")).applyInArrow(
-        lambda q, o: answer(q, o) if q.num_rows else pa.table({"batch": pa.array([], pa.string()), "owner": pa.array([], pa.int32()), "body": pa.array([], pa.binary())}), asked)
-
-    def finish(held: pa.Table, answered: pa.Table) -> pa.Table:
-        rows, texts, changed = opened(held, answered)
-        bodies = dict(zip(answered["owner"].to_pylist(), answered["body"].to_pylist(), strict=True))
-        token, context, uniq, hashed, lens = _tokens(texts)
-        pairs = _pairs(token, context, uniq, hashed, n, per_token=True)
-        log_p, count = np.zeros(len(pairs.keys)), np.zeros(len(pairs.words))
-        for k, _, which in _questions(pairs, n):
-            if k not in bodies:
-                raise changed
-            _, (p, c) = _unpack(bodies[k], "<f4", "<u8")
-            log_p[which] = p
-            count[np.unique(pairs.keys[which] // _CONTEXTS)] = c
-        known = count[pairs.keys // _CONTEXTS][pairs.of_token]
+            b, w, a, _, _ = _unpack_grams(body)
+            new = _firsts(b) | _firsts(w)
+            if shard is None:
+                found = [np.zeros(len(b))] * (2 + 2 * samples) + [np.zeros(int(new.sum()))] * (4 * samples)
+            else:
+                dish, context, up, one = shard.places(b, w, a)
+                up, one = up[new], one[new]
+                found = [np.append(shard.part.count, 0)[dish], np.append(c, 0)[context]]
+                found += [x for k in known for x in (k[0][dish], k[1][context])]
+                found += [x for k in known for x in (k[2][up], k[3][up], k[4][one], k[5][one])]
+            bodies.append(_pack(*[x.astype("<u8") for x in found]))
+        return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), bodies)
+
+    def look_up(group: pa.Table, owned: pa.Table) -> pa.Table:
+        held = dict(zip(owned["nth"].to_pylist(), owned["body"].to_pylist(), strict=True))
+        tables = []
+        for _, body in sorted(held.items()):
+            x, y, c, t = _unpack(body, *_SUM)[1]
+            xs, ys = np.unique(x), np.unique(y)
+            tables.append((xs, ys, np.searchsorted(xs, x) * len(ys) + np.searchsorted(ys, y), np.append(c, 0), np.append(t, 0)))
+        bodies = []
+        for body in group["body"].to_pylist():
+            x, y = _unpack(body, "<i8", "<i8")[1]
+            found = [] if tables else [np.zeros(len(x))] * (2 * samples)
+            for xs, ys, keys, c, t in tables:
+                i, j = _find(xs, x), _find(ys, y)
+                at = _find(keys, np.where((i < len(xs)) & (j < len(ys)), i * len(ys) + j, -1))
+                found += [c[at], t[at]]
+            bodies.append(_pack(*[x.astype("<u8") for x in found]))
+        return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), bodies)
+
+    def answered(questions: DataFrame, owned: DataFrame, f) -> DataFrame:
+        return questions.groupBy("owner").cogroup(owned.groupBy("owner")).applyInArrow(
+            lambda q, o: f(q, o) if q.num_rows else _rows(_ASKED, [], [], []), _ASKED_SQL)
+
+    parts = model.select(F.col("shard").alias("owner"), F.lit(0).alias("nth"), "body")
+    sums = []
+    for i, (seating, total, _) in enumerate(kept):
+        parts = parts.unionAll(seating.select(F.col("shard").alias("owner"), F.lit(i + 1).alias("nth"), "body"))
+        sums.append(total.select("owner", F.lit(i).alias("nth"), "body"))
+    all_sums = sums[0]
+    for more in sums[1:]:
+        all_sums = all_sums.unionAll(more)
+    answers = answered(ask("all"), parts, answer).withColumn("totals", F.lit(False)).unionAll(
+        answered(ask("totals"), all_sums, look_up).withColumn("totals", F.lit(True)))
+
+    def finish(held: pa.Table, got: pa.Table) -> pa.Table:
+        bodies = {(r["totals"], r["owner"]): r["body"] for r in got.to_pylist()}
+        rows = ident_rows(held["rows"][0].as_py())
+        batch = _Batch(held["body"][0].as_py(), n, split_at)
+        n_grams, n_pairs = len(batch.pair), len(batch.b)
+        gram, pair = np.zeros((2 + 2 * samples, n_grams)), np.zeros((4 * samples, n_pairs))
+        for k, at in batch.to_shards():
+            found = _unpack(bodies[False, k], *["<u8"] * (2 + 6 * samples))[1]
+            gram[:, at] = found[:2 + 2 * samples]
+            pair[:, batch.pair[at][_firsts(batch.pair[at])]] = found[2 + 2 * samples:]
+        total = np.zeros((2 * samples, len(batch.x)))
+        for k, at in batch.to_totals():
+            total[:, at] = _unpack(bodies[True, k], *["<u8"] * (2 * samples))[1]
+        i, j, split = batch.n_words, batch.n_words + batch.n_ones, batch.split_gram
+        p = np.zeros(n_grams)
+        for s in range(samples):
+            customers, tables = total[2 * s], total[2 * s + 1]
+            gram[1, split], gram[3 + 2 * s, split] = customers[j:][batch.two_at], tables[j:][batch.two_at]
+            own_customers, own_tables, parent_customers, parent_tables = pair[4 * s: 4 * s + 4]
+            parent_customers[batch.split], parent_tables[batch.split] = customers[i:j][batch.one_at], tables[i:j][batch.one_at]
+            x = _Totals(gram[1], gram[3 + 2 * s], parent_tables, n_words, parent_customers, root_sums[s])
+            root = customers[:i][batch.pair_word][batch.pair]
+            p += _predict(x, prior, root, (own_customers[batch.pair], own_tables[batch.pair]), batch.pair, (gram[0], gram[2 + 2 * s]), np.arange(n_grams))
+        known = batch.count_of_token
         base = np.log10((known + 1) / (n_train + n_words + 1))
-        at = starts_of(lens)[:-1]
+        at = starts_of(batch.lens)[:-1]
         return pa.table({
-            "doc_id": rows.column(1), "held_out": rows.column(2), "n_tokens": pa.array(lens, pa.int64()),
+            "doc_id": rows.column(0), "held_out": rows.column(1), "n_tokens": pa.array(batch.lens, pa.int64()),
             "n_known": pa.array(np.add.reduceat((known > 0).astype(np.int64), at), pa.int64()),
-            "train_tokens": pa.array([n_train] * len(lens), pa.int64()),
+            "train_tokens": pa.array([n_train] * len(at), pa.int64()),
             "base_score": pa.array(np.add.reduceat(base, at), pa.float64()),
-            "score": pa.array(np.add.reduceat(log_p[pairs.of_token], at), pa.float64()),
+            "score": pa.array(np.add.reduceat(np.log10(p / samples)[batch.of_token], at), pa.float64()),
         })
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return held_batches(src).groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+    return encoded.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

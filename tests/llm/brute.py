@@ -144,3 +144,22 @@ def dropped_lines(rows, depth=2, rare=2):
             first[t] = min(first[t], low)
     return [(d, None if t is None else "\n".join(x for x in t.split("\n") if first.get(tokens(x), big) >= (big if d is None else d)))
             for d, t in rows]
+
+
+def one_table_scores(rows, discount=0.75, strength=1.0):
+    """(id, score) of a Pitman-Yor model of whole-word contexts where no bigram occurs twice in training: one table for each dish."""
+    held = [(d, zlib.crc32(str(d).encode()) % 7 == 2, ["\n", "\n", *words(t.lower()), "\n"]) for d, t in rows]
+    grams = [g for _, out, ws in held if not out for g in zip(ws, ws[1:], ws[2:])]
+    pairs = [g[1:] for g in grams]
+    assert len(set(pairs)) == len(pairs)
+    two, one, root = Counter(g[:2] for g in grams), Counter(b for b, _ in pairs), Counter(w for _, w in pairs)
+    n = sum(root.values())
+
+    def p(a, b, w):
+        x = (root[w] - discount if w in root else strength + discount * len(root)) / (strength + n)
+        for is_dish, customers in (((b, w) in pairs_seen, one[b]), ((a, b, w) in grams_seen, two[a, b])):
+            x = (is_dish * (1 - discount) + (strength + discount * customers) * x) / (strength + customers)
+        return x
+
+    pairs_seen, grams_seen = set(pairs), set(grams)
+    return [(d, sum(math.log10(p(*g)) for g in zip(ws, ws[1:], ws[2:]))) for d, _, ws in held]

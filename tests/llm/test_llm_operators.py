@@ -1,6 +1,7 @@
 """Each operator against brute force, on rows with nulls, empty, long, equal and repeated texts."""
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -295,6 +296,39 @@ def test_model_beats_unigrams_on_held_out_text(spark):
     assert sum(r["score"] for r in got) > 0.95 * sum(r["base_score"] for r in got)
 
 
+def bigrams_once(rng, n_words=40, n_texts=24):
+    """Texts without a bigram that occurs twice in training, whose words all end alike; and held-out ones, some words unknown."""
+    vocab = [f"{i}zz" for i in range(n_words)]
+    unused, rows, i = {(a, b) for a in vocab for b in vocab}, [], 0
+    first, last = rng.permutation(vocab)[:n_texts].tolist(), rng.permutation(vocab)[:n_texts].tolist()
+    while first:
+        if zlib.crc32(str(i).encode()) % 7 == 2:
+            rows.append((i, " ".join(rng.choice([*vocab, "newzz", "New"], 12).tolist())))
+        else:
+            text, end = [first.pop()], last.pop()
+            while len(text) < 9 or (text[-1], end) not in unused:
+                text.append(str(rng.choice([w for w in vocab if (text[-1], w) in unused])))
+                unused.discard((text[-2], text[-1]))
+            unused.discard((text[-1], end))
+            rows.append((i, " ".join([*text, end])))
+        i += 1
+    return rows
+
+
+@pytest.mark.parametrize("split_at", [1 << 20, 2])
+def test_contexts_are_whole_words(spark, split_at):
+    rows = bigrams_once(np.random.default_rng(12))
+    got = pitman_yor.scores(spark.createDataFrame(rows, "doc_id long, text string"), split_at=split_at).select("doc_id", "score").collect()
+    for a, b in zip(ordered(got), ordered(brute.one_table_scores(rows)), strict=True):
+        assert a[0] == b[0] and math.isclose(a[1], b[1], rel_tol=1e-9)
+
+
+def test_splitting_frequent_words_keeps_the_model(docs):
+    one, two = [ordered(pitman_yor.scores(docs, split_at=k).collect()) for k in (1 << 20, 50)]
+    assert [r[:6] for r in one] == [r[:6] for r in two]
+    assert math.isclose(sum(r[6] for r in one), sum(r[6] for r in two), rel_tol=0.01)
+
+
 def test_model_empty(no_docs):
     assert pitman_yor.scores(no_docs).count() == 0
 
