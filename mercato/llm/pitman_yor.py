@@ -34,7 +34,7 @@ are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,7 @@ from .words import hashed_words, mixed, starts_of
 _END = b""  # the end of a text: no word is empty
 _ONE_BY_ONE = 256
 _RUNS = 32
+_SHARDS = 3  # for each shuffle partition; a shard is worked on as a whole
 _WORD, _ONE = -1, -2  # second part of a total's key: a word at the root, a restaurant of one word
 
 
@@ -87,23 +88,29 @@ def _before(token: np.ndarray, lens: np.ndarray, end: int) -> tuple[np.ndarray,
 
 
 def _pack(*arrays: np.ndarray, words: list[bytes] = ()) -> bytes:
-    """Words and arrays, each array byte plane by byte plane."""
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
-    parts = [b"\n".join(words), *planes]
-    head = np.array([len(words), *[len(p) for p in parts]], "<u8").tobytes()
-    return zstandard.compress(head + b"".join(parts), 1)
+    """Words and arrays of whole numbers, each array byte plane by byte plane as far as its numbers reach."""
+    parts, head = [b"\n".join(words)], [len(words)]
+    for a in arrays:
+        size = a.dtype.itemsize
+        used = size if len(a) and a.min() < 0 else (int(a.max(initial=0)).bit_length() + 7) // 8
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), size)
+        parts.append(b"".join(planes[:, i].tobytes() for i in range(used)))
+        head += [len(a), used]
+    return zstandard.compress(np.array([*head, len(parts[0])], "<u8").tobytes() + b"".join(parts), 1)
 
 
 def _unpack(body: bytes, *types: str) -> tuple[list[bytes], list[np.ndarray]]:
     flat = zstandard.decompress(body)
-    head = np.frombuffer(flat, "<u8", len(types) + 2).tolist()
-    at, parts = 8 * (len(types) + 2), []
-    for n in head[1:]:
-        parts.append(flat[at: at + n])
-        at += n
-    arrays = [np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(np.dtype(t).itemsize, -1).T).view(t).ravel()
-              for p, t in zip(parts[1:], types, strict=True)]
-    return (parts[0].split(b"\n") if head[0] else []), arrays
+    n_words, *sizes, n_bytes = np.frombuffer(flat, "<u8", 2 * len(types) + 2).tolist()
+    first = 8 * (2 * len(types) + 2)
+    at, arrays = first + n_bytes, []
+    for n, used, t in zip(sizes[::2], sizes[1::2], types, strict=True):
+        planes = np.zeros((n, np.dtype(t).itemsize), np.uint8)
+        for i in range(used):
+            planes[:, i] = np.frombuffer(flat, np.uint8, n, at)
+            at += n
+        arrays.append(planes.view(t).ravel())
+    return (flat[first: first + n_bytes].split(b"\n") if n_words else []), arrays
 
 
 def _owner(x: np.ndarray, n: int) -> np.ndarray:
@@ -113,6 +120,7 @@ def _owner(x: np.ndarray, n: int) -> np.ndarray:
 
 def _dealt(owner: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each owner that has something, with the places of what it has in their order."""
+    owner = owner.astype(np.uint16 if n <= 1 << 16 else np.int64)  # small numbers are sorted by digits
     order = np.argsort(owner, kind="stable")
     at = np.searchsorted(owner[order], np.arange(n + 1))
     for k in range(n):
@@ -130,6 +138,9 @@ def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def _pair_keys(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct pairs of two columns, sorted, and where each row is among them."""
+    if len(x) and min(x.min(), y.min()) >= 0 and max(x.max(), y.max()) < 1 << 31:
+        keys, at = np.unique(x << 31 | y, return_inverse=True)
+        return keys >> 31, keys & (1 << 31) - 1, at
     xs, xi = np.unique(x, return_inverse=True)
     ys, yi = np.unique(y, return_inverse=True)
     keys, at = np.unique(xi * max(len(ys), 1) + yi, return_inverse=True)
@@ -187,20 +198,25 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
 
 
 @dataclass
-class _Part:
-    """Words and what was counted for them; context c has the parent ``parent_of[c]``."""
+class _Dishes:
+    """The dishes of two-word contexts and, as their parents, those of one-word contexts."""
 
     words: list[bytes] | np.ndarray
-    keys: np.ndarray  # word * contexts + context, sorted
+    context: np.ndarray
     count: np.ndarray
-    parent_of: np.ndarray = field(default_factory=lambda: np.arange(1 << 16) // 256)
+    parent_of: np.ndarray  # the parent of each context
+    parent: np.ndarray  # the parent's dish of each dish
+    parent_word: np.ndarray
+    parent_context: np.ndarray
 
-    def __post_init__(self) -> None:
-        n = max(len(self.parent_of), 1)
-        self.n_parents = int(self.parent_of.max(initial=0)) + 1
-        self.word, self.context = self.keys // n, self.keys % n
-        self.parent_keys, self.parent = np.unique(self.word * self.n_parents + self.parent_of[self.context], return_inverse=True)
-        self.parent_word, self.parent_context = self.parent_keys // self.n_parents, self.parent_keys % self.n_parents
+
+class _Part(_Dishes):
+    """Dishes by keys, word * contexts + context; 65536 contexts, 256 of each parent in turn."""
+
+    def __init__(self, words: list[bytes], keys: np.ndarray, count: np.ndarray) -> None:
+        word, context = keys >> 16, keys & 0xFFFF
+        self.parent_keys, parent = np.unique(word * 256 + context // 256, return_inverse=True)
+        super().__init__(words, context, count, np.arange(1 << 16) // 256, parent, self.parent_keys // 256, self.parent_keys % 256)
 
 
 @dataclass
@@ -231,7 +247,7 @@ def _predict(x: _Totals, prior: Prior, root: np.ndarray, parent: tuple[np.ndarra
     return (own[0] - d2 * own[1] + (s2 + d2 * x.tables[context]) * p) / (s2 + x.customers[context])
 
 
-def _sweep(part: _Part, tables: np.ndarray | None, parent_tables: np.ndarray | None, x: _Totals, prior: Prior,
+def _sweep(part: _Dishes, tables: np.ndarray | None, parent_tables: np.ndarray | None, x: _Totals, prior: Prior,
            rng: np.random.Generator, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Tables of each (word, context) and each (word, parent) after all customers were seated again.
 
@@ -239,14 +255,14 @@ def _sweep(part: _Part, tables: np.ndarray | None, parent_tables: np.ndarray | N
     """
     (d0, d1, d2), (s0, s1, s2) = prior.discount, prior.strength
     if tables is None:  # before the first sweep each dish has one table everywhere
-        tables, parent_tables = np.ones(len(part.keys)), np.ones(len(part.parent_keys))
-    customers = np.bincount(part.parent, tables, len(part.parent_keys))
+        tables, parent_tables = np.ones(len(part.context)), np.ones(len(part.parent_word))
+    customers = np.bincount(part.parent, tables, len(part.parent_word))
     if root is None:
         root = np.bincount(part.parent_word, parent_tables, len(part.words))
     p = ((root - d0) / (s0 + x.root_customers))[part.parent_word]
     in_parent = (customers - d1 * parent_tables + (s1 + d1 * x.parent_tables[part.parent_context]) * p) / (s1 + x.parent_customers[part.parent_context])
     new = seat(part.count, (s2 + d2 * x.tables[part.context]) * in_parent[part.parent], d2, rng)
-    customers = np.bincount(part.parent, new, len(part.parent_keys))
+    customers = np.bincount(part.parent, new, len(part.parent_word))
     return new, seat(customers, (s1 + d1 * x.parent_tables[part.parent_context]) * p, d1, rng)
 
 
@@ -261,16 +277,16 @@ class _Shard:
     """The trigrams of a shard: dishes of two-word restaurants (``part``), and which sums other shards share."""
 
     def __init__(self, body: bytes) -> None:
-        b, w, a, count, split = _unpack_grams(body)
-        self.words, word = np.unique(w, return_inverse=True)
-        self.ones, first, one = np.unique(b, return_index=True, return_inverse=True)
+        b, w, a, count, split = _unpack_grams(body)  # sorted by b, w and a
+        new_b = _firsts(b)
+        new = new_b | _firsts(w)
+        one, pair = np.cumsum(new_b) - 1, np.cumsum(new) - 1
+        self.ones, self.split = b[new_b], split[new_b]
+        self.words, word = np.unique(w[new], return_inverse=True)
         parent_of, two, context = _pair_keys(one, a)
         self.befores, at = np.unique(two, return_inverse=True)
         self.context_keys = parent_of * len(self.befores) + at  # sorted
-        keys = word * len(parent_of) + context
-        order = np.argsort(keys)
-        self.part = _Part(self.words, keys[order], count[order], parent_of)
-        self.split = split[first]
+        self.part = _Dishes(self.words, context, count, parent_of, pair, word, one[new])
         self.split_two = self.split[parent_of]
         self.x = np.concatenate([self.words, self.ones[self.split], two[self.split_two]])
         self.y = np.concatenate([np.full(len(self.words), _WORD), np.full(int(self.split.sum()), _ONE), self.ones[parent_of[self.split_two]]])
@@ -279,8 +295,8 @@ class _Shard:
         """Customers and tables of the two-word and the one-word restaurants, and customers of words at the root."""
         p = self.part
         tables = np.bincount(p.context, own, len(p.parent_of))
-        return (np.bincount(p.context, p.count, len(p.parent_of)), tables, np.bincount(p.parent_of, tables, p.n_parents),
-                np.bincount(p.parent_context, parent, p.n_parents), np.bincount(p.parent_word, parent, len(self.words)))
+        return (np.bincount(p.context, p.count, len(p.parent_of)), tables, np.bincount(p.parent_of, tables, len(self.ones)),
+                np.bincount(p.parent_context, parent, len(self.ones)), np.bincount(p.parent_word, parent, len(self.words)))
 
     def crossing(self, own: np.ndarray, parent: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:
         """(owner, body) of the sums to be added to those of other shards."""
@@ -301,14 +317,22 @@ class _Shard:
         c[self.split_two], t[self.split_two] = customers[j:], tables[j:]
         return _Totals(c, t, pt, n_words, pc, root_customers), customers[:i]
 
-    def places(self, b: np.ndarray, w: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Where trigrams are: dish, context, parent's dish and parent; the place after the last if not there."""
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the dishes (parent's dish and context) and of the parents' dishes (parent and word), both sorted."""
         p = self.part
-        n, m = len(p.parent_of), len(self.befores)
-        one, word, two = _find(self.ones, b), _find(self.words, w), _find(self.befores, a)
-        context = _find(self.context_keys, np.where((one < len(self.ones)) & (two < m), one * m + two, -1))
-        dish = _find(p.keys, np.where((word < len(self.words)) & (context < n), word * n + context, -1))
-        up = _find(p.parent_keys, np.where((word < len(self.words)) & (one < len(self.ones)), word * p.n_parents + one, -1))
+        return p.parent * len(p.parent_of) + p.context, p.parent_context * len(self.words) + p.parent_word
+
+    def places(self, b: np.ndarray, w: np.ndarray, a: np.ndarray, keys: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Where trigrams are: dish and context, and for each (b, w) parent's dish and parent; the place after the last
+        if not there."""
+        new_b = _firsts(b)
+        new = new_b | _firsts(w)
+        n, pair = len(self.part.parent_of), np.cumsum(new) - 1
+        one = _find(self.ones, b[new_b])[(np.cumsum(new_b) - 1)[new]]
+        word, two = _find(self.words, w[new]), _find(self.befores, a)
+        up = _find(keys[1], np.where((word < len(self.words)) & (one < len(self.ones)), one * len(self.words) + word, -1))
+        context = _find(self.context_keys, np.where((one[pair] < len(self.ones)) & (two < len(self.befores)), one[pair] * len(self.befores) + two, -1))
+        dish = _find(keys[0], np.where((up[pair] < len(keys[1])) & (context < n), up[pair] * n + context, -1))
         return dish, context, up, one
 
 
@@ -316,6 +340,7 @@ class _Batch:
     """The distinct trigrams of an encoded batch, and the totals it needs."""
 
     def __init__(self, body: bytes, n: int, split_at: int, used: np.ndarray | None = None) -> None:
+        self.n, self.shards = n, n * _SHARDS
         token, self.lens, ids, count = [a.astype(np.int64) for a in _unpack(body, "<u4", "<u4", "<u8", "<u8")[1]]
         self.count_of_token = count[token]
         size = len(ids)
@@ -329,7 +354,7 @@ class _Batch:
         self.b, self.w, self.a = ids[first], ids[self.pair_word], ids[before]
         slots = (1 + count[first] // split_at).astype(np.uint64)
         self.split = slots > 1
-        self.shard = _owner(mixed(mixed(self.b.astype(np.uint64)) + mixed(self.w.astype(np.uint64)) % slots), n)
+        self.shard = _owner(mixed(mixed(self.b.astype(np.uint64)) + mixed(self.w.astype(np.uint64)) % slots), self.shards)
         # totals: all words, split words before, contexts of split words
         split_gram = self.split[self.pair]
         ones, self.one_at = np.unique(first[self.split], return_inverse=True)
@@ -337,10 +362,9 @@ class _Batch:
         self.split_gram, self.n_words, self.n_ones = split_gram, size, len(ones)
         self.x = np.concatenate([ids, ids[ones], ids[twos % size]])
         self.y = np.concatenate([np.full(size, _WORD), np.full(len(ones), _ONE), ids[twos // size]])
-        self.n = n
 
     def to_shards(self) -> Iterator[tuple[int, np.ndarray]]:
-        return _dealt(self.shard[self.pair], self.n)
+        return _dealt(self.shard[self.pair], self.shards)
 
     def question(self, at: np.ndarray) -> bytes:
         pair = self.pair[at]
@@ -390,8 +414,9 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
             asked.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
             counts.append(count)
         total = np.bincount(np.concatenate(asked), np.concatenate(counts), len(place)).astype("<u8")
-        ids = np.empty(len(place), "<u8")  # in the order of the words, so that reruns agree
-        ids[np.fromiter(map(place.__getitem__, sorted(place)), np.int64, len(place))] = np.arange(len(place)) * n + group["owner"][0].as_py()
+        words, counted = list(place), total.tolist()
+        ids = np.empty(len(words), "<u8")  # frequent words first, which packs well, then by the word, so that reruns agree
+        ids[sorted(range(len(words)), key=lambda i: (-counted[i], words[i]))] = np.arange(len(words)) * n + group["owner"][0].as_py()
         return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), [_pack(ids[at], total[at]) for at in asked])
 
     def encode(held: pa.Table, answered: pa.Table) -> pa.Table:
@@ -451,7 +476,7 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
         count = np.bincount(at, times, len(pair)).astype(np.int64)
         body = _pack_grams(pair_b[pair], pair_w[pair], a, count, pair_split[pair])
         shard = _Shard(body)
-        return parts_of(group["owner"][0].as_py(), shard, np.ones(len(shard.part.keys)), np.ones(len(shard.part.parent_keys)), _MODEL, body)
+        return parts_of(group["owner"][0].as_py(), shard, np.ones(len(shard.part.context)), np.ones(len(shard.part.parent_word)), _MODEL, body)
 
     def add(group: pa.Table) -> pa.Table:
         got = [_unpack(body, *_SUM)[1] for body in group["body"].to_pylist()]
@@ -483,7 +508,7 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
             if s:
                 own, parent = [x.astype(float) for x in _unpack(body[_SEATS], "<u4", "<u4")[1]]
             else:
-                own, parent = np.ones(len(shard.part.keys)), np.ones(len(shard.part.parent_keys))
+                own, parent = np.ones(len(shard.part.context)), np.ones(len(shard.part.parent_word))
             sums = {r["owner"]: r["body"] for r in rows if r["kind"] == _CROSSING}
             x, root = shard.totals(own, parent, sums, n, n_words, float(root_customers))
             own, parent = _sweep(shard.part, own, parent, x, prior, np.random.default_rng([seed, s, k]), root)
@@ -507,7 +532,7 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
     def answer(group: pa.Table, owned: pa.Table) -> pa.Table:
         held = dict(zip(owned["nth"].to_pylist(), owned["body"].to_pylist(), strict=True))
         shard = _Shard(held.pop(0)) if held else None
-        known = []
+        keys, known = shard.keys() if shard else None, []
         for _, body in sorted(held.items()):
             own, parent = [x.astype(float) for x in _unpack(body, "<u4", "<u4")[1]]
             c, t, pc, pt, _ = shard.sums(own, parent)
@@ -515,12 +540,11 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
         bodies = []
         for body in group["body"].to_pylist():
             b, w, a, _, _ = _unpack_grams(body)
-            new = _firsts(b) | _firsts(w)
             if shard is None:
-                found = [np.zeros(len(b))] * (2 + 2 * samples) + [np.zeros(int(new.sum()))] * (4 * samples)
+                n_pairs = int((_firsts(b) | _firsts(w)).sum())
+                found = [np.zeros(len(b))] * (2 + 2 * samples) + [np.zeros(n_pairs)] * (4 * samples)
             else:
-                dish, context, up, one = shard.places(b, w, a)
-                up, one = up[new], one[new]
+                dish, context, up, one = shard.places(b, w, a, keys)
                 found = [np.append(shard.part.count, 0)[dish], np.append(c, 0)[context]]
                 found += [x for k in known for x in (k[0][dish], k[1][context])]
                 found += [x for k in known for x in (k[2][up], k[3][up], k[4][one], k[5][one])]
