@@ -50,6 +50,8 @@ _END = b""  # the end of a text: no word is empty
 _ONE_BY_ONE = 256
 _RUNS = 32
 _SHARDS = 3  # for each shuffle partition; a shard is worked on as a whole
+_GROUP_ROWS = 8  # rows of a row group, where a row is a whole batch or shard
+_ZSTD, _UNZSTD = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _WORD, _ONE = -1, -2  # second part of a total's key: a word at the root, a restaurant of one word
 
 
@@ -69,7 +71,10 @@ def held_out(doc_id: Column) -> Column:
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
     """Word id of each token, the words (the end is the last one), their hashes, and tokens per text."""
     value, start, end, lens, joined = hashed_words([t.lower() for t in texts])
-    known, first, ids = np.unique(value, return_index=True, return_inverse=True)
+    coded = pa.array(value).dictionary_encode()
+    known, ids = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    first = np.empty(len(known), np.int64)
+    first[ids] = np.arange(len(ids))  # any place of each word
     uniq = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
     spot = starts_of(lens)[1:] + np.arange(len(lens))  # where the ends go
     token = np.empty(len(ids) + len(lens), np.int64)
@@ -79,6 +84,15 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np
     return token, [*uniq, _END], np.append(known, np.uint64(0)), lens + 1
 
 
+def _by_number(token: np.ndarray, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens by the rank of their word's number, and numbers and counts in that order: what is sorted in a batch is
+    sorted everywhere."""
+    order = np.argsort(ids)
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    return rank[token], ids[order], count[order]
+
+
 def _before(token: np.ndarray, lens: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The word one and two places before each token; before the first word of a text there are ends."""
     one = np.concatenate([[end], token[:-1]])
@@ -96,11 +110,11 @@ def _pack(*arrays: np.ndarray, words: list[bytes] = ()) -> bytes:
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), size)
         parts.append(b"".join(planes[:, i].tobytes() for i in range(used)))
         head += [len(a), used]
-    return zstandard.compress(np.array([*head, len(parts[0])], "<u8").tobytes() + b"".join(parts), 1)
+    return _ZSTD.compress(np.array([*head, len(parts[0])], "<u8").tobytes() + b"".join(parts))
 
 
 def _unpack(body: bytes, *types: str) -> tuple[list[bytes], list[np.ndarray]]:
-    flat = zstandard.decompress(body)
+    flat = _UNZSTD.decompress(body)
     n_words, *sizes, n_bytes = np.frombuffer(flat, "<u8", 2 * len(types) + 2).tolist()
     first = 8 * (2 * len(types) + 2)
     at, arrays = first + n_bytes, []
@@ -147,6 +161,11 @@ def _pair_keys(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return xs[keys // max(len(ys), 1)], ys[keys % max(len(ys), 1)], at
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the smallest type that holds them, with a 0 after the last one."""
+    return np.append(x, 0).astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def _firsts(x: np.ndarray) -> np.ndarray:
     """Whether each number differs from the one before."""
     return np.concatenate([[True], x[1:] != x[:-1]])[:len(x)]
@@ -179,7 +198,8 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
     With i seated at t tables, the next one takes a new table with probability
     fresh / (i - discount * t + fresh).
     """
-    order = np.argsort(-customers, kind="stable")
+    more = np.flatnonzero(customers > 1)  # a single customer takes one table
+    order = more[np.argsort(-customers[more], kind="stable")]
     c, a, t = customers[order], fresh[order], np.ones(len(order))
     for i in range(1, int(min(c[0], _ONE_BY_ONE)) if len(c) else 0):
         k = int(np.searchsorted(-c, -i, "left"))  # dishes with more than i customers
@@ -192,7 +212,7 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
             run, mid = np.maximum(to - at, 0), (at + to) / 2
             t[:k] += rng.binomial(run.astype(np.int64), a[:k] / (mid - discount * t[:k] + a[:k]))
             at = np.maximum(at, to)
-    out = np.empty(len(order))
+    out = np.minimum(customers, 1.0)
     out[order] = np.minimum(t, c)
     return out
 
@@ -344,7 +364,7 @@ class _Batch:
         token, self.lens, ids, count = [a.astype(np.int64) for a in _unpack(body, "<u4", "<u4", "<u8", "<u8")[1]]
         self.count_of_token = count[token]
         size = len(ids)
-        one, two = _before(token, self.lens, size - 1)  # the end is the last word of a batch
+        one, two = _before(token, self.lens, int(token[self.lens[0] - 1]))  # the last token of a text is the end
         if used is not None:
             token, one, two = token[used], one[used], two[used]
         pairs, at = np.unique(one * size + token, return_inverse=True)
@@ -428,6 +448,7 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
             if k not in bodies:
                 raise changed
             ids[at], count[at] = _unpack(bodies[k], "<u8", "<u8")[1]
+        token, ids, count = _by_number(token, ids, count)
         kept, sink = rows.select([1, 2]), pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, kept.schema) as writer:
             writer.write_batch(kept)
@@ -440,25 +461,25 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
     numbers = src.mapInArrow(send_words, _ASKED_SQL).groupBy("owner").applyInArrow(number, _ASKED_SQL)
     encoded = held_batches(src).groupBy("batch").cogroup(numbers.groupBy("batch")).applyInArrow(
         encode, "batch string, training long, rows binary, body binary")
-    encoded = settled(encoded, "pitman_yor_batches")
+    encoded = settled(encoded, "pitman_yor_batches", _GROUP_ROWS)
     n_train = encoded.agg(F.sum("training").alias("n")).first()["n"] or 0
 
     def ident_rows(body: bytes) -> pa.RecordBatch:
         return pa.ipc.open_stream(body).read_all().combine_chunks().to_batches()[0]
 
-    def ask(which: str):
+    def ask(training: bool):
+        """Questions to the shards, for training tokens or for all; then also those to the owners of totals, who come after the shards."""
         def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for found in stream:
                 for r in found.to_pylist():
                     used = None
-                    if which == "training":
+                    if training:
                         rows = ident_rows(r["rows"])
                         used = ~np.repeat(rows.column(1).to_numpy(zero_copy_only=False), _unpack(r["body"], "<u4", "<u4", "<u8", "<u8")[1][1])
                     batch = _Batch(r["body"], n, split_at, used)
-                    if which == "totals":
-                        got = [(k, _pack(batch.x[at].astype("<i8"), batch.y[at].astype("<i8"))) for k, at in batch.to_totals()]
-                    else:
-                        got = [(k, batch.question(at)) for k, at in batch.to_shards()]
+                    got = [(k, batch.question(at)) for k, at in batch.to_shards()]
+                    if not training:
+                        got += [(batch.shards + k, _pack(batch.x[at].astype("<i8"), batch.y[at].astype("<i8"))) for k, at in batch.to_totals()]
                     yield from _rows(_ASKED, [r["batch"]] * len(got), [k for k, _ in got], [b for _, b in got]).to_batches()
 
         return encoded.select("batch", "rows", "body").mapInArrow(send, _ASKED_SQL)
@@ -468,13 +489,18 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
         return _rows(_PARTS, [k] * (1 + len(sums)), [kind] + [_CROSSING] * len(sums), [-1] + [j for j, _ in sums], [body] + [s for _, s in sums])
 
     def merge(group: pa.Table) -> pa.Table:
-        b, w, a, times, split = [np.concatenate(c) for c in zip(*map(_unpack_grams, group["body"].to_pylist()), strict=True)]
-        pair_b, pair_w, at = _pair_keys(b, w)
-        pair_split = np.zeros(len(pair_b), bool)
-        pair_split[at] = split
-        pair, a, at = _pair_keys(at, a)
-        count = np.bincount(at, times, len(pair)).astype(np.int64)
-        body = _pack_grams(pair_b[pair], pair_w[pair], a, count, pair_split[pair])
+        def merged() -> bytes:  # what it needs is gone before the shard is built
+            b, w, a, times, split = [np.concatenate(c) for c in zip(*map(_unpack_grams, group["body"].to_pylist()), strict=True)]
+            pair_b, pair_w, at = _pair_keys(b, w)
+            del b, w
+            pair_split = np.zeros(len(pair_b), bool)
+            pair_split[at] = split
+            pair, a, at = _pair_keys(at, a)
+            count = np.bincount(at, times, len(pair)).astype(np.int64)
+            del at, times, split
+            return _pack_grams(pair_b[pair], pair_w[pair], a, count, pair_split[pair])
+
+        body = merged()
         shard = _Shard(body)
         return parts_of(group["owner"][0].as_py(), shard, np.ones(len(shard.part.context)), np.ones(len(shard.part.parent_word)), _MODEL, body)
 
@@ -496,7 +522,7 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
         total = got.agg(F.sum("root").alias("root"), F.sum("words").alias("words")).first()
         return got, total["root"] or 0, total["words"] or 0
 
-    model = settled(ask("training").groupBy("owner").applyInArrow(merge, _PARTS_SQL), "pitman_yor_model")
+    model = settled(ask(training=True).groupBy("owner").applyInArrow(merge, _PARTS_SQL), "pitman_yor_model", _GROUP_ROWS)
     totals, root_customers, n_words = added(model, "pitman_yor_totals")
     model = model.where(F.col("kind") == _MODEL)
 
@@ -535,20 +561,22 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
         keys, known = shard.keys() if shard else None, []
         for _, body in sorted(held.items()):
             own, parent = [x.astype(float) for x in _unpack(body, "<u4", "<u4")[1]]
-            c, t, pc, pt, _ = shard.sums(own, parent)
-            known.append([np.append(x, 0) for x in (own, t, np.bincount(shard.part.parent, own, len(parent)), parent, pc, pt)])
+            _, t, pc, pt, _ = shard.sums(own, parent)
+            known.append([_narrow(x) for x in (own, t, np.bincount(shard.part.parent, own, len(parent)), parent, pc, pt)])
+        if shard:
+            count, customers = _narrow(shard.part.count), _narrow(np.bincount(shard.part.context, shard.part.count, len(shard.part.parent_of)))
         bodies = []
         for body in group["body"].to_pylist():
             b, w, a, _, _ = _unpack_grams(body)
             if shard is None:
                 n_pairs = int((_firsts(b) | _firsts(w)).sum())
-                found = [np.zeros(len(b))] * (2 + 2 * samples) + [np.zeros(n_pairs)] * (4 * samples)
+                found = [np.zeros(len(b), np.uint8)] * (2 + 2 * samples) + [np.zeros(n_pairs, np.uint8)] * (4 * samples)
             else:
                 dish, context, up, one = shard.places(b, w, a, keys)
-                found = [np.append(shard.part.count, 0)[dish], np.append(c, 0)[context]]
+                found = [count[dish], customers[context]]
                 found += [x for k in known for x in (k[0][dish], k[1][context])]
                 found += [x for k in known for x in (k[2][up], k[3][up], k[4][one], k[5][one])]
-            bodies.append(_pack(*[x.astype("<u8") for x in found]))
+            bodies.append(_pack(*found))
         return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), bodies)
 
     def look_up(group: pa.Table, owned: pa.Table) -> pa.Table:
@@ -569,34 +597,30 @@ def scores(docs: DataFrame, prior: Prior = Prior(), burn_in: int = 1, samples: i
             bodies.append(_pack(*[x.astype("<u8") for x in found]))
         return _rows(_ASKED, group["batch"].to_pylist(), group["owner"].to_pylist(), bodies)
 
-    def answered(questions: DataFrame, owned: DataFrame, f) -> DataFrame:
-        return questions.groupBy("owner").cogroup(owned.groupBy("owner")).applyInArrow(
-            lambda q, o: f(q, o) if q.num_rows else _rows(_ASKED, [], [], []), _ASKED_SQL)
+    def answer_or_look_up(group: pa.Table, owned: pa.Table) -> pa.Table:
+        if not group.num_rows:
+            return _rows(_ASKED, [], [], [])
+        return (answer if group["owner"][0].as_py() < n * _SHARDS else look_up)(group, owned)
 
-    parts = model.select(F.col("shard").alias("owner"), F.lit(0).alias("nth"), "body")
-    sums = []
+    owned = model.select(F.col("shard").alias("owner"), F.lit(0).alias("nth"), "body")
     for i, (seating, total, _) in enumerate(kept):
-        parts = parts.unionAll(seating.select(F.col("shard").alias("owner"), F.lit(i + 1).alias("nth"), "body"))
-        sums.append(total.select("owner", F.lit(i).alias("nth"), "body"))
-    all_sums = sums[0]
-    for more in sums[1:]:
-        all_sums = all_sums.unionAll(more)
-    answers = answered(ask("all"), parts, answer).withColumn("totals", F.lit(False)).unionAll(
-        answered(ask("totals"), all_sums, look_up).withColumn("totals", F.lit(True)))
+        owned = owned.unionAll(seating.select(F.col("shard").alias("owner"), F.lit(i + 1).alias("nth"), "body"))
+        owned = owned.unionAll(total.select((F.col("owner") + n * _SHARDS).alias("owner"), F.lit(i).alias("nth"), "body"))
+    answers = ask(training=False).groupBy("owner").cogroup(owned.groupBy("owner")).applyInArrow(answer_or_look_up, _ASKED_SQL)
 
     def finish(held: pa.Table, got: pa.Table) -> pa.Table:
-        bodies = {(r["totals"], r["owner"]): r["body"] for r in got.to_pylist()}
+        bodies = {r["owner"]: r["body"] for r in got.to_pylist()}
         rows = ident_rows(held["rows"][0].as_py())
         batch = _Batch(held["body"][0].as_py(), n, split_at)
         n_grams, n_pairs = len(batch.pair), len(batch.b)
         gram, pair = np.zeros((2 + 2 * samples, n_grams)), np.zeros((4 * samples, n_pairs))
         for k, at in batch.to_shards():
-            found = _unpack(bodies[False, k], *["<u8"] * (2 + 6 * samples))[1]
+            found = _unpack(bodies[k], *["<u8"] * (2 + 6 * samples))[1]
             gram[:, at] = found[:2 + 2 * samples]
             pair[:, batch.pair[at][_firsts(batch.pair[at])]] = found[2 + 2 * samples:]
         total = np.zeros((2 * samples, len(batch.x)))
         for k, at in batch.to_totals():
-            total[:, at] = _unpack(bodies[True, k], *["<u8"] * (2 * samples))[1]
+            total[:, at] = _unpack(bodies[batch.shards + k], *["<u8"] * (2 * samples))[1]
         i, j, split = batch.n_words, batch.n_words + batch.n_ones, batch.split_gram
         p = np.zeros(n_grams)
         for s in range(samples):

@@ -5,13 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from corpus_rows import ordered
 from mercato.llm import (curriculum, decontaminate, disclosure, host_rules, jaccard_join, licenses, line_templates,
-                         pitman_yor, warc_store, window_dedup)
+                         pitman_yor, tables, warc_store, window_dedup)
 from mercato.session import scratch_path
 
 
@@ -329,6 +330,35 @@ def test_splitting_frequent_words_keeps_the_model(docs):
     assert math.isclose(sum(r[6] for r in one), sum(r[6] for r in two), rel_tol=0.01)
 
 
+def test_model_tables_have_small_row_groups(spark):
+    """A writer or reader holds a row group as a whole, and a row is a whole batch or shard."""
+    files = tables.settled(spark.range(1000), "row_groups", 8).inputFiles()
+    metas = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in files]
+    rows = [m.row_group(i).num_rows for m in metas for i in range(m.num_row_groups)]
+    assert sum(rows) == 1000 and max(rows) <= 8
+
+
+def test_questions_are_sorted_by_number():
+    """Numbers come in any order; the trigrams that a batch asks for are sorted by them, so look-ups run in sequence."""
+    token, uniq, _, lens = pitman_yor._tokens([b"b a c b a d", b"c a b", b""])
+    ids = np.array([50, 7, 31, 90, 2][: len(uniq)], "<u8")
+    by_number = pitman_yor._by_number(token, ids, ids + 1)
+    assert by_number[1].tolist() == sorted(ids.tolist()) and by_number[1][by_number[0]].tolist() == ids[token].tolist()
+    assert by_number[2].tolist() == (by_number[1] + 1).tolist()
+    token, ids, count = by_number
+    batch = pitman_yor._Batch(pitman_yor._pack(token.astype("<u4"), lens.astype("<u4"), ids, count), 4, 1 << 20)
+    grams = list(zip(batch.b[batch.pair].tolist(), batch.w[batch.pair].tolist(), batch.a.tolist()))
+    assert grams == sorted(grams) and len(set(grams)) == len(grams)
+
+
+def test_single_customers_are_not_drawn_for():
+    """One customer takes one table, and the others' seats do not depend on how many there are of these."""
+    few, many = np.array([3, 300, 2]), np.array([1, 3, 1, 300, 2, 1])
+    a = pitman_yor.seat(few, np.full(3, 2.0), 0.5, np.random.default_rng(4))
+    b = pitman_yor.seat(many, np.full(6, 2.0), 0.5, np.random.default_rng(4))
+    assert b[[0, 2, 5]].tolist() == [1, 1, 1] and b[[1, 3, 4]].tolist() == a.tolist()
+
+
 def test_model_empty(no_docs):
     assert pitman_yor.scores(no_docs).count() == 0
 
